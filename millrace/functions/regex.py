@@ -18,8 +18,16 @@ SPACE = (
 )
 DIGIT = r"\p{Nd}"
 
+# The same characters for Java, shaped for speed: Latin ones as single members (one bit set), the
+# others behind one range check. A list of ranges is tried range by range for every character.
+_WIDE_SPACE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_JAVA_SPACE = (
+    r"\t\n\x{0b}\f\r\x{1c}\x{1d}\x{1e}\x{1f}\x{20}\x{85}\x{a0}"
+    rf"[\x{{1680}}-\x{{3000}}&&[{_WIDE_SPACE}]]"
+)
+
 _BOUNDARY = f"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
-_CLASSES = {"w": WORD, "s": SPACE, "d": DIGIT}
+_CLASSES = {"w": WORD, "s": _JAVA_SPACE, "d": DIGIT}
 
 
 def portable(pattern: str, ignore_case: bool = False) -> str:

@@ -33,7 +33,7 @@ from millrace.sources.shared import materialize
 
 MAX_PIECES = 1_000_000  # bound of everything that is handed to all tasks
 _HEAD = 256  # ranked pairs looked at per round
-_PENDING = 48  # merges replayed on the stored words before they are stored anew
+_ROUNDS = 24  # rounds until the words are written anew, which cuts the chain of cached tables
 
 # Symbols of merged pieces start after the byte letters and step over the surrogates.
 _FIRST_MERGED = 0x1000
@@ -104,8 +104,9 @@ def _replay(syms: Column, merges: list[tuple[str, str]]) -> Column:
     """Apply merges in order; ``replace`` goes left to right and never overlaps."""
     if not merges:
         return syms
-    steps = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")) for p, s in merges])
-    return F.aggregate(steps, syms, lambda text, m: F.replace(text, m["p"], m["s"]))
+    steps = json.dumps([{"p": pair, "s": symbol} for pair, symbol in merges])
+    literal = F.from_json(F.lit(steps), "array<struct<p: string, s: string>>")
+    return F.aggregate(literal, syms, lambda text, m: F.replace(text, m["p"], m["s"]))
 
 
 def train_bpe(
@@ -129,16 +130,17 @@ def train_bpe(
     symbol_of = dict(text_of)  # piece -> symbol
     merges: list[tuple[str, str]] = []
     pending: list[tuple[str, str]] = []
+    rounds = 0
     stored = stored.select("syms", "n").persist()  # backed by the written table
     room = vocab_size - len(SPECIALS) - len(pieces)
 
     while room > 0:
         current = stored.select(_replay(F.col("syms"), pending).alias("syms"), "n")
-        if len(pending) >= _PENDING:
+        if rounds == _ROUNDS:
             # words that are one piece by now have no pairs left to give
-            current = materialize(current.where(F.length("syms") > 1), "words").persist()
-            stored.unpersist()
-            stored, pending = current, []
+            current = materialize(current.where(F.length("syms") > 1), "words")
+            rounds = 0
+        current.persist()
         ranked = (
             pair_counts(current)
             .where(F.col("n") >= min_frequency)
@@ -146,6 +148,8 @@ def train_bpe(
             .limit(_HEAD)
             .collect()
         )
+        stored.unpersist()
+        stored, pending, rounds = current, [], rounds + 1
         starts: set[str] = set()
         ends: set[str] = set()
         progress = False

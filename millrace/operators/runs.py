@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.sources.shared import materialize
+
 _BLOCK_BITS = 10
 
 
@@ -118,8 +120,10 @@ def early_stop(log: DataFrame, patience: int = 3, delta: float = 0.0) -> DataFra
         log = log.join(
             kept.withColumn("improved", F.lit(True)), ["run_id", "epoch"], "left"
         ).withColumn("improved", F.coalesce("improved", F.lit(False)))
+    # written down, so that the two passes below do not repeat the ones above
+    log = materialize(log.drop("_best"), "improvements")
     log = running(
-        log.drop("_best"),
+        log,
         ["run_id"],
         "epoch",
         F.when(F.col("improved"), F.col("epoch")),

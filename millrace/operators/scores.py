@@ -79,7 +79,9 @@ def bleu_ngram_stats(
     is already satisfied by the spread by id.
     """
     group_cols = group_cols or []
-    spread = pairs.select(*id_cols, *group_cols, reference, hypothesis).repartition(*id_cols)
+    # a fixed width: the few bytes here turn into much work, so AQE must not merge the tasks
+    width = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = pairs.select(*id_cols, *group_cols, reference, hypothesis).repartition(width, *id_cols)
     sides = spread.select(
         *id_cols,
         *group_cols,

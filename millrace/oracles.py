@@ -404,7 +404,7 @@ words AS (SELECT word, count(*) AS n FROM tokens GROUP BY word)"""
 LETTERS = "letters AS (SELECT * FROM (VALUES {}) v(code, letter))".format(
     ", ".join(f"('{b:02X}', {q(c)})" for b, c in enumerate(byte_letters()))
 )
-CODES = "list_transform(range(length(hex(encode(word))) // 2), lambda i: substr(hex(encode(word)), 2 * i + 1, 2))"
+CODES = "regexp_extract_all(hex(encode(word)), '..')"
 ORACLES["pretokenize"] = f"""
 SELECT doc_id, len(w)::BIGINT AS n, array_to_string(w, '{SEP}') AS words
 FROM (SELECT doc_id, {pieces('text')} AS w FROM documents)"""
@@ -423,8 +423,7 @@ JOIN letters a ON p[1] = a.code JOIN letters b ON p[2] = b.code GROUP BY 1"""
 ORACLES["decode_roundtrip"] = "SELECT doc_id, lower(text) AS text FROM documents"
 TURNS = """
 turns AS (SELECT (conv_id << 20) + turn AS row_id, role,
-  list_transform(range(length(hex(encode(text))) // 2),
-    lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::INT + 8) AS raw
+  list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::INT + 8) AS raw
   FROM conversations),
 full_ids AS (SELECT row_id, role, list_concat([1], raw, [2]) AS ids FROM turns)"""
 

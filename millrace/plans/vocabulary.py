@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.once import with_once
 from millrace.functions.rules import PAD
 from millrace.functions.text import corpus_text, sample_text
 from millrace.operators.bpe import Vocabulary, train_bpe
@@ -22,10 +23,10 @@ def corpus(
 ) -> DataFrame:
     """(row_id, text) of the rows a vocabulary is learned from; the limit counts across splits."""
     rank = F.array_position(F.array(*[F.lit(s) for s in splits]), F.col("split"))
-    texts = rows.where(F.col("split").isin(*splits)).select(
-        "row_id",
-        rank.alias("split_rank"),
-        corpus_text(F.col("ingredients"), F.col("recipe"), fields).alias("text"),
+    texts = with_once(
+        rows.where(F.col("split").isin(*splits)),
+        ["row_id", rank.alias("split_rank")],
+        text=corpus_text(F.col("ingredients"), F.col("recipe"), fields),
     )
     kept = texts.where(F.col("text") != "")
     return first_n(kept, sample_limit, "split_rank", "row_id").select("row_id", "text")

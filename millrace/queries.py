@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import items as I
 from millrace.functions import lists as L
 from millrace.functions import text as X
+from millrace.functions.once import with_once
 from millrace.functions.rules import PAD
 from millrace.inputs import item_sql
 from millrace.operators import batches as B
@@ -86,17 +87,13 @@ def _turns(spark: SparkSession, d: str) -> DataFrame:
 
 def _rows(spark: SparkSession, d: str) -> DataFrame:
     """Processed rows of the recipe view, ingredient cell taken as it is."""
-    return (
-        recipes_view(spark, d)
-        .select(
-            "row_id",
-            "title",
-            "ingredients",
-            X.format_target(F.col("title"), F.col("directions")).alias("recipe"),
-        )
-        .transform(prepare.drop_empty, "ingredients", "recipe")
-        .withColumn("split", splits.hash_split(F.col("title")))
+    rows = with_once(
+        recipes_view(spark, d),
+        ["row_id", "title", "ingredients"],
+        recipe=X.format_target(F.col("title"), F.col("directions")),
     )
+    rows = prepare.drop_empty(rows, "ingredients", "recipe")
+    return rows.withColumn("split", splits.hash_split(F.col("title")))
 
 
 def _raw_jsonl(spark: SparkSession, d: str, parts: int) -> tuple[str, DataFrame]:
@@ -223,8 +220,8 @@ _on_texts("readable_text", X.readable)
 def dict_map(spark, d):
     """Spelling and alias lookup of every word, as counts per name."""
     words = _items(spark, d).select(F.explode(F.split(F.lower("item"), r"[ ,;.]+")).alias("w"))
-    named = words.where("w <> ''").select(I.preferred_name(F.col("w")).alias("name"))
-    return named.groupBy("name").agg(F.count("*").alias("n"))
+    names = words.where("w <> ''").select(I.preferred_name(F.col("w")).alias("name"))
+    return names.groupBy("name").agg(F.count("*").alias("n"))
 
 
 @query
@@ -270,8 +267,8 @@ def prompt_template(spark, d):
 @query
 def drop_empty(spark, d):
     """Item phrases whose canonical name is not empty."""
-    named = _items(spark, d).select("row_id", "item", I.normalize_item(F.col("item")).alias("name"))
-    return prepare.drop_empty(named, "item", "name").select("row_id", "name")
+    items = with_once(_items(spark, d), ["row_id", "item"], name=I.normalize_item(F.col("item")))
+    return prepare.drop_empty(items, "item", "name").select("row_id", "name")
 
 
 @query
