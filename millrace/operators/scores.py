@@ -85,21 +85,21 @@ def bleu_ngram_stats(
     sides = spread.select(
         *id_cols,
         *group_cols,
-        tokenize_13a(F.col(hypothesis)).alias("h"),
-        tokenize_13a(F.col(reference)).alias("r"),
+        tokenize_13a(F.col(hypothesis)).alias("_hyp"),
+        tokenize_13a(F.col(reference)).alias("_ref"),
     )
     grams = sides.select(
         *id_cols,
         *group_cols,
-        F.explode(F.concat(_grams(F.col("h"), 1), _grams(F.col("r"), 0))).alias("g"),
+        F.explode(F.concat(_grams(F.col("_hyp"), 1), _grams(F.col("_ref"), 0))).alias("_g"),
     )
-    counted = grams.groupBy(*id_cols, *group_cols, "g.n", "g.gram").agg(
-        F.sum(F.col("g.side")).alias("hyp"), F.sum(1 - F.col("g.side")).alias("ref")
+    counted = grams.groupBy(*id_cols, *group_cols, "_g.n", "_g.gram").agg(
+        F.sum(F.col("_g.side")).alias("_hyp"), F.sum(1 - F.col("_g.side")).alias("_ref")
     )
     return counted.groupBy(*group_cols, "n").agg(
-        F.sum(F.least("hyp", "ref")).alias("matches"),
-        F.sum("hyp").alias("total"),
-        F.sum("ref").alias("ref_total"),
+        F.sum(F.least("_hyp", "_ref")).alias("matches"),
+        F.sum("_hyp").alias("total"),
+        F.sum("_ref").alias("ref_total"),
     )
 
 

@@ -45,7 +45,9 @@ def to_letters(word: Column) -> Column:
 
 def from_letters(letters: Column) -> Column:
     """Text of byte letters; bytes that are no UTF-8 become the replacement character."""
-    latin = F.translate(letters, byte_letters(), _LATIN)
+    table = byte_letters()
+    latin = F.translate(letters, table[1:], _LATIN[1:])
+    latin = F.replace(latin, F.lit(table[0]), F.lit("\0"))  # translate reads \0 as "delete"
     return F.make_valid_utf8(F.encode(latin, "ISO-8859-1").cast("string"))
 
 
