@@ -6,34 +6,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions import rules
-from millrace.functions.regex import bind, matches, spaced, sub, whole_words
+from millrace.functions.regex import (
+    any_word,
+    bind,
+    matches,
+    spaced,
+    sub,
+    sub_where,
+    whole_words,
+)
 
 _NUMBER = (
     r"(?<!\w)(?:\d+(?:\.\d+)?(?:\s*/\s*\d+)?|[" + rules.FRACTIONS + r"])(?!\w)"
 )
-_UNIT = whole_words(rules.UNITS)
+_UNIT = any_word(rules.UNITS)
 
 
-# A text without any of these holds nothing for the rewrite rules: every rule needs one of them.
+# A text without any of these holds nothing for the rewrite rules: every rule needs one of them. The
+# last three can stand for an s or an i when case is ignored.
 _TELLTALES = [
     "lily", "eagle", "campbell", "smucker", "chicken", "betty", "jell", "velveeta", "philadelphia",
     "margarine", "shortening", "honey", "cocoa", "lemon", "milk", "peanut", "pollack", "tract",
-    "pcz", "low",
+    "pcz", "low", "ſ", "ı", "i\u0307",
 ]
 
 
 def rewrite_rules(col: Column) -> Column:
     """Delete brands, separate nouns that were run together, repair misreadings; in that order.
 
-    A few plain searches tell if a text needs the fifteen rewrites at all; most texts do not. The
-    letters replaced first are the ones that equal i, s or k when case is ignored.
+    A few plain searches tell if a text needs the fifteen rewrites at all; most texts do not.
     """
     words = F.array(*[F.lit(w) for w in _TELLTALES])
 
     def needed(text: Column) -> Column:
-        folded = F.lower(F.translate(text, "İıſ\u212a", "iisk"))
         return bind(
-            folded,
+            F.lower(text),
             lambda t: F.exists(words, lambda w: F.contains(t, w))
             | (F.contains(t, F.lit("mi")) & matches(t, r"\bmi\b")),
         )
@@ -58,7 +65,7 @@ def _unstick(col: Column, first: str, second: str) -> Column:
 
 
 def drop_parentheses(col: Column) -> Column:
-    return sub(col, r"\s*\([^)]*\)", "")
+    return sub_where(col, "(", r"\s*\([^)]*\)", "")
 
 
 def drop_phrases(col: Column) -> Column:
@@ -128,7 +135,7 @@ def normalize_item(col: Column) -> Column:
     """Canonical name of an item, without quantity, unit and description. Not idempotent."""
     s = F.lower(F.coalesce(col, F.lit("")))
     s = rewrite_rules(s)
-    s = sub(s, whole_words([rules.TEN_X[0]]), rules.TEN_X[1])
+    s = sub_where(s, "sugar", whole_words([rules.TEN_X[0]]), rules.TEN_X[1])
     s = drop_parentheses(s)
     s = drop_phrases(s)
     s = strip_quantities(s)

@@ -81,6 +81,15 @@ def whole_words(texts: list[str]) -> str:
     return r"(?<!\w)(?:" + "|".join(spaced(t) for t in texts) + r")\b"
 
 
+def any_word(words: list[str]) -> str:
+    """Plain words as one pattern, grouped by first letter: fewer tries at each word start."""
+    letters: dict[str, list[str]] = {}
+    for w in words:
+        letters.setdefault(w[0], []).append(w[1:])
+    groups = [f"{c}(?:{'|'.join(rest)})" for c, rest in letters.items()]
+    return r"(?<!\w)(?:" + "|".join(groups) + r")(?!\w)"
+
+
 def sub(col: Column, pattern: str, replacement: str, ignore_case: bool = False) -> Column:
     return F.regexp_replace(col, portable(pattern, ignore_case), replacement)
 
@@ -98,6 +107,14 @@ def strip(col: Column) -> Column:
     return sub(col, r"^\s+|\s+\z", "")
 
 
+def sub_where(col: Column, needle: str, pattern: str, replacement: str) -> Column:
+    """``sub`` for a pattern that cannot match without ``needle``: a plain search decides first."""
+    return bind(
+        col,
+        lambda s: F.when(F.contains(s, F.lit(needle)), sub(s, pattern, replacement)).otherwise(s),
+    )
+
+
 def bind(col: Column, fn) -> Column:
     """Evaluate ``col`` once and hand it to ``fn``, which may use it several times."""
     return F.transform(F.array(col), fn)[0]

@@ -1,4 +1,4 @@
-"""Dense row numbers, batches, padding and shifting of token arrays."""
+"""Batches, padding and shifting of token arrays."""
 
 from __future__ import annotations
 
@@ -8,69 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.rules import IGNORED_TARGET, PAD
 from millrace.operators.encode import at_least_two
-from millrace.operators.splits import order_key
-
-# ---- dense numbers ------------------------------------------------------------------------------
-
-_RADIX_BITS = 20
-
-
-def number_shuffled(df: DataFrame, seed: int | str, id_col: str = "row_id") -> DataFrame:
-    """Add ``idx`` = 0, 1, 2, ... in seeded order.
-
-    The seeded digest of a unique id is even by construction, so its first four hex digits cut the
-    rows into 65,536 equal ranges: rows are numbered inside their range, and the sizes of the
-    ranges before (at most 65,536 rows, hence broadcast) are added.
-    """
-    keyed = df.withColumn("_order", order_key(id_col, seed)).withColumn(
-        "_range", F.substring("_order", 1, 4)
-    )
-    sizes = keyed.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    # at most 65,536 rows go through this one ordered window
-    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(W.partitionBy("_range").orderBy("_order", id_col)) - 1
-    return (
-        keyed.withColumn("_place", place)
-        .join(F.broadcast(starts), "_range")
-        .withColumn("idx", F.col("_start") + F.col("_place"))
-        .drop("_order", "_range", "_start", "_place")
-    )
-
-
-def number_by_id(df: DataFrame, id_col: str = "row_id") -> DataFrame:
-    """Add ``idx`` = 0, 1, 2, ... in the order of a unique 64-bit id.
-
-    Three levels of 20 or so bits each: rows inside a run of 2^20 ids, runs inside a run of runs,
-    and the few thousand top runs. As ids are unique no window ever sees more than 2^24 rows,
-    however the ids are spread; the last level has one row per 2^40 ids.
-    """
-    low, high = F.shiftright(id_col, _RADIX_BITS), F.shiftright(id_col, 2 * _RADIX_BITS)
-    keyed = df.withColumns({"_low": low, "_high": high})
-
-    runs = keyed.groupBy("_high", "_low").agg(F.count("*").alias("_n"))
-    tops = runs.groupBy("_high").agg(F.sum("_n").alias("_n"))
-
-    def running(*order: str):
-        w = W.partitionBy(*order[:-1]) if len(order) > 1 else W
-        return F.coalesce(
-            F.sum("_n").over(
-                w.orderBy(order[-1]).rowsBetween(W.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        )
-
-    starts = runs.select("_high", "_low", running("_high", "_low").alias("_s1")).join(
-        tops.select("_high", running("_high").alias("_s2")), "_high"
-    )
-    place = F.row_number().over(W.partitionBy("_high", "_low").orderBy(id_col)) - 1
-    return (
-        keyed.withColumn("_place", place)
-        .join(starts, ["_high", "_low"])
-        .withColumn("idx", F.col("_s1") + F.col("_s2") + F.col("_place"))
-        .drop("_low", "_high", "_s1", "_s2", "_place")
-    )
-
+from millrace.operators.numbering import number_by_id, number_shuffled
 
 def assign_batches(
     df: DataFrame, size: int, seed: int | None = None, epoch: int = 0, id_col: str = "row_id"

@@ -353,6 +353,39 @@ merged AS (SELECT row_id, array_to_string(list_sort(list_distinct(list_concat(a,
 ORACLES["build_input"] = f"""WITH {MERGED}
 SELECT row_id, lower(coalesce(d.items, '')) AS ingredients
 FROM merged LEFT JOIN d_text d USING (row_id)"""
+
+
+def shown(expr: str) -> str:
+    """An item tidied for display."""
+    t = drop_parens(clean(rewrite(expr)))
+    t = rx(rx(f"replace({t}, ' .', '.')", py(r"\s*,(?:\s*,)*\s*"), ", "), "^[ ,]+|[ ,]+$")
+    return rx(f"replace({t}, '.', '')", f"^[^{WORD}]+|[^{WORD}]+$")
+
+
+def components(table: str, column: str) -> str:
+    """Keys of every part of a cell: (row_id, pos, item, k)."""
+    return f"""
+{table}_l AS (SELECT row_id, {split_cell(column)} AS l FROM cells),
+{table}_i AS (SELECT row_id, generate_subscripts(l, 1) AS pos, {strip('unnest(l)')} AS item FROM {table}_l),
+{table}_a AS (SELECT *, {expand('[item]')} AS alts FROM {table}_i),
+{table}_u AS (SELECT row_id, pos, item, generate_subscripts(alts, 1) AS sub, unnest(alts) AS alt FROM {table}_a),
+{table} AS (SELECT row_id, pos, item, sub, {normalize('alt')} AS k FROM {table}_u)"""
+
+
+ORACLES["merge_keep_display"] = f"""WITH {CELLS}, {components('one', 'items')}, {components('two', 'second')},
+disp AS (SELECT *, {shown('item')} AS d FROM one WHERE k <> ''),
+rich AS (SELECT *, {has_quantity('d')} AS rich FROM disp WHERE d <> ''),
+ranked AS (SELECT *, min(pos * 1000 + sub) OVER (PARTITION BY row_id, k) AS seen, row_number() OVER (
+  PARTITION BY row_id, k ORDER BY rich DESC, length(d) DESC, pos, sub) AS rn FROM rich),
+best AS (SELECT row_id, 1 AS list, seen, k, d FROM ranked WHERE rn = 1),
+extra AS (SELECT row_id, 2 AS list, min(pos * 1000 + sub) AS seen, k, k AS d FROM two
+  WHERE k <> '' AND NOT EXISTS (SELECT 1 FROM best b WHERE b.row_id = two.row_id AND b.k = two.k)
+  GROUP BY row_id, k),
+joined AS (SELECT row_id, string_agg(d, ', ' ORDER BY list, seen) AS t FROM
+  (SELECT * FROM best UNION ALL SELECT * FROM extra) GROUP BY row_id),
+merged AS (SELECT row_id, {rx(rx('t', py(r'\s*,(?:\s*,)*\s*'), ', '), '^[ ,]+|[ ,]+$')} AS m FROM joined),
+{dedup('merged', 'm')}
+SELECT row_id, lower(coalesce(d.items, '')) AS ingredients FROM cells LEFT JOIN d_text d USING (row_id)"""
 ORACLES["prepared_rows"] = f"""WITH {MERGED},
 built AS (SELECT row_id, lower(coalesce(d.items, '')) AS ingredients
   FROM merged LEFT JOIN d_text d USING (row_id))
@@ -525,14 +558,23 @@ def rouge_words(expr: str) -> str:
     return f"list_filter(string_split({s}, ' '), lambda t: t <> '')"
 
 
-# One row of the length table per word of h: a running maximum over the row before.
-ROUGE = f"""{PAIRS},
+# The length table row by row: for each word of h, a running maximum over the row before.
+LCS = f"""
 rt AS (SELECT conv_id, turn, {rouge_words('reference')} AS r, {rouge_words('hypothesis')} AS h FROM pairs),
 lcs AS (SELECT conv_id, turn, len(r) AS nr, len(h) AS nh,
-  list_max(list_reduce(h, lambda prev, tok: list_transform(
-    list_transform(range(1, len(r) + 2), lambda j: CASE WHEN j = 1 THEN 0 ELSE
-      greatest(prev[j], prev[j - 1] + (r[j - 1] = tok)::INT) END),
-    lambda v, k: v), list_transform(range(len(r) + 1), lambda j: 0))) AS raw FROM rt)"""
+  list_reduce(h, lambda acc, tok:
+    list_transform([list_transform(range(len(r) + 1), lambda k: CASE WHEN k = 0 THEN 0
+      ELSE greatest(acc[k + 1], acc[k] + (r[k] = tok)::INT) END)],
+      lambda c: list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])))[1],
+    list_transform(range(len(r) + 1), lambda j: 0)) AS row FROM rt),
+rouge AS (SELECT conv_id, turn, CASE WHEN nr = 0 OR nh = 0 THEN 0.0
+  ELSE 2.0 * row[nr + 1] / (nr + nh) END AS f1 FROM lcs)"""
+ORACLES["rouge_l"] = f"""WITH {PAIRS}, {LCS}
+SELECT conv_id, turn, round(f1, 6) AS rouge_l FROM rouge"""
+ORACLES["metrics_row"] = f"""WITH {BLEU}, {bleu('')}, {LCS}
+SELECT 'val' AS split, (SELECT count(*) FROM pairs) AS "N",
+  round(100 * (SELECT avg(f1) FROM rouge), 6) AS "rougeL_f1",
+  round((SELECT bleu FROM score), 6) AS bleu"""
 
 ORACLES["perplexity"] = """
 SELECT event_type, user_id, round(avg(value / 10), 6) AS mean_loss,

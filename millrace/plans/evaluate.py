@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import readable
+from millrace.operators.numbering import first_n, seeded_sample
 from millrace.operators.scores import metrics_row
-from millrace.operators.splits import first_n, seeded_sample
 from millrace.sources.files import write_metrics, write_predictions
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from millrace.functions.rules import PAD
 from millrace.functions.text import corpus_text, sample_text
 from millrace.operators.bpe import Vocabulary, train_bpe
 from millrace.operators.encode import at_least_two, encode_corpus
-from millrace.operators.splits import first_n
+from millrace.operators.numbering import first_n
 from millrace.operators.words import normalize_text, word_counts
 from millrace.sources.files import SPLITS, write_token_cache
 
@@ -22,14 +24,22 @@ def corpus(
     sample_limit: int = 0,
 ) -> DataFrame:
     """(row_id, text) of the rows a vocabulary is learned from; the limit counts across splits."""
-    rank = F.array_position(F.array(*[F.lit(s) for s in splits]), F.col("split"))
     texts = with_once(
         rows.where(F.col("split").isin(*splits)),
-        ["row_id", rank.alias("split_rank")],
+        ["row_id", "split"],
         text=corpus_text(F.col("ingredients"), F.col("recipe"), fields),
     )
     kept = texts.where(F.col("text") != "")
-    return first_n(kept, sample_limit, "split_rank", "row_id").select("row_id", "text")
+    if not sample_limit:
+        return kept.select("row_id", "text")
+    parts = []
+    for split in splits:
+        if sample_limit <= 0:
+            break
+        part = kept.where(F.col("split") == split).select("row_id", "text")
+        parts.append(first_n(part, sample_limit))
+        sample_limit -= part.count()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def build_vocabulary(

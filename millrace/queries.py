@@ -14,7 +14,7 @@ from millrace.functions.once import with_once
 from millrace.functions.rules import PAD
 from millrace.inputs import item_sql
 from millrace.operators import batches as B
-from millrace.operators import heads, runs, scores, splits
+from millrace.operators import heads, numbering, runs, scores, splits
 from millrace.operators import words as W
 from millrace.operators.bpe import Vocabulary, pair_counts
 from millrace.operators.cells import parse_list
@@ -274,7 +274,7 @@ def drop_empty(spark, d):
 @query
 def first_n(spark, d):
     rows = prepare.drop_empty(recipes_view(spark, d), "title", "ingredients")
-    return splits.first_n(rows.select("row_id", "title"), 200, "row_id")
+    return numbering.first_n(rows.select("row_id", "title"), 200)
 
 
 # ---- D: lists -----------------------------------------------------------------------------------
@@ -363,13 +363,13 @@ def split_leakage_audit(spark, d):
 
 @query
 def seeded_sample(spark, d):
-    return splits.seeded_sample(recipes_view(spark, d).select("row_id", "title"), 200, seed=123)
+    return numbering.seeded_sample(recipes_view(spark, d).select("row_id", "title"), 200, seed=123)
 
 
 @query
 def epoch_order(spark, d):
     rows = recipes_view(spark, d).select("row_id")
-    return B.number_shuffled(rows, "42-1").select("row_id", F.col("idx").cast("bigint").alias("idx"))
+    return numbering.number_shuffled(rows, "42-1").select("row_id", F.col("idx").cast("bigint").alias("idx"))
 
 
 @query

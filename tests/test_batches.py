@@ -4,6 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from millrace.operators import batches as B
+from millrace.operators import numbering as N
 from millrace.operators.encode import at_least_two, attention_mask
 
 SCHEMA = "row_id long, ids array<int>"
@@ -35,9 +36,9 @@ def test_numbers(spark):
     ids = {(p << 33) + i for p in range(5) for i in range(200)}
     ids |= {rng.randrange(-(2**62), 2**62) for _ in range(500)} | set(range(2**20 - 50, 2**20 + 50))
     df = spark.createDataFrame([(i,) for i in ids], "row_id long").repartition(5)
-    got = {r["row_id"]: r["idx"] for r in B.number_by_id(df).collect()}
+    got = {r["row_id"]: r["idx"] for r in N.number_by_id(df).collect()}
     assert got == {v: i for i, v in enumerate(sorted(ids))}
-    got = {r["row_id"]: r["idx"] for r in B.number_shuffled(df, 9).collect()}
+    got = {r["row_id"]: r["idx"] for r in N.number_shuffled(df, 9).collect()}
     order = sorted(ids, key=lambda i: hashlib.md5(f"{i}#9".encode()).hexdigest())
     assert got == {v: i for i, v in enumerate(order)}
 
@@ -57,3 +58,15 @@ def test_token_stats(spark):
     r = B.token_stats(df.withColumn("split", F.lit("a")), "split", 2, 8).first()
     assert (r["samples"], r["tokens"], r["approx_tokens"]) == (3, 7 + 3 + 6, 2 * 2 * 6)
     assert abs(r["truncated_share"] - 1 / 3) < 1e-9 and abs(r["pad_share"] - (1 - 19 / 24)) < 1e-9
+
+
+def test_first_rows(spark, monkeypatch):
+    """Top-n and numbering give the same rows."""
+    df = spark.createDataFrame([(i * 7919 % 1000003,) for i in range(500)], "row_id long")
+    ids = lambda out: sorted(r["row_id"] for r in out.collect())
+    top = ids(N.first_n(df, 40)), ids(N.seeded_sample(df, 40, seed=5))
+    monkeypatch.setattr(N, "TOP_ROWS", 10)
+    assert (ids(N.first_n(df, 40)), ids(N.seeded_sample(df, 40, seed=5))) == top
+    want = sorted((i * 7919 % 1000003 for i in range(500)), key=lambda i: hashlib.md5(f"{i}#5".encode()).hexdigest())
+    assert top[1] == sorted(want[:40])
+    assert N.first_n(df, 0).count() == N.seeded_sample(df, 0).count() == 500
