@@ -9,6 +9,7 @@ from millrace.functions import rules
 from millrace.functions.regex import (
     any_word,
     bind,
+    constant,
     matches,
     spaced,
     sub,
@@ -36,7 +37,7 @@ def rewrite_rules(col: Column) -> Column:
 
     A few plain searches tell if a text needs the fifteen rewrites at all; most texts do not.
     """
-    words = F.array(*[F.lit(w) for w in _TELLTALES])
+    words = constant(_TELLTALES)
 
     def needed(text: Column) -> Column:
         return bind(
@@ -94,7 +95,9 @@ def collapse_whitespace(col: Column) -> Column:
 
 
 def drop_stopwords(tokens: Column, words: list[str] | None = None) -> Column:
-    return F.filter(tokens, lambda t: ~t.isin(words or rules.DESCRIPTORS))
+    listed = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words or rules.DESCRIPTORS)
+    # one parsed text instead of a literal per word; Spark turns the list into a hash set
+    return F.call_function("filter", tokens, F.expr(f"t -> t NOT IN ({listed})"))
 
 
 def singularize(word: Column) -> Column:
@@ -127,8 +130,7 @@ def strip_edges(col: Column) -> Column:
 def preferred_name(col: Column) -> Column:
     """Spelling, then alias, both of the whole text, as one lookup in the two combined."""
     names = {**rules.ALIASES, **{k: rules.ALIASES.get(v, v) for k, v in rules.SPELLING.items()}}
-    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    return bind(col, lambda s: F.coalesce(F.element_at(table, s), s))
+    return bind(col, lambda s: F.coalesce(F.element_at(constant(names), s), s))
 
 
 def normalize_item(col: Column) -> Column:

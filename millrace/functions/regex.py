@@ -8,6 +8,8 @@ class lists the characters of ``str.isspace``. Every pattern of the library goes
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -90,6 +92,12 @@ def any_word(words: list[str]) -> str:
     return r"(?<!\w)(?:" + "|".join(groups) + r")(?!\w)"
 
 
+def constant(value: list | dict) -> Column:
+    """A list or map of texts as one literal, folded when the plan is optimized."""
+    kind = "map<string, string>" if isinstance(value, dict) else "array<string>"
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
 def sub(col: Column, pattern: str, replacement: str, ignore_case: bool = False) -> Column:
     return F.regexp_replace(col, portable(pattern, ignore_case), replacement)
 

@@ -65,9 +65,10 @@ def prompt(ingredients: Column, scaffold: Column | str = "basic") -> Column:
     return F.concat(F.lit("Ingredients: "), ingredients, end)
 
 
-def readable(col: Column) -> Column:
-    """Turn the visible blank of byte-level pieces into a blank and fold runs of blanks."""
-    return strip(F.regexp_replace(F.replace(col, F.lit("Ġ"), F.lit(" ")), " {2,}", " "))
+def readable(col: Column, fold: bool = True) -> Column:
+    """Turn the visible blank of byte-level pieces into a blank; ``fold`` runs of blanks."""
+    col = F.replace(col, F.lit("Ġ"), F.lit(" "))
+    return strip(F.regexp_replace(col, " {2,}", " ") if fold else col)
 
 
 def corpus_text(

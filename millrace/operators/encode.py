@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import heapq
-import json
 import unicodedata
 from collections.abc import Iterator
 
@@ -13,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.regex import constant
 from millrace.functions.rules import BOS, EOS, PAD, SPECIALS, UNK
 from millrace.operators.bpe import Vocabulary
 from millrace.operators.words import from_letters, nfkc_risky, pretokenize, to_letters
@@ -170,7 +170,7 @@ def decode(ids: Column, vocab: Vocabulary, stop_at_eos: bool = True) -> Column:
         end = F.array_position(ids, F.lit(EOS))
         ids = F.when(end > 0, F.slice(ids, F.lit(1), (end - 1).cast("int"))).otherwise(ids)
     kept = F.filter(ids, lambda i: i >= len(SPECIALS))
-    tokens = F.from_json(F.lit(json.dumps(vocab.tokens)), "array<string>")
+    tokens = constant(vocab.tokens)
     return from_letters(F.array_join(F.transform(kept, lambda i: F.get(tokens, i)), ""))
 
 

@@ -24,7 +24,7 @@ def evaluate(
         pairs = seeded_sample(pairs, limit, "row_id", seed)
     else:
         pairs = first_n(pairs, limit, "row_id")
-    pairs = pairs.withColumn("hypothesis", readable(F.col("hypothesis")))
+    pairs = pairs.withColumn("hypothesis", readable(F.col("hypothesis"), fold=False))
     metrics = metrics_row(pairs, split, ["row_id"])
     if out:
         write_predictions(pairs, f"{out}/{split}/predictions", "overwrite")

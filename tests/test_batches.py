@@ -70,3 +70,18 @@ def test_first_rows(spark, monkeypatch):
     want = sorted((i * 7919 % 1000003 for i in range(500)), key=lambda i: hashlib.md5(f"{i}#5".encode()).hexdigest())
     assert top[1] == sorted(want[:40])
     assert N.first_n(df, 0).count() == N.seeded_sample(df, 0).count() == 500
+
+
+def test_loader(spark):
+    from millrace.operators.bpe import Vocabulary
+    from millrace.plans import loader
+
+    vocab = Vocabulary(["a", "b", "ab"], [("a", "b")], lower=False, nfkc=False)
+    texts = spark.createDataFrame([(1, "ab"), (2, "aba"), (3, "b")], "row_id long, text string")
+    got = loader.encode_batch(texts, vocab, 2, left=True, pad_to=4).orderBy("row_id").collect()
+    assert [r["input_ids"] for r in got] == [[0, 1, 10, 2], [1, 10, 8, 2], [0, 1, 9, 2]]
+    assert [(r["batch_id"], r["pos"]) for r in got] == [(0, 0), (0, 1), (1, 0)]
+    cached = texts.select("row_id", F.array(F.lit(1), F.lit(5), F.lit(2)).alias("ids"))
+    assert loader.training_batches(cached, 2).count() == 3
+    first = loader.validation_batches(cached, 2).orderBy("batch_id", "pos").first()
+    assert (first["x"], first["y"]) == ([1, 5], [5, 2])
