@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.regex import sub, strip
+from millrace.functions.regex import strip, sub
+
+# --- fixed values: formats of targets, samples, prompts and vocabulary texts ----------------------
+TITLE, STEP, STEP_END = "Title: ", "Step ", ": "
+SAMPLE = ("Ingredients: ", "\nRecipe: ")
+PROMPT, PROMPT_END, PROMPT_TITLE_END = "Ingredients: ", "\nRecipe:", "\nRecipe:\nTitle:"
+TITLE_SCAFFOLD = "title_then_steps"
+TAGS = {"title": "<TITLE> ", "ingredients": "<ING> ", "recipe": "<REC> "}
+VISIBLE_BLANK = "Ġ"
 
 
 def clean(col: Column) -> Column:
@@ -34,9 +42,9 @@ def format_target(title: Column, steps: Column) -> Column:
     )
     lines = F.transform(
         F.filter(cleaned, lambda p: p["s"] != ""),
-        lambda p: F.concat(F.lit("Step "), (p["i"] + 1).cast("string"), F.lit(": "), p["s"]),
+        lambda p: F.concat(F.lit(STEP), (p["i"] + 1).cast("string"), F.lit(STEP_END), p["s"]),
     )
-    head = F.when(title != "", F.concat(F.lit("Title: "), title))
+    head = F.when(title != "", F.concat(F.lit(TITLE), title))
     return F.array_join(F.concat(F.array_compact(F.array(head)), lines), "\n")
 
 
@@ -48,9 +56,9 @@ def title_line(target: Column) -> Column:
 def sample_text(ingredients: Column, recipe: Column) -> Column:
     """The text that is encoded for one processed row."""
     return F.concat(
-        F.lit("Ingredients: "),
+        F.lit(SAMPLE[0]),
         F.coalesce(ingredients, F.lit("")),
-        F.lit("\nRecipe: "),
+        F.lit(SAMPLE[1]),
         F.coalesce(recipe, F.lit("")),
     )
 
@@ -59,15 +67,13 @@ def prompt(ingredients: Column, scaffold: Column | str = "basic") -> Column:
     """Prompt of one row; a scaffold that is not known means the basic one."""
     if isinstance(scaffold, str):
         scaffold = F.lit(scaffold)
-    end = F.when(scaffold == "title_then_steps", F.lit("\nRecipe:\nTitle:")).otherwise(
-        F.lit("\nRecipe:")
-    )
-    return F.concat(F.lit("Ingredients: "), ingredients, end)
+    end = F.when(scaffold == TITLE_SCAFFOLD, F.lit(PROMPT_TITLE_END)).otherwise(F.lit(PROMPT_END))
+    return F.concat(F.lit(PROMPT), ingredients, end)
 
 
 def readable(col: Column, fold: bool = True) -> Column:
     """Turn the visible blank of byte-level pieces into a blank; ``fold`` runs of blanks."""
-    col = F.replace(col, F.lit("Ġ"), F.lit(" "))
+    col = F.replace(col, F.lit(VISIBLE_BLANK), F.lit(" "))
     return strip(F.regexp_replace(col, " {2,}", " ") if fold else col)
 
 
@@ -77,12 +83,10 @@ def corpus_text(
     fields: tuple[str, ...] = ("ingredients", "recipe", "title"),
 ) -> Column:
     """Tagged text of one row for building a vocabulary; ``""`` if no part is there."""
-    first = title_line(recipe)
-    parts = []
-    if "title" in fields:
-        parts.append(F.when(first != "", F.concat(F.lit("<TITLE> "), first)))
-    if "ingredients" in fields:
-        parts.append(F.when(ingredients != "", F.concat(F.lit("<ING> "), ingredients)))
-    if "recipe" in fields:
-        parts.append(F.when(recipe != "", F.concat(F.lit("<REC> "), recipe)))
+    values = {"title": title_line(recipe), "ingredients": ingredients, "recipe": recipe}
+    parts = [
+        F.when(value != "", F.concat(F.lit(TAGS[name]), value))
+        for name, value in values.items()
+        if name in fields
+    ]
     return F.concat_ws(" ", *parts)
