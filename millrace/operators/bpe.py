@@ -33,7 +33,8 @@ from millrace.sources.shared import materialize
 
 MAX_PIECES = 1_000_000  # bound of everything that is handed to all tasks
 _HEAD = 256  # ranked pairs looked at per round
-_ROUNDS = 24  # rounds until the words are written anew, which cuts the chain of cached tables
+_WORDS_PER_TASK = 100_000
+_PENDING = 64  # merges replayed on the stored words before they are written anew
 
 # Symbols of merged pieces start after the byte letters and step over the surrogates.
 _FIRST_MERGED = 0x1000
@@ -109,6 +110,13 @@ def _replay(syms: Column, merges: list[tuple[str, str]]) -> Column:
     return F.aggregate(literal, syms, lambda text, m: F.replace(text, m["p"], m["s"]))
 
 
+def _width(words: DataFrame) -> int:
+    """Tasks per round: few bytes but much work per word, so not what AQE would merge them to."""
+    spark = words.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(spark.sparkContext.defaultParallelism, words.count() // _WORDS_PER_TASK))
+
+
 def train_bpe(
     words: DataFrame,
     vocab_size: int,
@@ -119,28 +127,25 @@ def train_bpe(
     """Learn merges from (word, n) until the vocabulary is full or no pair is frequent enough."""
     if vocab_size > MAX_PIECES:
         raise ValueError(f"vocab_size above {MAX_PIECES}")
-    spark = words.sparkSession
-    # few bytes but much work per word: keep the full width instead of letting AQE coalesce
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     words = words.select("word", to_letters(F.col("word")).alias("syms"), "n")
-    stored = materialize(words.repartition(width, "word"), "words")
+    stored = materialize(words, "words")
     letters = [r["letter"] for r in byte_alphabet(stored).select("letter").collect()]
     pieces = sorted(letters)
     text_of = {c: c for c in pieces}  # symbol -> piece
     symbol_of = dict(text_of)  # piece -> symbol
     merges: list[tuple[str, str]] = []
     pending: list[tuple[str, str]] = []
-    rounds = 0
-    stored = stored.select("syms", "n").persist()  # backed by the written table
+    # cached, and backed by the written table
+    stored = stored.select("syms", "n").repartition(_width(stored), "syms").persist()
     room = vocab_size - len(SPECIALS) - len(pieces)
 
     while room > 0:
         current = stored.select(_replay(F.col("syms"), pending).alias("syms"), "n")
-        if rounds == _ROUNDS:
+        if len(pending) >= _PENDING:
             # words that are one piece by now have no pairs left to give
-            current = materialize(current.where(F.length("syms") > 1), "words")
-            rounds = 0
-        current.persist()
+            current = materialize(current.where(F.length("syms") > 1), "words").persist()
+            stored.unpersist()
+            stored, pending = current, []
         ranked = (
             pair_counts(current)
             .where(F.col("n") >= min_frequency)
@@ -148,8 +153,6 @@ def train_bpe(
             .limit(_HEAD)
             .collect()
         )
-        stored.unpersist()
-        stored, pending, rounds = current, [], rounds + 1
         starts: set[str] = set()
         ends: set[str] = set()
         progress = False
