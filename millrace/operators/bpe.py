@@ -34,7 +34,7 @@ from millrace.sources.shared import materialize
 MAX_PIECES = 1_000_000  # bound of everything that is handed to all tasks
 _HEAD = 256  # ranked pairs looked at per round
 _WORDS_PER_TASK = 100_000
-_PENDING = 64  # merges replayed on the stored words before they are written anew
+_PENDING = 48  # merges replayed on the stored words before they are written anew
 
 # Symbols of merged pieces start after the byte letters and step over the surrogates.
 _FIRST_MERGED = 0x1000
