@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, records
+from millrace.llm import line_quality, packing, records
 from millrace.llm.texts import ID
 from millrace.sources.shared import new_path
 from millrace.sources.tables import table
@@ -46,3 +46,17 @@ def op6_token_records(spark, d):
     records.write_records(table(spark, d, "documents"), out, WORD_BPE)
     rows = records.read_records(records.read_index(spark, out), out)
     return rows.select(ID, "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op8_line_first_cleaning(spark, d):
+    return line_quality.clean_lines(table(spark, d, "documents")).select(
+        ID,
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
