@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,15 +19,16 @@ SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|<>•·»›"
 MARKS = r"[|<>•·»›#*$%&]"
 PUNCTUATION = r"[,.;:!?…。、！？]"
+# without their first letters, which may be capitals
 BOILERPLATE = (
-    "all rights reserved",
-    "privacy policy",
-    "terms of use",
-    "terms of service",
-    "javascript",
-    "lorem ipsum",
-    "click here",
-    "subscribe to our",
+    "ll rights reserved",
+    "rivacy policy",
+    "erms of use",
+    "erms of service",
+    "avaScript",
+    "orem ipsum",
+    "lick here",
+    "ubscribe to our",
 )
 # characters a line may have for each separator, symbol or bang before it fails (about five words,
 # ten words, ten words), and how long a line without punctuation may be
@@ -51,22 +55,22 @@ def _windows(hashes: Column) -> Column:
     )
 
 
+def _holds_boilerplate(text: Column) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(p)) for p in BOILERPLATE])
+
+
 def _line_fails(line: Column, marks: Column, boilerplate: Column) -> Column:
     """The rules for one line; ``marks`` and ``boilerplate``: what its document holds at all."""
     size = F.char_length(line)
     odd = (_count(line, SEPARATORS) * PER_SEPARATOR > size) | (
         _count(line, SYMBOLS) * PER_SYMBOL > size
     )
-    phrases = [F.contains(F.lower(line), F.lit(p)) for p in BOILERPLATE]
-    known = phrases[0]
-    for p in phrases[1:]:
-        known = known | p
     return (
         F.when(~line.rlike(WORD), False)
         .when(marks & odd, True)
-        .when(line.contains("!!"), (_count(line, "!") * PER_BANG > size) & (F.upper(line) == line))
+        .when(line.contains("!!"), (_count(line, "!") * PER_BANG > size) & ~line.rlike(r"\p{Ll}"))
         .when((size > BARE) & ~line.rlike(PUNCTUATION), True)
-        .when(boilerplate, known)
+        .when(boilerplate, _holds_boilerplate(line))
         .otherwise(False)
     )
 
@@ -86,10 +90,6 @@ def clean_lines(
     one by one; no row is shuffled. Extra columns are not read.
     """
     text = F.col(TEXT)
-    phrases = [F.contains(F.lower(text), F.lit(p)) for p in BOILERPLATE]
-    boilerplate = phrases[0]
-    for p in phrases[1:]:
-        boilerplate = boilerplate | p
     lines = F.split(text, "\n")
     rows = with_once(
         id_text(docs),
@@ -97,7 +97,7 @@ def clean_lines(
         words=words_of(text),
         lines=lines,
         marks=text.rlike(MARKS),
-        boilerplate=boilerplate,
+        boilerplate=_holds_boilerplate(text),
         n_symbols=F.when(text.rlike(MARKS), _count(text, SYMBOLS)).otherwise(0),
     )
     full = F.filter("lines", lambda x: x.rlike(WORD))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import line_quality, packing, records
-from millrace.llm.texts import ID
+from millrace.llm import line_quality, packing, pii, records
+from millrace.llm.spans import in_order
+from millrace.llm.texts import ID, joined_spans
 from millrace.sources.shared import new_path
 from millrace.sources.tables import table
 
@@ -24,6 +25,10 @@ def query(fn):
     return fn
 
 
+def _count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
 @query
 def op1_power_of_two_packing(spark, d):
     pieces = packing.pack(table(spark, d, "documents"), WORD_BPE)
@@ -60,3 +65,15 @@ def op8_line_first_cleaning(spark, d):
         "base_failed",
         "kept",
     )
+
+
+@query
+def op5_pii_boosting(spark, d):
+    rows = pii.find_pii(table(spark, d, "documents"))
+    kinds = [*pii.KINDS, *pii.LOOSE]
+    return rows.select(
+        ID,
+        *[_count("base", k) for k in pii.KINDS],
+        F.sha2(joined_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        joined_spans(in_order(F.concat("base", "added"), kinds)).alias("spans"),
+    )

@@ -57,12 +57,17 @@ def matches(text: Column, pattern: str, kind: str, gate: Column) -> Column:
     return F.when(gate, spans).otherwise(F.array().cast(SPAN))
 
 
-def in_order(spans: Column, kinds: list[str] | None = None) -> Column:
-    """Sorted by start, then end and kind; or by kind as listed, then start."""
-    def key(s):
-        if kinds is None:
-            return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-        place = F.array_position(F.array(*[F.lit(k) for k in kinds]), s["kind"])
-        return F.struct(place.alias("p"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-
-    return F.array_sort(F.transform(spans, key))
+def in_order(spans: Column, kinds: list[str]) -> Column:
+    """Sorted by start, then kind as listed, then end."""
+    place = F.array(*[F.lit(k) for k in kinds])
+    return F.array_sort(
+        F.transform(
+            spans,
+            lambda s: F.struct(
+                s["start"].alias("start"),
+                F.array_position(place, s["kind"]).alias("place"),
+                s["end"].alias("end"),
+                s["kind"].alias("kind"),
+            ),
+        )
+    )
