@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import line_quality, packing, pii, records
+from millrace.llm import line_quality, packing, pieces, pii, records, secret_scan, toxicity
 from millrace.llm.spans import in_order
 from millrace.llm.texts import ID, joined_spans
 from millrace.sources.shared import new_path
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(fn):
@@ -77,3 +78,40 @@ def op5_pii_boosting(spark, d):
         F.sha2(joined_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         joined_spans(in_order(F.concat("base", "added"), kinds)).alias("spans"),
     )
+
+
+@query
+def op3_randomness_battery(spark, d):
+    rows = secret_scan.find_secrets(table(spark, d, "documents"))
+    return rows.select(
+        ID,
+        *[_count("base", k) for k in secret_scan.KINDS[:3]],
+        F.sha2(joined_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        joined_spans(in_order(F.concat("base", "added"), secret_scan.KINDS)).alias("spans"),
+    )
+
+
+@query
+def op9_levenshtein_toxicity(spark, d):
+    docs = table(spark, d, "documents")
+    model = toxicity.train(docs, table(spark, d, "labels"))
+    rows = toxicity.score_toxicity(docs, model)
+    return rows.select(
+        ID,
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op10_shared_prefix_pieces(spark, d):
+    """Whole texts encoded and decoded again."""
+    encoded = pieces.encode_pieces(table(spark, d, "documents"), PIECE_BPE)
+    return pieces.decode_pieces(encoded, PIECE_BPE).select(
+        ID,
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.col("text")).alias("same"),
+    )
