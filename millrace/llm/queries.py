@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import line_quality, packing, pieces, pii, records, secret_scan, toxicity
+from millrace.llm import attribution, fingerprints, line_quality, packing, pieces, pii, records
+from millrace.llm import secret_scan, toxicity
 from millrace.llm.spans import in_order
 from millrace.llm.texts import ID, joined_spans
-from millrace.sources.shared import new_path
+from millrace.sources.shared import materialize, new_path
 from millrace.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +116,39 @@ def op10_shared_prefix_pieces(spark, d):
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         (F.col("decoded") == F.col("text")).alias("same"),
     )
+
+
+@query
+def op2_offset_attribution(spark, d):
+    """Tokens in every window of 1,000 characters; a token on a border goes where most of it lies."""
+    sections = attribution.windows(F.col("text"), 1000)
+    return attribution.section_tokens(table(spark, d, "documents"), sections, WORD_BPE)
+
+
+@query
+def op7_i_match(spark, d):
+    docs = table(spark, d, "documents")
+    terms = fingerprints.lexicon(docs)
+    own = fingerprints.fingerprints(docs, terms).dropDuplicates([ID, "h"])
+    half = F.floor(F.col("n_chars") / 2).cast("int").alias("half")
+    chain = fingerprints.chained(own.select(ID, "h", half, "fingerprint"), ["fingerprint"])
+    chain = materialize(chain, "fingerprint-chain")
+    edited = fingerprints.edited_texts(docs, chain)
+    edited = edited.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    keep = [ID, "h", "n_chars", "edited_sha256"]
+    edited = fingerprints.with_fingerprint(edited, "edited", "edited_fingerprint", terms, keep)
+    near = fingerprints.likeness
+    same = F.col(f"e.{ID}").eqNullSafe(F.col(f"c.{ID}")) & (F.col("e.h") == F.col("c.h"))
+    return (
+        edited.alias("e")
+        .join(chain.alias("c"), same)
+        .select(
+            F.col(f"e.{ID}").alias(ID),
+            "n_chars",
+            "edited_sha256",
+            "fingerprint",
+            "edited_fingerprint",
+            near(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+            near(F.col("fingerprint"), F.col("next.fingerprint")).alias("near_next"),
+        )
+    )

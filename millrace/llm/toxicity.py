@@ -111,7 +111,12 @@ def _stems(words: Column, k: int) -> Column:
 
 
 def _least(words: str) -> list[Column]:
-    return [F.array_min(F.transform(words, h)) for h in (lambda w: F.xxhash64(w), lambda w: F.crc32(w.cast("binary")))]
+    """Two least hashes of the long words, which documents seldom share by chance."""
+    long = F.filter(words, lambda w: F.char_length(w) >= 8)
+    return [
+        F.array_min(F.transform(long, lambda w: F.xxhash64(w))),
+        F.array_min(F.transform(long, lambda w: F.crc32(w.cast("binary")))),
+    ]
 
 
 def _choose(support: dict[str, int]) -> tuple[list[str], list[str]]:
