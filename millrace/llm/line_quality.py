@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.once import with_once
-from millrace.llm.texts import ID, TEXT, id_text
+from millrace.llm.texts import ID, TEXT, id_text, whole_rows
 
 # --- fixed values: word characters, symbols and the line rules' lists ------------------------------
 BLANKS = " \t\n\x0b\f\r"
@@ -76,7 +76,11 @@ def _line_fails(line: Column, marks: Column, boilerplate: Column) -> Column:
 
 
 def clean_lines(
-    docs: DataFrame, min_kept: float = 0.5, min_words: int = 10, max_repeat: int = 20
+    docs: DataFrame,
+    min_kept: float = 0.5,
+    min_words: int = 10,
+    max_repeat: int = 20,
+    keep: bool = False,
 ) -> DataFrame:
     """Clean every text line by line and judge the document by what is left.
 
@@ -87,13 +91,15 @@ def clean_lines(
     of prose, if it shouts, if it is long and has no punctuation, or holds a boilerplate phrase.
 
     Null and empty texts have no words: counts 0, base_failed, not kept. Repeated rows are judged
-    one by one; no row is shuffled. Extra columns are not read.
+    one by one; no row is shuffled. Extra columns are not read; with ``keep`` the whole row comes
+    along as ``doc``.
     """
     text = F.col(TEXT)
+    source, ids = (id_text(docs), [ID]) if not keep else (whole_rows(docs), [ID, "doc"])
     lines = F.split(text, "\n")
     rows = with_once(
-        id_text(docs),
-        [ID],
+        source,
+        ids,
         words=words_of(text),
         lines=lines,
         marks=text.rlike(MARKS),
@@ -104,7 +110,7 @@ def clean_lines(
     passed = F.filter("lines", lambda x: ~_line_fails(x, F.col("marks"), F.col("boilerplate")))
     rows = with_once(
         rows,
-        [ID, "n_symbols"],
+        [*ids, "n_symbols"],
         n_words=F.size("words"),
         word_chars=F.char_length(F.array_join("words", "")),
         n_dup_lines=F.size(full) - F.size(F.array_distinct(full)),
@@ -118,13 +124,13 @@ def clean_lines(
         F.char_length(F.translate(clean, BLANKS, ""))
     )
     rows = with_once(
-        rows, [ID, *counts], clean_text=clean, kept_chars=kept_chars, windows=_windows(F.col("hashes"))
+        rows, [*ids, *counts], clean_text=clean, kept_chars=kept_chars, windows=_windows(F.col("hashes"))
     )
     # only texts in which a window occurs twice are sorted
     twice = F.size("windows") > F.size(F.array_distinct("windows"))
     pair = lambda h, i: F.struct(h.alias("h"), i.alias("i"))
     ordered = F.when(twice, F.sort_array(F.transform("windows", pair)))
-    rows = with_once(rows, [ID, *counts, "clean_text", "kept_chars"], ordered=ordered)
+    rows = with_once(rows, [*ids, *counts, "clean_text", "kept_chars"], ordered=ordered)
     o = F.col("ordered")
     again = F.filter(
         o,
@@ -133,7 +139,7 @@ def clean_lines(
     )
     rows = with_once(
         rows,
-        [ID, *counts, "clean_text", "kept_chars"],
+        [*ids, *counts, "clean_text", "kept_chars"],
         at=F.sort_array(F.transform(again, lambda x: x["i"])),
     )
     at = F.col("at")
@@ -144,7 +150,7 @@ def clean_lines(
     )
     repeat = F.coalesce(covered, F.lit(0)).cast("bigint")
     rows = rows.select(
-        ID,
+        *ids,
         *[F.col(c).cast("bigint").alias(c) for c in counts],
         repeat.alias("n_repeat_words"),
         "clean_text",

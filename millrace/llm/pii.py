@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.once import with_once
 from millrace.llm.spans import SPAN, in_order, matches
-from millrace.llm.texts import ID, TEXT, id_text
+from millrace.llm.texts import ID, TEXT, id_text, whole_rows
 from millrace.sources.shared import materialize
 
 # --- fixed values: the strict formats. Possessive loops match what plain ones do, without a stack;
@@ -184,13 +184,7 @@ def find_pii(docs: DataFrame, sample: int = 20_000, precision: float = 0.95, kee
     Null and empty texts have no spans. Rows are handled one by one, equal ones alike. Extra columns
     are not read; with ``keep`` the whole row comes along as ``doc``.
     """
-    if keep:
-        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-        rows = docs.select(whole.alias("doc")).select(
-            F.col(f"doc.{ID}").alias(ID), F.coalesce(f"doc.{TEXT}", F.lit("")).alias(TEXT), "doc"
-        )
-    else:
-        rows = id_text(docs)
+    rows = whole_rows(docs) if keep else id_text(docs)
     carried = [c for c in rows.columns]
     text = F.col(TEXT)
     # rows are told apart by id and text; equal rows share their candidates

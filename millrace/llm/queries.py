@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import attribution, fingerprints, line_quality, packing, pieces, pii, records
-from millrace.llm import secret_scan, toxicity
+from millrace.llm import attribution, fingerprints, jaccard, line_quality, packing, pieces, pii
+from millrace.llm import records, secret_scan, toxicity
 from millrace.llm.spans import in_order
 from millrace.llm.texts import ID, joined_spans
 from millrace.sources.shared import materialize, new_path
@@ -152,3 +152,8 @@ def op7_i_match(spark, d):
             near(F.col("fingerprint"), F.col("next.fingerprint")).alias("near_next"),
         )
     )
+
+
+@query
+def op4_universe_partition(spark, d):
+    return jaccard.jaccard_components(table(spark, d, "documents"))

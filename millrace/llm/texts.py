@@ -17,6 +17,14 @@ def id_text(docs: DataFrame, id_col: str = ID, text_col: str = TEXT) -> DataFram
     )
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """Id, text (null: empty) and the whole row as ``doc``, so that names of its columns cannot clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(whole.alias("doc")).select(
+        F.col(f"doc.{ID}").alias(ID), F.coalesce(f"doc.{TEXT}", F.lit("")).alias(TEXT), "doc"
+    )
+
+
 def id_type(docs: DataFrame) -> str:
     return docs.schema[ID].dataType.simpleString()
 

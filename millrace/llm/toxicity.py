@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.once import with_once
 from millrace.llm.automaton import EXACT, Automaton
-from millrace.llm.texts import ID, TEXT, id_text, text_array
+from millrace.llm.texts import ID, TEXT, id_text, text_array, whole_rows
 from millrace.sources.shared import materialize
 
 # --- fixed values: cues in the window around a hit ---------------------------------------------------
@@ -244,8 +244,4 @@ def score_toxicity(docs: DataFrame, model: Model, keep: bool = False) -> DataFra
     """
     if not keep:
         return _score_rows(id_text(docs), model, [])
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(whole.alias("doc")).select(
-        F.col(f"doc.{ID}").alias(ID), F.coalesce(f"doc.{TEXT}", F.lit("")).alias(TEXT), "doc"
-    )
-    return _score_rows(rows, model, ["doc"])
+    return _score_rows(whole_rows(docs), model, ["doc"])
