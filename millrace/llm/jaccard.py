@@ -28,7 +28,8 @@ from millrace.llm.texts import ID, TEXT, gather, id_text, id_type, running, text
 from millrace.sources.shared import materialize
 
 WIDTH = 1.37  # of a band: largest size over smallest, about three times 1 / 0.9
-CANDIDATE_COST = 3.0  # of a set met by chance, in signatures
+CANDIDATE_COST = 1.0  # of a set met by chance, in signatures
+BLOCK = 200  # nodes of a family's block
 GROUP_WORDS = 3_000_000  # words of the texts that one verifying group holds
 MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -226,61 +227,119 @@ def exact_sets(texts: list[str], n: int) -> list[np.ndarray]:
 _LOWER = {c: chr(c + 32) for c in range(65, 91)} | {c: " " for c in range(9, 14)}
 
 
-def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t: Threshold) -> DataFrame:
-    """The pairs (a, b, pivot) whose texts' sets are linked.
+def _texts(need: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(group, node, k1, text) for the (group, node) of ``need``."""
+    ids = nodes.join(need.select("node").distinct(), "node").select(ID, "node", "k1")
+    texts = id_text(docs).join(ids.withColumnRenamed(ID, "id"), F.col(ID).eqNullSafe(F.col("id")))
+    return need.join(texts.select("node", "k1", TEXT), "node")
 
-    Pairs of one pivot share texts, so they are verified in groups: nodes are dealt to blocks whose
-    number grows with the root of the pivot's work, and a group holds the texts of two blocks once.
-    """
-    size = nodes.select(F.col("node").alias("x"), "n_shingles")
-    sized = (
-        pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").withColumn("w", F.col("na") + F.col("nb"))
-    )
-    work = sized.groupBy("pivot").agg(F.ceil(F.sqrt(F.sum("w") / GROUP_WORDS)).alias("blocks"))
-    total = sized.agg(F.sum("w")).first()[0]
-    if not total:
-        return pairs.select("a", "b").limit(0)
-    groups = int(-(-total // GROUP_WORDS))
-    block = lambda c: F.pmod(F.xxhash64(c), F.col("blocks"))
-    x, y = block("a"), block("b")
-    key = F.pmod(F.xxhash64("pivot", F.least(x, y), F.greatest(x, y)), F.lit(groups)).cast("int")
-    dealt = materialize(sized.join(work, "pivot").select("a", "b", key.alias("g")), "pairs")
 
+def _numbered(rows: pd.DataFrame, n: int) -> tuple[dict[int, int], np.ndarray, np.ndarray]:
+    """(place of each node, shingle numbers, offsets) of a group's texts."""
+    if rows["node"].duplicated().any():
+        # of rows with one id, the node's is the one whose set has its digest
+        hashes, offsets = shingle_sets(pa.array(rows[TEXT]), n)
+        keys = [
+            np.frombuffer(xxhash.xxh3_128_digest(hashes[i:j].tobytes()), np.int64)[0]
+            for i, j in zip(offsets[:-1], offsets[1:])
+        ]
+        rows = rows[np.array(keys) == rows["k1"].to_numpy()].drop_duplicates("node")
+    sets = exact_sets(list(rows[TEXT]), n)
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    return {v: i for i, v in enumerate(rows["node"])}, flat, running(np.array([len(x) for x in sets]))
+
+
+def _verify_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t: Threshold) -> DataFrame:
+    """Those of the pairs (a, b) whose texts' sets are linked; pairs of one b come in runs."""
+    size = nodes.select(F.col("node").alias("a"), "n_shingles")
+    total = pairs.join(size, "a").agg(F.sum("n_shingles")).first()[0]
+    if not total:
+        return pairs
+    groups = int(-(-total // GROUP_WORDS)) * 2
+    key = F.pmod(F.xxhash64("b", F.pmod(F.xxhash64("a"), F.lit(groups))), F.lit(groups)).cast("int")
+    dealt = materialize(pairs.select("a", "b", key.alias("g")), "pairs")
     ends = F.explode(F.array("a", "b")).alias("node")
-    need = dealt.select(F.col("g").alias("group"), ends).distinct()
-    ids = nodes.join(need.select("node").distinct(), "node").select(ID, "node", "k1")
-    texts = id_text(docs).join(ids.withColumnRenamed(ID, "id"), F.col(ID).eqNullSafe(F.col("id")))
-    texts = need.join(texts.select("node", "k1", TEXT), "node")
+    texts = _texts(dealt.select(F.col("g").alias("group"), ends).distinct(), nodes, docs)
 
     def check(links: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        # of rows with one id, the node's is the one whose set has its digest
-        if rows["node"].duplicated().any():
-            hashes, offsets = shingle_sets(pa.array(rows[TEXT]), n)
-            keys = [
-                np.frombuffer(xxhash.xxh3_128_digest(hashes[i:j].tobytes()), np.int64)[0]
-                for i, j in zip(offsets[:-1], offsets[1:])
-            ]
-            rows = rows[np.array(keys) == rows["k1"].to_numpy()].drop_duplicates("node")
-        sets = dict(zip(rows["node"], exact_sets(list(rows[TEXT]), n)))
-        keep = np.zeros(len(links), bool)
-        for i, (a, b) in enumerate(zip(links["a"], links["b"])):
-            p, q = sets[a], sets[b]
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            keep[i] = t.links(both, len(p), len(q))
+        place, flat, at = _numbered(rows, n)
+        sizes, keep = np.diff(at), np.zeros(len(links), bool)
+        for i, (a, b) in enumerate(zip(links["a"].map(place), links["b"].map(place))):
+            both = len(np.intersect1d(flat[at[a] : at[a + 1]], flat[at[b] : at[b + 1]], assume_unique=True))
+            keep[i] = t.links(both, int(sizes[a]), int(sizes[b]))
         return links.loc[keep, ["a", "b"]]
 
     linked = dealt.groupBy("g").cogroup(texts.groupBy("group")).applyInPandas(check, "a bigint, b bigint")
     return materialize(linked, "linked")
 
 
+def _join_families(
+    members: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t: Threshold
+) -> DataFrame:
+    """Links across labels inside families (pivot, node, label), enough of them to connect what is linked.
+
+    A family is dealt to blocks, and every two blocks meet in one group: a node is sent once to each
+    pair of its block, and pairs are compared in the task, never made into rows. A group gives only
+    links that join two of its parts, so its result is no larger than its members.
+    """
+    sized = members.join(nodes.select("node", "n_shingles"), "node")
+    work = sized.groupBy("pivot").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") * 2 / GROUP_WORDS)).alias("blocks")
+    )
+    sized = sized.join(work, "pivot").withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("y")
+    sent = sized.select("pivot", "node", "label", "n_shingles", "x", other)
+    sent = sent.select(
+        "pivot", "node", "label", "n_shingles", "x", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")
+    )
+    sent = materialize(sent, "families")
+    total = sent.agg(F.sum("n_shingles")).first()[0]
+    if not total:
+        return members.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    groups = int(-(-total // GROUP_WORDS)) * 2
+    dealt = sent.withColumn("g", F.pmod(F.xxhash64("pivot", "lo", "hi"), F.lit(groups)).cast("int"))
+    texts = _texts(dealt.select(F.col("g").alias("group"), "node").distinct(), nodes, docs)
+
+    def check(families: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        place, flat, at = _numbered(rows, n)
+        sizes, mark = np.diff(at), np.zeros(int(flat.max(initial=-1)) + 1, bool)
+        links = []
+        for (_, lo, hi), family in families.groupby(["pivot", "lo", "hi"], sort=False):
+            node, label = family["node"].to_numpy(), family["label"].to_numpy().copy()
+            block = family["x"].to_numpy()
+            if (label == label[0]).all():
+                continue
+            own = np.array([place[v] for v in node])
+            lengths = sizes[own]
+            items = flat[gather(at[own], lengths)]
+            starts = running(lengths)[:-1]
+            for i in range(len(node)):
+                mine = items[starts[i] : starts[i] + lengths[i]]
+                mark[mine] = True
+                both = np.add.reduceat(mark[items].astype(np.int64), starts)
+                mark[mine] = False
+                near = t.whole * both >= t.part * (lengths[i] + lengths - both)
+                if lo != hi:
+                    near &= block != block[i]
+                for j in np.flatnonzero(near & (label != label[i])):
+                    if label[j] != label[i]:
+                        links.append((node[i], node[j]))
+                        label[label == label[j]] = label[i]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    linked = dealt.groupBy("g").cogroup(texts.groupBy("group")).applyInPandas(check, "a bigint, b bigint")
+    return materialize(linked, "linked")
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, part: int = 90, whole: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per document.
 
     Two documents are linked if the sets of their n-word shingles have Jaccard ``part / whole`` or
     more. ``component_id`` is the smallest doc_id that links lead to. Equal sets are one node; only
     different ones are compared. In a bucket of equal signatures each member is first verified
-    against the least one; then, in buckets that still hold several components, the pairs
-    across them, so a group of many near copies costs a pair a member, and no link is lost.
+    against the least one; then, in buckets that still hold several components, members of different
+    ones, block by block inside tasks. So a group of many near copies costs a pair a member where they
+    are linked, no pairs of a group are made into rows, and no link is lost.
 
     Null and empty texts, or texts without a word, have 0 shingles and are their own component, by
     their own id. Rows that share a doc_id are nodes of their own and each gives a row. A null id is
@@ -322,19 +381,12 @@ def jaccard_components(docs: DataFrame, n: int = 3, part: int = 90, whole: int =
     buckets = materialize(buckets.join(least.select("sig", "pivot"), "sig"), "buckets")
 
     first = buckets.where("node <> pivot").groupBy("node").agg(F.min("pivot").alias("b"))
-    stars = materialize(first.select(F.col("node").alias("a"), "b", F.col("b").alias("pivot")), "stars")
-    links = _verify(stars, classes, docs, n, t)
+    links = _verify_pairs(first.select(F.col("node").alias("a"), "b"), classes, docs, n, t)
     found = components(links)
     labelled = buckets.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    open_ = materialize(labelled.join(mixed.select("sig"), "sig"), "open-buckets")
-    left = open_.select("sig", F.col("node").alias("a"), F.col("label").alias("la"), "pivot")
-    right = open_.select("sig", F.col("node").alias("b"), F.col("label").alias("lb"))
-    across = (
-        left.join(right, "sig").where("a > b and la <> lb").groupBy("a", "b").agg(F.min("pivot").alias("pivot"))
-    )
-    across = materialize(across.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "across")
-    links = links.union(_verify(across, classes, docs, n, t))
+    members = labelled.join(mixed.select("sig"), "sig").select("pivot", "node", "label").distinct()
+    links = links.union(_join_families(members, classes, docs, n, t))
     found = components(links)
 
     labelled = classes.join(found, "node", "left").select("k1", "k2", "least", F.coalesce("label", "node").alias("label"))
