@@ -298,7 +298,8 @@ def _join_families(
         return members.select(F.col("node").alias("a"), F.col("node").alias("b"))
     groups = int(-(-total // GROUP_WORDS)) * 2
     dealt = sent.withColumn("g", F.pmod(F.xxhash64("pivot", "lo", "hi"), F.lit(groups)).cast("int"))
-    texts = _texts(dealt.select(F.col("g").alias("group"), "node").distinct(), nodes, docs)
+    need = dealt.select(F.col("g").alias("group"), (F.col("node") + 0).alias("node")).distinct()
+    texts = _texts(need, nodes, docs)
 
     def check(families: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         place, flat, at = _numbered(rows, n)
