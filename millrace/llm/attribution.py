@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.encoder import WordEncoder
-from millrace.llm.texts import ID, TEXT, id_type, text_array
+from millrace.llm.texts import ID, TEXT, id_type, small, text_array
 
 RULES = ("start", "majority")
 SECTIONS = "array<struct<name:string,start:bigint,end:bigint>>"
@@ -90,7 +90,7 @@ def section_tokens(docs: DataFrame, sections: Column, path: str, rule: str = "ma
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _ENCODERS:
             _ENCODERS[path] = WordEncoder(path, spans=True)
-        for batch in batches:
+        for batch in small(batches):
             texts = text_array(batch.column(TEXT))
             spans, offsets, chars = _ENCODERS[path].encode_spans(texts)
             column = batch.column("sections")

@@ -30,7 +30,7 @@ _GROUP = 256
 class WordEncoder:
     """Encode batches of texts; keeps the ids of at most ``memo`` distinct words."""
 
-    def __init__(self, path: str, memo: int = 400_000, spans: bool = False):
+    def __init__(self, path: str, memo: int = 150_000, spans: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

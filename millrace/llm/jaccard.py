@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.texts import ID, TEXT, gather, id_text, id_type, running, text_array
+from millrace.llm.texts import ID, TEXT, gather, id_text, id_type, running, small, text_array
 from millrace.sources.shared import materialize
 
 WIDTH = 1.37  # of a band: largest size over smallest, about three times 1 / 0.9
@@ -161,7 +161,7 @@ def _sets(rows: DataFrame, n: int, tops: list[int], schemes: list[tuple[int, int
         from pyspark import TaskContext
 
         row, seen = TaskContext.get().partitionId() << 33, set()
-        for batch in batches:
+        for batch in small(batches):
             hashes, offsets = shingle_sets(text_array(batch.column(TEXT)), n)
             sizes = np.diff(offsets)
             keys = np.zeros((len(sizes), 2), np.int64)

@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.encoder import WordEncoder
-from millrace.llm.texts import ID, TEXT, id_text, id_type, running, text_array
+from millrace.llm.texts import ID, TEXT, id_text, id_type, running, small, text_array
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -45,7 +45,7 @@ def encoded_in_order(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         encode, make, seen = encoder(path).encode, emit(part), 0
-        for batch in batches:
+        for batch in small(batches):
             texts = text_array(batch.column(TEXT))
             ids, offsets = encode(texts)
             n = np.diff(offsets) + 1

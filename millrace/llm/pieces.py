@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.texts import ID, TEXT, id_text, id_type, text_array
+from millrace.llm.texts import ID, TEXT, id_text, id_type, small, text_array
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -29,7 +29,7 @@ _PENALTY = 10.0  # of an unknown character below the lowest score
 class Pieces:
     """A vocabulary read from a model file: encode and decode batches of texts."""
 
-    def __init__(self, path: str, kind: str = "bpe", memo: int = 300_000):
+    def __init__(self, path: str, kind: str = "bpe", memo: int = 200_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -222,7 +222,7 @@ def encode_pieces(docs: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path, kind)
-        for batch in batches:
+        for batch in small(batches):
             texts = text_array(batch.column(TEXT))
             ids = model.encode(texts.to_numpy(zero_copy_only=False).tolist())
             yield pa.RecordBatch.from_arrays(

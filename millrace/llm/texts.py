@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,7 +52,21 @@ def text_array(column: pa.Array) -> pa.Array:
         column = column.cast(pa.string())
     if column.null_count:
         column = column.fill_null("")
-    return pa.concat_arrays([column]) if column.offset == 0 else pa.array(column.to_pylist(), pa.string())
+    return column if column.offset == 0 else column.take(pa.array(np.arange(len(column))))
+
+
+def small(batches: Iterator[pa.RecordBatch], limit: int = 6 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in runs of about ``limit`` bytes of text: what a task works on at once."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        _, off = raw(text_array(batch.column(TEXT)))
+        start = 0
+        while start < batch.num_rows:
+            stop = int(np.searchsorted(off, off[start] + limit, side="right")) - 1
+            stop = min(max(stop, start + 1), batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

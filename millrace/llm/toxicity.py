@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.once import with_once
 from millrace.llm.automaton import EXACT, Automaton
-from millrace.llm.texts import ID, TEXT, id_text, text_array, whole_rows
+from millrace.llm.texts import ID, TEXT, id_text, small, text_array, whole_rows
 from millrace.sources.shared import materialize
 
 # --- fixed values: cues in the window around a hit ---------------------------------------------------
@@ -225,7 +225,7 @@ def _score_rows(rows: DataFrame, model: Model, carry: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _scorer(model)
         w = np.array(model.weights)
-        for batch in batches:
+        for batch in small(batches):
             abuse, quoted = score(text_array(batch.column(TEXT)))
             p = 1 / (1 + np.exp(-np.clip(_inputs(abuse, quoted) @ w, -30, 30)))
             names = [ID, *carry, "abuse", "quoted", "score"]
