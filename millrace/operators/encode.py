@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.regex import constant
 from millrace.functions.rules import BOS, EOS, PAD, SPECIALS, UNK
 from millrace.operators.bpe import Vocabulary
-from millrace.operators.words import from_letters, nfkc_risky, pretokenize, to_letters
+from millrace.operators.words import from_letters, lowered, nfkc_risky, pretokenize, to_letters
 
 _MEMO = 500_000  # encoded words a task remembers before it starts afresh
 
@@ -53,7 +53,7 @@ def words_of(text: Column, lower: bool, use_nfkc: bool) -> Column:
         normal = F.coalesce(F.pandas_udf(_nfkc_each, "array<string>")(to_change), raw)
 
     def words(segment: Column) -> Column:
-        segment = F.lower(segment) if lower else segment
+        segment = lowered(segment) if lower else segment
         return F.transform(pretokenize(segment), to_letters)
 
     return F.flatten(

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_HEAD = 65_536
-
 
 def head_mass(
     df: DataFrame,
@@ -20,23 +18,24 @@ def head_mass(
 ) -> DataFrame:
     """(group, item, weight, place, cum, share) for the head of each group.
 
-    The k heaviest items, then of those the ones whose cumulative share is at most p; the first item
+    The k heaviest items (0: all), then of those the ones whose cumulative share is at most p; the first item
     always stays. ``renorm`` takes shares of the k items, otherwise of the whole group. ``share`` is
     the weight among the items that are left.
 
     The first k of a group are found inside each task before any row moves, so the size of a group
     does not matter.
     """
-    if not 1 <= k <= MAX_HEAD:
-        raise ValueError(f"k must be in 1..{MAX_HEAD}")
+    if k < 0:
+        raise ValueError("k must not be negative")
     ranked = W.partitionBy(group).orderBy(F.desc(weight), item)
     head = df.select(group, item, weight).withColumn("place", F.row_number().over(ranked))
-    head = head.where(F.col("place") <= k)
+    if k:
+        head = head.where(F.col("place") <= k)
     if renorm:
         head = head.withColumn("_all", F.sum(weight).over(W.partitionBy(group)))
     else:
-        totals = df.groupBy(group).agg(F.sum(weight).alias("_all"))
-        head = head.join(totals, group)
+        totals = df.groupBy(F.col(group).alias("_g")).agg(F.sum(weight).alias("_all"))
+        head = head.join(totals, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
     running = W.partitionBy(group).orderBy("place").rowsBetween(W.unboundedPreceding, 0)
     head = head.withColumn("cum", F.sum(weight).over(running) / F.col("_all"))
     if 0.0 < p < 1.0:
@@ -55,11 +54,13 @@ def group_softmax(
     task, and AQE splits it in the join.
     """
     scaled = df.withColumn("_s", F.col(score) / max(1e-6, temperature))
-    top = scaled.groupBy(group).agg(F.max("_s").alias("_top"))
-    risen = scaled.join(top, group).withColumn("_e", F.exp(F.col("_s") - F.col("_top")))
-    sums = risen.groupBy(group).agg(F.sum("_e").alias("_sum"))
+    same = F.col(group).eqNullSafe(F.col("_g"))  # a null group is a group, too
+    top = scaled.groupBy(F.col(group).alias("_g")).agg(F.max("_s").alias("_top"))
+    risen = scaled.join(top, same).drop("_g").withColumn("_e", F.exp(F.col("_s") - F.col("_top")))
+    sums = risen.groupBy(F.col(group).alias("_g")).agg(F.sum("_e").alias("_sum"))
     return (
-        risen.join(sums, group)
+        risen.join(sums, same)
+        .drop("_g")
         .withColumn(out, F.col("_e") / F.col("_sum"))
         .drop("_s", "_top", "_e", "_sum")
     )

@@ -149,11 +149,12 @@ def best_epoch(stopped: DataFrame) -> DataFrame:
 
 
 def sweep_rank(
-    log: DataFrame, params: list[str], loss: str, within: list[str], top: int = 100
+    log: DataFrame, params: list[str], loss: str, within: list[str], top: int = 0
 ) -> DataFrame:
-    """The ``top`` best settings by lowest loss within each family of runs, with their rank."""
+    """Settings by lowest loss within each family of runs, with their rank; ``top`` ranks, 0: all."""
     best = log.groupBy(*within, *params).agg(
         F.min(loss).alias("best_loss"), F.count("*").alias("epochs")
     )
     order = W.partitionBy(*within).orderBy("best_loss")
-    return best.withColumn("rank", F.rank().over(order)).where(F.col("rank") <= top)
+    ranked = best.withColumn("rank", F.rank().over(order))
+    return ranked.where(F.col("rank") <= top) if top else ranked

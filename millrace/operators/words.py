@@ -87,10 +87,15 @@ def nfkc(text: Column) -> Column:
     return F.coalesce(changed, text)
 
 
+def lowered(text: Column) -> Column:
+    """Lower case by character: a capital sigma gives the same letter at a word's end as elsewhere."""
+    return F.lower(F.replace(text, F.lit("Σ"), F.lit("σ")))
+
+
 def normalize_text(text: Column, lower: bool = True, use_nfkc: bool = True) -> Column:
     if use_nfkc:
         text = nfkc(text)
-    return F.lower(text) if lower else text
+    return lowered(text) if lower else text
 
 
 # ---- counts -------------------------------------------------------------------------------------

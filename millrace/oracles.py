@@ -468,7 +468,7 @@ def ids_text(expr: str) -> str:
 ORACLES["add_specials"] = f"WITH {TURNS} SELECT row_id, {ids_text('ids')} AS ids FROM full_ids"
 ORACLES["truncate_ids"] = f"WITH {TURNS} SELECT row_id, {ids_text('ids[1:64]')} AS ids FROM full_ids"
 BATCHES = f"""{TURNS},
-numbered AS (SELECT row_id, ids[1:64] AS ids,
+numbered AS (SELECT row_id, ids,
   (row_number() OVER (ORDER BY row_id) - 1) // 16 AS batch_id FROM full_ids),
 gaps AS (SELECT *, list_transform(range(max(len(ids)) OVER (PARTITION BY batch_id) - len(ids)),
   lambda i: 0) AS gap, list_transform(ids, lambda i: 1) AS ones FROM numbered)"""
@@ -611,7 +611,7 @@ ORACLES["sweep_rank"] = """
 SELECT event_type, user_id, best_loss, epochs, rank FROM (
   SELECT *, rank() OVER (PARTITION BY event_type ORDER BY best_loss) AS rank FROM (
     SELECT event_type, user_id, min(value) AS best_loss, count(*) AS epochs
-    FROM events GROUP BY event_type, user_id)) WHERE rank <= 20"""
+    FROM events GROUP BY event_type, user_id))"""
 
 
 def head(total: str, p: float) -> str:

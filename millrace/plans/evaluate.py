@@ -14,7 +14,7 @@ from millrace.sources.files import write_metrics, write_predictions
 def evaluate(
     pairs: DataFrame,
     split: str,
-    limit: int = 200,
+    limit: int = 0,
     shuffle: bool = False,
     seed: int = 123,
     out: str | None = None,

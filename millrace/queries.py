@@ -466,7 +466,7 @@ def truncate_ids(spark, d):
 
 
 def _batched(spark: SparkSession, d: str) -> DataFrame:
-    rows = _turns(spark, d).select("row_id", truncate(add_specials(F.col("ids")), MAX_LEN).alias("ids"))
+    rows = _turns(spark, d).select("row_id", add_specials(F.col("ids")).alias("ids"))
     return B.assign_batches(rows, BATCH)
 
 
@@ -597,7 +597,7 @@ def early_stop_delta(spark, d):
 @query
 def sweep_rank(spark, d):
     log = table(spark, d, "events").select("event_type", "user_id", "value")
-    return runs.sweep_rank(log, ["user_id"], "value", ["event_type"], top=20)
+    return runs.sweep_rank(log, ["user_id"], "value", ["event_type"])
 
 
 def _weights(spark: SparkSession, d: str) -> DataFrame:

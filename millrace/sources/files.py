@@ -32,10 +32,10 @@ def read_recipes_csv(
 ) -> DataFrame:
     """Raw rows of CSV files with a header; a column that is not there reads as ``""``.
 
-    Quoted cells may hold line breaks, so one file is one task: turn large CSV files into Parquet
+    Files whose headers differ are an error. Quoted cells may hold line breaks, so one file is one task: turn large CSV files into Parquet
     once and go on from there.
     """
-    raw = spark.read.options(**_CSV).csv(path)
+    raw = spark.read.options(**_CSV, enforceSchema="false").csv(path)
 
     def cell(name: str | None) -> Column:
         if name is None or name not in raw.columns:
@@ -51,7 +51,14 @@ def read_recipes_csv(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(header="true", quoteAll="true", quote='"', escape='"').csv(path)
+    df.write.mode(mode).options(
+        header="true",
+        quoteAll="true",
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false",
+    ).csv(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType = RAW_JSONL) -> DataFrame:

@@ -11,11 +11,20 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder from ``spark.checkpoint.dir``; a temporary one only if that is unset."""
+    """The cluster's folder from ``spark.checkpoint.dir`` or ``setCheckpointDir``.
+
+    Where neither is set, a temporary one, in local mode only: executors of a cluster share no disk.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    app = spark.sparkContext.applicationId
+    context = spark.sparkContext
+    given = context._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get().rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    app = context.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="millrace-")
     return _LOCAL[app]

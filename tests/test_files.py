@@ -122,3 +122,18 @@ def test_spread(spark, tmp_path):
     one = spark.read.parquet(str(tmp_path / "one"))
     assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(one, "id").agg(F.sum("id")).first()[0] == 4950
+
+
+def test_csv_keeps_blanks_and_refuses_other_headers(spark, tmp_path):
+    from millrace.sources import files
+
+    rows = [(" a ", "\n c", "d ", "x")]
+    df = spark.createDataFrame(rows, "title string, ingredients string, directions string, NER string")
+    files.write_csv(df, str(tmp_path / "one"))
+    got = files.read_recipes_csv(spark, str(tmp_path / "one")).first()
+    assert tuple(got) == rows[0]
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "a.csv").write_text("title,ingredients\nt,i\n")
+    (tmp_path / "two" / "b.csv").write_text("ingredients,title\ni,t\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_recipes_csv(spark, str(tmp_path / "two")).collect()

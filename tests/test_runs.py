@@ -61,7 +61,7 @@ def test_head_mass(spark):
     shares = {r["i"]: r["share"] for r in H.head_mass(df, "g", "i", "w", k=3, p=0.9).collect()}
     assert shares["a"] == pytest.approx(0.625)
     with pytest.raises(ValueError):
-        H.head_mass(df, "g", "i", "w", k=0)
+        H.head_mass(df, "g", "i", "w", k=-1)
 
 
 def test_softmax(spark):
@@ -70,3 +70,13 @@ def test_softmax(spark):
     assert got == pytest.approx([0.2689414, 0.7310586, 1.0])
     cold = sorted(r["prob"] for r in H.group_softmax(df, "g", "s", 0.0).collect())
     assert cold == pytest.approx([0.0, 1.0, 1.0])
+
+
+def test_null_groups_and_no_cut(spark):
+    rows = [("a", 1, 3.0), ("a", 2, 1.0), (None, 1, 2.0), (None, 2, 2.0)]
+    df = spark.createDataFrame(rows, "g string, i int, w double")
+    for renorm in (True, False):
+        assert H.head_mass(df, "g", "i", "w", k=0, p=1.0, renorm=renorm).count() == 4
+    assert sorted(round(r["prob"], 3) for r in H.group_softmax(df, "g", "w").collect()) == [0.119, 0.5, 0.5, 0.881]
+    log = spark.createDataFrame([("f", i, float(i)) for i in range(150)], "family string, lr int, loss double")
+    assert R.sweep_rank(log, ["lr"], "loss", ["family"]).count() == 150
