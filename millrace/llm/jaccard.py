@@ -216,6 +216,9 @@ def exact_sets(texts: list[str], n: int) -> list[np.ndarray]:
         words = text.translate(_LOWER).split(" ")
         ids = np.array([number.setdefault(w, len(number) + 1) for w in words if w], np.int64)
         width = min(n, len(ids))
+        if not width:
+            out.append(np.zeros((0, 1), np.int64))
+            continue
         out.append(np.stack([ids[k : len(ids) - width + 1 + k] for k in range(width)], axis=1))
     bits = len(number).bit_length()
     if n * bits <= 63:
