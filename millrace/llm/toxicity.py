@@ -174,7 +174,8 @@ def train(
     ids = F.broadcast(some[0].unionByName(some[1]))  # at most positives + negatives rows
     words = F.array_distinct(F.split(F.lower(TEXT), r"[^\p{L}\p{N}]+"))
     sample = id_text(docs).join(ids, ID).dropDuplicates([TEXT])
-    sample = materialize(with_once(sample, [ID, TEXT, "toxic"], words=words), "toxicity-sample")
+    sample = with_once(sample, [ID, TEXT, "toxic"], words=words)
+    sample = materialize(sample.withColumn("family", F.hash(*_least("words"))), "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return Model()
@@ -190,7 +191,7 @@ def train(
     # near copies count once: they agree in the least hashes of their words
     toxic = sample.where("toxic = 1")
     support = (
-        toxic.select(F.hash(*_least("words")).alias("family"), F.explode(_terms(F.col("words"))).alias("term"))
+        toxic.select("family", F.explode(_terms(F.col("words"))).alias("term"))
         .join(F.broadcast(top.select("term")), "term")  # at most ``terms`` rows
         .groupBy("term")
         .agg(F.count_distinct("family").alias("n"))
