@@ -56,9 +56,17 @@ class Pieces:
         for value, i in self.byte.items():
             self.bytes[i] = bytes([value])
         self.bytes[self.unknown] = " ⁇ ".encode()
-        self.stable: dict[str, bool] = {}
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.size = size
+        self.apart: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.packed = [np.array([i], "<u4").tobytes() for i in range(size)]
+        # BPE: pieces that their own merges give, and by their last three characters their lengths
+        self.stable = {p: i for p, i in self.id.items() if kind == "bpe" and self.merged(p) == [p]}
+        ends: dict[str, set[int]] = {}
+        for piece in self.stable:
+            if len(piece) > 2:
+                ends.setdefault(piece[-3:], {1, 2}).add(len(piece))
+        self.lengths = {e: sorted(n, reverse=True) for e, n in ends.items()}
 
     # ---- transitions ----------------------------------------------------------------------------
 
@@ -76,48 +84,52 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _is_stable(self, piece: str) -> bool:
-        known = self.stable.get(piece)
-        if known is None:
-            known = self.stable[piece] = self.merged(piece) == [piece]
+    def _stay_apart(self, left: int, right: int) -> bool:
+        if len(self.apart) > self.memo:
+            self.apart.clear()
+        pair = [self.pieces[left], self.pieces[right]]
+        known = self.apart[left * self.size + right] = self.merged("".join(pair)) == pair
         return known
 
-    def _stay_apart(self, left: str, right: str) -> bool:
-        known = self.apart.get((left, right))
-        if known is None:
-            if len(self.apart) > self.memo:
-                self.apart.clear()
-            known = self.apart[left, right] = self.merged(left + right) == [left, right]
-        return known
-
-    def _state(self, word: str, states: list[tuple[float, str | None]]) -> tuple[float, str | None]:
-        """Forward state after ``len(states)`` characters: (score, last piece)."""
+    def _bpe_state(self, word: str, states: list[int]) -> int:
+        """Forward state after ``len(states)`` characters: the last piece; -1 for a character in none."""
         end = len(states)
-        if self.kind == "bpe":
-            for begin in range(max(0, end - self.longest), end):
-                piece = word[begin:end]
-                if piece in self.id and (len(piece) == 1 or self._is_stable(piece)):
-                    before = states[begin][1]
-                    if not before or before not in self.id or self._stay_apart(before, piece):
-                        return 0.0, piece
-            return 0.0, word[end - 1 : end]
-        best = (states[end - 1][0] + self.lowest, word[end - 1 : end])
-        found = False
+        for n in self.lengths.get(word[end - 3 : end], (2, 1)) if end > 2 else (2, 1):
+            piece = self.stable.get(word[end - n : end]) if n <= end else None
+            if piece is None:
+                continue
+            before = states[end - n]
+            if before < 0:
+                return piece
+            known = self.apart.get(before * self.size + piece)
+            if self._stay_apart(before, piece) if known is None else known:
+                return piece
+        return self.id.get(word[end - 1], -1)
+
+    def _unigram_state(self, word: str, states: list[tuple[float, int]]) -> tuple[float, int]:
+        """Forward state after ``len(states)`` characters: (score, last piece or -1)."""
+        end = len(states)
+        best, found = (states[end - 1][0] + self.lowest, -1), False
         for begin in range(max(0, end - self.longest), end):
             piece = word[begin:end]
             score = self.score.get(piece)
             if score is not None and (not found or states[begin][0] + score > best[0]):
-                best, found = (states[begin][0] + score, piece), True
+                best, found = (states[begin][0] + score, self.id[piece]), True
         return best
 
-    def _ids(self, states: list[tuple[float, str | None]]) -> list[int]:
-        out, end = [], len(states) - 1
+    def _path(self, word: str, last: list[int]) -> bytes:
+        """Ids of the path to the word's end; ``last`` has the last piece of each prefix."""
+        out, end = [], len(word)
         while end > 0:
-            piece = states[end][1]
-            known = self.id.get(piece)
-            out.append([known] if known is not None else self._fallback(piece))
-            end -= len(piece)
-        return [i for ids in reversed(out) for i in ids]
+            piece = last[end]
+            if piece < 0:
+                out.append(b"".join(self.packed[i] for i in self._fallback(word[end - 1])))
+                end -= 1
+            else:
+                out.append(self.packed[piece])
+                end -= len(self.pieces[piece])
+        out.reverse()
+        return b"".join(out)
 
     def _fallback(self, character: str) -> list[int]:
         if not self.byte:
@@ -126,7 +138,9 @@ class Pieces:
 
     def _walk(self, words: list[str]) -> None:
         """Encode distinct words, sorted: a depth-first walk over the trie of their prefixes."""
-        states: list[tuple[float, str | None]] = [(0.0, None)]
+        bpe = self.kind == "bpe"
+        step = self._bpe_state if bpe else self._unigram_state
+        states: list = [-1 if bpe else (0.0, -1)]
         before = ""
         for word in sorted(words):
             shared = 0
@@ -135,23 +149,24 @@ class Pieces:
                     break
                 shared += 1
             del states[shared + 1 :]
-            while len(states) <= len(word):
-                states.append(self._state(word, states))
-            self.words[word] = np.array(self._ids(states), "<u4").tobytes()
+            for _ in range(len(word) - shared):
+                states.append(step(word, states))
+            self.words[word] = self._path(word, states if bpe else [piece for _, piece in states])
             before = word
 
     # ---- texts ------------------------------------------------------------------------------------
 
-    def _split(self, text: str) -> list[str]:
+    def _split(self, marked: str) -> list[str]:
         """Marked words; a run of marks is cut before its last one, which belongs to the word.
 
         Pieces of several marks merge after all others, so the last mark stays with the run only if
         the word's own first piece is the mark alone; then the run takes it along.
         """
-        if not text:
-            return []
+        words = _WORD.findall(marked)
+        if MARK + MARK not in marked:
+            return words
         out = []
-        for word in _WORD.findall(MARK + text.replace(" ", MARK)):
+        for word in words:
             if word.startswith(MARK + MARK):
                 marks = len(word) - len(word.lstrip(MARK))
                 out += [word[: marks - 1], word[marks - 1 :]]
@@ -161,18 +176,20 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        split = [self._split(t) for t in texts]
+        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
+        split = list(map(self._split, marked))
+        needed = set().union(*split)
         if len(self.words) > self.memo:
-            self.words.clear()
-        new = {w for words in split for w in words if w not in self.words}
+            self.words = {w: self.words[w] for w in needed & self.words.keys()}
+        new = needed - self.words.keys()
         if new:
             self._walk(list(new))
         get = self.words.__getitem__
-        mark = np.array([self.id.get(MARK, -1)], "<u4").tobytes() if MARK in self.id else b""
+        mark = self.packed[self.id[MARK]] if MARK in self.id else b""
         out = []
-        for words in split:
+        for text, words in zip(marked, split):
             parts = list(map(get, words))
-            if any(w[:2] == MARK + MARK or w == MARK for w in words):
+            if MARK + MARK in text or text.endswith(MARK):
                 parts = self._runs(words, parts, mark)
             out.append(b"".join(parts))
         return out
