@@ -44,10 +44,11 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component of near copies the document with the smallest doc_id stays.
 
+    Near copies have a Jaccard of 0.8 or more over their 5-word shingles.
     Rows that repeat a doc_id count as copies of one document: the first by text stays. Documents
     without words are near copies of nothing.
     """
-    parts = jaccard.jaccard_components(docs)
+    parts = jaccard.jaccard_components(docs, n=5, part=80, whole=100)
     kept = parts.where(F.col(ID).eqNullSafe(F.col("component_id"))).select(F.col(ID).alias("_id")).distinct()
     joined = docs.join(kept, F.col(ID).eqNullSafe(F.col("_id")), "left_semi")
     place = F.row_number().over(W.partitionBy(ID).orderBy(TEXT))
