@@ -7,7 +7,6 @@ folder and reads it again. All but the last return the columns of ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm import jaccard, line_quality, packing, pii, toxicity
@@ -42,17 +41,21 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of near copies the document with the smallest doc_id stays.
+    """Of every component of near copies the row with the smallest doc_id stays, a null one last.
 
-    Near copies have a Jaccard of 0.8 or more over their 5-word shingles.
-    Rows that repeat a doc_id count as copies of one document: the first by text stays. Documents
-    without words are near copies of nothing.
+    Near copies have a Jaccard of 0.8 or more over their 5-word shingles. Of rows that share a doc_id
+    the one with the least hashes of its text comes first; rows that share both are one. Documents
+    without words are copies of nothing and stay.
     """
-    parts = jaccard.jaccard_components(docs, n=5, part=80, whole=100)
-    kept = parts.where(F.col(ID).eqNullSafe(F.col("component_id"))).select(F.col(ID).alias("_id")).distinct()
-    joined = docs.join(kept, F.col(ID).eqNullSafe(F.col("_id")), "left_semi")
-    place = F.row_number().over(W.partitionBy(ID).orderBy(TEXT))
-    return joined.withColumn("_place", place).where("_place = 1").select(*docs.columns)
+    full = F.coalesce(F.col(TEXT).rlike(line_quality.WORD), F.lit(False))
+    first = jaccard.first_rows(docs, n=5, part=80, whole=100)
+    hashes = jaccard.text_hashes(F.col(f"doc.{TEXT}"))
+    rows = docs.where(full).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    rows = rows.select("doc", F.col(f"doc.{ID}").alias("_id"), *hashes).alias("d")
+    same = [F.col("_id").eqNullSafe(F.col("id")), *[F.col(f"d.{h}") == F.col(f"f.{h}") for h in jaccard.HASHES]]
+    # rows that share id and text are copies of one another; whole texts meet only here, one a task
+    kept = rows.join(first.alias("f"), same, "left_semi").groupBy("_id", *jaccard.HASHES).agg(F.first("doc").alias("doc"))
+    return kept.select("doc.*").unionByName(docs.where(~full))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

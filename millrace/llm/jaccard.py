@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,12 +31,18 @@ WIDTH = 1.37  # of a band: largest size over smallest, about three times 1 / 0.9
 CANDIDATE_COST = 1.0  # of a set met by chance, in signatures
 BLOCK = 200  # nodes of a family's block
 GROUP_WORDS = 3_000_000  # words of the texts that one verifying group holds
+HASHES = ["h1", "h2"]  # of a text; with the id they tell rows apart
 MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
 
 # ---- sets ---------------------------------------------------------------------------------------
 
 
+def text_hashes(text: Column) -> list[Column]:
+    """Two independent hashes of a text."""
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit numbers; different ones stay different."""
     x = (x ^ (x >> np.uint64(30))) * MIX[1]
@@ -154,8 +160,8 @@ def signatures(
 
 
 def _sets(rows: DataFrame, n: int, tops: list[int], schemes: list[tuple[int, int]], t: Threshold) -> DataFrame:
-    """(row, doc_id, n_shingles, k1, k2, sigs): ``row`` numbers the rows, (k1, k2) is a digest of the
-    set. Of equal sets in one task only the first has signatures."""
+    """(row, doc_id, h1, h2, n_shingles, k1, k2, sigs): ``row`` numbers the rows, (k1, k2) is a digest
+    of the set. Of equal sets in one task only the first has signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -194,17 +200,18 @@ def _sets(rows: DataFrame, n: int, tops: list[int], schemes: list[tuple[int, int
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + len(sizes))),
-                    batch.column(ID),
+                    *[batch.column(c) for c in (ID, *HASHES)],
                     pa.array(sizes),
                     pa.array(keys[:, 0]),
                     pa.array(keys[:, 1]),
                     lists,
                 ],
-                names=["row", ID, "n_shingles", "k1", "k2", "sigs"],
+                names=["row", ID, *HASHES, "n_shingles", "k1", "k2", "sigs"],
             )
             row += len(sizes)
 
-    schema = f"row bigint, {ID} {id_type(rows)}, n_shingles bigint, k1 bigint, k2 bigint, sigs array<bigint>"
+    numbers = [*HASHES, "n_shingles", "k1", "k2"]
+    schema = f"row bigint, {ID} {id_type(rows)}, {', '.join(f'{c} bigint' for c in numbers)}, sigs array<bigint>"
     return rows.mapInArrow(run, schema)
 
 
@@ -231,22 +238,17 @@ _LOWER = {c: chr(c + 32) for c in range(65, 91)} | {c: " " for c in range(9, 14)
 
 
 def _texts(need: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(group, node, k1, text) for the (group, node) of ``need``."""
-    ids = nodes.join(need.select("node").distinct(), "node").select(ID, "node", "k1")
-    texts = id_text(docs).join(ids.withColumnRenamed(ID, "id"), F.col(ID).eqNullSafe(F.col("id")))
-    return need.join(texts.select("node", "k1", TEXT), "node")
+    """(group, node, text) for the (group, node) of ``need``; rows of one id are told apart by hashes."""
+    ids = nodes.join(need.select("node").distinct(), "node").select(F.col(ID).alias("id"), *HASHES, "node")
+    rows = id_text(docs).select(ID, TEXT, *text_hashes(F.col(TEXT))).alias("d")
+    same = [F.col(ID).eqNullSafe(F.col("id")), *[F.col(f"d.{h}") == F.col(f"n.{h}") for h in HASHES]]
+    texts = rows.join(ids.alias("n"), same)
+    return need.join(texts.select("node", TEXT), "node")
 
 
 def _numbered(rows: pd.DataFrame, n: int) -> tuple[dict[int, int], np.ndarray, np.ndarray]:
     """(place of each node, shingle numbers, offsets) of a group's texts."""
-    if rows["node"].duplicated().any():
-        # of rows with one id, the node's is the one whose set has its digest
-        hashes, offsets = shingle_sets(pa.array(rows[TEXT]), n)
-        keys = [
-            np.frombuffer(xxhash.xxh3_128_digest(hashes[i:j].tobytes()), np.int64)[0]
-            for i, j in zip(offsets[:-1], offsets[1:])
-        ]
-        rows = rows[np.array(keys) == rows["k1"].to_numpy()].drop_duplicates("node")
+    rows = rows.drop_duplicates("node")  # rows with one id and text
     sets = exact_sets(list(rows[TEXT]), n)
     flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
     return {v: i for i, v in enumerate(rows["node"])}, flat, running(np.array([len(x) for x in sets]))
@@ -349,8 +351,24 @@ def jaccard_components(docs: DataFrame, n: int = 3, part: int = 90, whole: int =
     their own id. Rows that share a doc_id are nodes of their own and each gives a row. A null id is
     never the smallest unless all are null. An empty table gives no rows; extra columns are not read.
     """
-    t = Threshold(part, whole)
-    rows = id_text(docs)
+    light, parts = _parts(docs, n, Threshold(part, whole))
+    named = parts.select("k1", "k2", "component_id")
+    return light.join(named, ["k1", "k2"], "left").select(
+        ID, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(ID)).alias("component_id")
+    )
+
+
+def first_rows(docs: DataFrame, n: int = 3, part: int = 90, whole: int = 100) -> DataFrame:
+    """``id, h1, h2`` of one row for each component of texts with words: the least by id, then by
+    the text's hashes. A null id comes last. Rows equal in all three are one."""
+    parts = _parts(docs, n, Threshold(part, whole))[1]
+    return parts.groupBy("label").agg(F.min("first").alias("first")).select("first.id", *[f"first.{h}" for h in HASHES])
+
+
+def _parts(docs: DataFrame, n: int, t: Threshold) -> tuple[DataFrame, DataFrame]:
+    """The rows (row, doc_id, n_shingles, k1, k2), and (k1, k2, label, first, component_id) of every set
+    that is not empty; ``first`` is its least row."""
+    rows = id_text(docs).select(ID, TEXT, *text_hashes(F.col(TEXT)))
     # how many sets a band has, from the numbers of words: enough to choose schemes by cost
     words = F.size(F.split(TEXT, r"[\x20\x09-\x0D]+"))
     level = F.floor(F.log(F.greatest(words, F.lit(1)).cast("double")) / F.log(F.lit(WIDTH))).cast("int")
@@ -365,11 +383,15 @@ def jaccard_components(docs: DataFrame, n: int = 3, part: int = 90, whole: int =
         schemes.append(allocate(h, (below + 1 + top) // 2, sum(counts.get(k, 0) for k in near)) if h else (0, 0))
 
     sets = materialize(_sets(rows, n, tops, schemes, t), "shingle-sets")
-    light = sets.select("row", ID, "n_shingles", "k1", "k2")
+    light = sets.select("row", ID, *HASHES, "n_shingles", "k1", "k2")
     filled = light.where("n_shingles > 0")
     classes = materialize(
         filled.groupBy("k1", "k2").agg(
-            F.min("row").alias("node"), F.min_by(ID, "row").alias(ID), F.min(ID).alias("least"), F.first("n_shingles").alias("n_shingles")
+            F.min("row").alias("node"),
+            *[F.min_by(c, "row").alias(c) for c in (ID, *HASHES)],
+            F.min(F.struct(F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), *HASHES)).alias("first"),
+            F.min(ID).alias("least"),
+            F.first("n_shingles").alias("n_shingles"),
         ),
         "classes",
     )
@@ -393,9 +415,6 @@ def jaccard_components(docs: DataFrame, n: int = 3, part: int = 90, whole: int =
     links = links.union(_join_families(members, classes, docs, n, t))
     found = components(links)
 
-    labelled = classes.join(found, "node", "left").select("k1", "k2", "least", F.coalesce("label", "node").alias("label"))
+    labelled = classes.join(found, "node", "left").select("k1", "k2", "least", "first", F.coalesce("label", "node").alias("label"))
     smallest = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = labelled.join(smallest, "label").select("k1", "k2", "component_id")
-    return light.join(named, ["k1", "k2"], "left").select(
-        ID, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(ID)).alias("component_id")
-    )
+    return light, labelled.join(smallest, "label")

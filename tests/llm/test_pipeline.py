@@ -16,7 +16,7 @@ def changed(words, *places):
 
 def kept(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    return sorted(((r["doc_id"] or 0, r["text"]) for r in drop_near_copies(spark, docs, "").collect()))
+    return sorted(((r["doc_id"] or 0, r["text"]) for r in drop_near_copies(spark, docs, "").collect()), key=repr)
 
 
 def test_copies_between_the_two_limits(spark):
@@ -30,3 +30,23 @@ def test_copies_between_the_two_limits(spark):
         (5, " ".join(text_of(3)), "x"),
     ]
     assert [i for i, _ in kept(spark, rows)] == [1, 3, 4, 5]
+
+
+def test_rows_are_told_apart_by_id_and_text(spark):
+    """Null ids, a shared id with different texts, a copy under another's id, and repeated rows."""
+    a, b, c, d, e = (" ".join(text_of(i)) for i in range(10, 15))
+    rows = [
+        (None, a, "x"),
+        (None, b, "x"),
+        (None, b, "x"),
+        (7, c, "x"),
+        (7, d, "x"),
+        (3, changed(d.split(), 50), "x"),
+        (9, e, "x"),
+        (9, e, "x"),
+        (None, e, "x"),
+        (None, "", "x"),
+        (None, None, "x"),
+    ]
+    want = [(0, a), (0, b), (0, ""), (0, None), (3, changed(d.split(), 50)), (7, c), (9, e)]
+    assert sorted(kept(spark, rows), key=repr) == sorted(want, key=repr)
