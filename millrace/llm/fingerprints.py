@@ -24,12 +24,11 @@ def _hashes(text: Column) -> Column:
     return F.transform(F.split(text, SPLIT), lambda t: F.xxhash64(t))
 
 
-def lexicon(docs: DataFrame, low: float = 0.002, high: float = 0.2, size: int = 8192) -> list[int]:
+def lexicon(docs: DataFrame, low: float = 0.002, high: float = 0.2) -> list[int]:
     """Hashes of the terms whose document frequency lies in the band from ``low`` to ``high``.
 
     Frequencies are counted over all documents, case kept. Terms that many documents share number at
-    most (terms a document) / low; of them the ``size`` most frequent make the lexicon, a bound that
-    does not grow with the data.
+    most (terms a document) / low, a bound that does not grow with the data; all are in the lexicon.
     """
     rows = id_text(docs)
     n = rows.count()
@@ -37,7 +36,17 @@ def lexicon(docs: DataFrame, low: float = 0.002, high: float = 0.2, size: int =
     counts = terms.groupBy("term").agg(F.count("*").alias("n"))
     empty = F.xxhash64(F.lit(""))
     band = counts.where((F.col("n") >= max(2, low * n)) & (F.col("n") <= high * n) & (F.col("term") != empty))
-    return [r["term"] for r in band.orderBy(F.desc("n"), "term").limit(size).collect()]
+    return [r["term"] for r in band.select("term").collect()]
+
+
+def _member(terms: list[int]):
+    """Whether a term is in the lexicon, looked up in the one short list its last bits name."""
+    mask = (1 << (len(terms) // 2).bit_length()) - 1
+    lists: list[list[int]] = [[] for _ in range(mask + 1)]
+    for t in sorted(terms):
+        lists[t & mask].append(t)
+    table = F.from_json(F.lit(json.dumps(lists)), "array<array<bigint>>")
+    return lambda t: F.array_contains(F.get(table, t.bitwiseAND(F.lit(mask)).cast("int")), t)
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str, terms: list[int], keep: list[str]) -> DataFrame:
@@ -47,13 +56,12 @@ def with_fingerprint(df: DataFrame, text: str, name: str, terms: list[int], keep
     (family by family, from large to small); a sub-lexicon without a term of the text gives zeros.
     Terms are distinct and sorted, so equal texts and texts of the same terms have equal hashes.
     """
-    lex = F.from_json(F.lit(json.dumps(sorted(terms))), "array<bigint>")
     row = with_once(df, keep, _all=_hashes(F.col(text)))
     row = with_once(
         row,
         keep,
         _whole=F.xxhash64(F.sort_array(F.array_distinct("_all"))),
-        _terms=F.sort_array(F.array_intersect("_all", lex)),
+        _terms=F.sort_array(F.array_distinct(F.filter("_all", _member(terms)))),
     )
     families = {f"_f{k}": F.transform("_terms", _salted(k)) for k in range(FAMILIES)}
     row = with_once(row, [*keep, "_whole", "_terms"], **families)
