@@ -16,8 +16,8 @@ BLANKS = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]"
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-SEPARATORS = "|<>•·»›"
-MARKS = r"[|<>•·»›#*$%&]"
+SEPARATORS = "|<>•·›"
+MARKS = r"[|<>•·›#*$%&]"
 PUNCTUATION = r"[,.;:!?…。、！？]"
 # without their first letters, which may be capitals
 BOILERPLATE = (
@@ -30,9 +30,10 @@ BOILERPLATE = (
     "lick here",
     "ubscribe to our",
 )
-# characters a line may have for each separator, symbol or bang before it fails (about five words,
-# ten words, ten words), and how long a line without punctuation may be
-PER_SEPARATOR, PER_SYMBOL, PER_BANG, BARE = 30, 60, 60, 60
+ORDINARY = r"[$#]\p{N}|\p{N}\x20?[%$]|\p{L}&\p{L}|(?<=[\p{L}.]\x20)&(?=\x20\p{L})"  # $50, #1, 5%, AT&T, Marks & Spencer
+# a line fails from so many marks on, where more than one word in so many carries one; characters it
+# may have for each bang, how long a line without punctuation may be, and one that is boilerplate
+LEAST_MARKS, PER_MARK, PER_BANG, BARE, SHORT = 3, 10, 60, 60, 120
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -62,15 +63,16 @@ def _holds_boilerplate(text: Column) -> Column:
 def _line_fails(line: Column, marks: Column, boilerplate: Column) -> Column:
     """The rules for one line; ``marks`` and ``boilerplate``: what its document holds at all."""
     size = F.char_length(line)
-    odd = (_count(line, SEPARATORS) * PER_SEPARATOR > size) | (
-        _count(line, SYMBOLS) * PER_SYMBOL > size
-    )
+    plain = F.regexp_replace(line, ORDINARY, "")
+    carry = F.size(F.filter(words_of(plain), lambda w: w.rlike(MARKS)))
+    many = _count(plain, SEPARATORS) + _count(plain, SYMBOLS.replace("|", "").replace("<", "").replace(">", ""))
+    odd = (many >= LEAST_MARKS) & (carry * PER_MARK > F.size(words_of(line)))
     return (
         F.when(~line.rlike(WORD), False)
         .when(marks & odd, True)
         .when(line.contains("!!"), (_count(line, "!") * PER_BANG > size) & ~line.rlike(r"\p{Ll}"))
         .when((size > BARE) & ~line.rlike(PUNCTUATION), True)
-        .when(boilerplate, _holds_boilerplate(line))
+        .when(boilerplate & (size <= SHORT), _holds_boilerplate(line))
         .otherwise(False)
     )
 
@@ -88,7 +90,8 @@ def clean_lines(
     (5-word windows by 64-bit hash), ``base_failed, clean_text`` (lines that pass; blank lines stay),
     ``kept_chars`` (word characters in it) and ``kept``: not base_failed, and at least ``min_kept``
     of the word characters stayed. A line fails if separators (navigation) or symbols take the place
-    of prose, if it shouts, if it is long and has no punctuation, or holds a boilerplate phrase.
+    of prose, if it shouts, if it is long and has no punctuation, or is short and holds a boilerplate
+    phrase. Sums of money, shares and names such as "Marks & Spencer" are prose.
 
     Null and empty texts have no words: counts 0, base_failed, not kept. Repeated rows are judged
     one by one; no row is shuffled. Extra columns are not read; with ``keep`` the whole row comes
