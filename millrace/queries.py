@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SEP = " ¦ "
 VOCAB_SIZE = 160
 MAX_LEN = 64
+CACHE_LEN = 512  # of the reference
 BATCH = 16
 
 
@@ -162,8 +163,8 @@ def sink_split_counts(spark, d):
 def token_cache(spark, d):
     vocab = _vocabulary(spark, d)
     path = new_path(spark, "token-cache")
-    vocabulary.cache_tokens(_rows(spark, d), vocab, path, MAX_LEN)
-    cached = files.read_token_cache(spark, path, MAX_LEN, PAD, vocab.fingerprint())
+    vocabulary.cache_tokens(_rows(spark, d), vocab, path, CACHE_LEN)
+    cached = files.read_token_cache(spark, path, CACHE_LEN, PAD, vocab.fingerprint())
     return cached.select("row_id", "split", "max_len", "pad_id", ids_text(F.col("ids")).alias("ids"))
 
 
