@@ -38,10 +38,14 @@ CUES = (
     r"(?i)\b(?:call|phone|tel|mobile|fax|mail|e-?mail|contact|reach|write to|card|visa|account|iban|ssn|"
     r"social security|ip|address|born|passport|licen[cs]e no)\b"
 )
+AT, DOT = r"\x20?(?:@|\(at\)|\[at\])\x20?", r"\x20?(?:\(dot\)|\[dot\])\x20?"
+PLAIN_ADDRESS = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"
+# the teacher of numbers without a strict format; the trees see neither it nor the formats' marks
+TAUGHT_CUES = r"(?i)\b(?:call|phone|tel|mobile|fax|card|visa|ssn|social security|passport|licen[cs]e no)\b"
 FEATURES = [
-    "n_chars", "n_digits", "n_letters", "n_dots", "n_dashes", "n_blanks", "n_brackets", "n_colons",
-    "has_at", "has_plus", "n_groups", "longest_group", "luhn", "small_groups", "cue_before",
-    "cue_after", "letter_before", "letter_after", "sign_before",
+    "is_number", "is_account", "n_chars", "n_digits", "n_letters", "n_dots", "n_dashes", "n_blanks",
+    "n_brackets", "n_colons", "n_groups", "longest_group", "small_groups", "cue_after",
+    "letter_before", "letter_after", "sign_before",
 ]
 
 
@@ -60,6 +64,29 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, v: a + F.coalesce(v, F.lit(0))) % 10 == 0
 
 
+def _mod97(account: Column) -> Column:
+    """Whether an account passes the check sum of IBANs: the first four signs last, letters from 10 on."""
+    bare = F.regexp_replace(account, r"\x20", "")
+    turned = F.concat(F.substring(bare, 5, 64), F.left(bare, F.lit(4)))
+    sign = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    step = lambda a, v: (a * F.when(v > 9, 100).otherwise(10) + v) % 97
+    return F.aggregate(F.transform(F.regexp_extract_all(turned, F.lit("[0-9A-Z]"), F.lit(0)), sign), F.lit(0), step) == 1
+
+
+def _plain(address: Column) -> Column:
+    """An address with its signs written out."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(address, AT, "@"), DOT, "."), r"\x20?\.\x20?", ".")
+
+
+def _right(kind: Column, m: Column, before: Column, strict: Column) -> Column:
+    """The teacher: check sums of accounts, addresses written out, strict formats and cues for numbers."""
+    return (
+        F.when(kind == "account", _mod97(m))
+        .when(kind == "address", _plain(m).rlike(PLAIN_ADDRESS))
+        .otherwise(strict | before.rlike(TAUGHT_CUES))
+    )
+
+
 def _octets(text: Column) -> Column:
     """Every dotted part is at most 255."""
     parts = F.transform(F.split(text, r"\."), lambda p: F.regexp_replace(p, r"^0+(?=[0-9])", ""))
@@ -99,18 +126,19 @@ def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
-def _features(m: Column, before: Column, after: Column) -> dict[str, Column]:
+def _features(kind: Column, m: Column, before: Column, after: Column) -> dict[str, Column]:
+    """What the trees see: shape and surroundings, without a leading plus or how an address is written."""
+    m = F.when(kind == "address", _plain(m)).otherwise(F.regexp_replace(m, r"^\+", ""))
     count = lambda p: F.char_length(m) - F.char_length(F.regexp_replace(m, p, ""))
     groups = F.filter(F.split(m, r"[^0-9]+"), lambda g: g != "")
     sizes = F.transform(groups, lambda g: F.char_length(g))
     last = F.right(before, F.lit(1))
     values = [
+        kind == "number", kind == "account",
         F.char_length(m), count(r"[0-9]"), count(r"\p{L}"), count(r"\."), count("-"), count(" "),
-        count(r"[()\[\]]"), count(":"), m.contains("@"), m.startswith("+"), F.size(groups),
-        F.coalesce(F.array_max(sizes), F.lit(0)),
-        F.when(count(r"[0-9]").between(13, 19), _luhn(_digits(m))).otherwise(False),
+        count(r"[()\[\]]"), count(":"), F.size(groups), F.coalesce(F.array_max(sizes), F.lit(0)),
         F.forall(groups, lambda g: F.char_length(g) <= 3),
-        before.rlike(CUES), after.rlike(CUES), last.rlike(r"\p{L}"),
+        after.rlike(CUES), last.rlike(r"\p{L}"),
         F.left(after, F.lit(1)).rlike(r"[\p{L}]"), last.rlike(r"[#$%&*=]"),
     ]
     return {k: v.cast("double") for k, v in zip(FEATURES, values)}
@@ -119,9 +147,9 @@ def _features(m: Column, before: Column, after: Column) -> dict[str, Column]:
 def _choose(rows: DataFrame, sample: int, precision: float) -> DataFrame | None:
     """Loose candidates that the trees choose: (row, kind, start, end). None if there is no teacher.
 
-    Candidates that hold a strict span teach as positive, the rest as negative. Trees are fitted on
-    at most ``sample`` of them (by hash) and each kind's threshold is the lowest score from which on
-    a held-out third of the sample reaches ``precision``.
+    What ``_right`` says teaches. Trees are fitted on at most ``sample`` candidates (by hash); each
+    kind's threshold is the lowest score from which on the held-out third of all candidates reaches
+    ``precision``.
     """
     text = F.col(TEXT)
     c = rows.select("row", "base", TEXT, F.explode("loose").alias("c"))
@@ -136,26 +164,26 @@ def _choose(rows: DataFrame, sample: int, precision: float) -> DataFrame | None:
         F.col("c.match").alias("match"),
         before.alias("before"),
         after.alias("after"),
-        strict.cast("double").alias("label"),
+        strict.alias("strict"),
     )
+    right = F.coalesce(_right(F.col("kind"), F.col("match"), F.col("before"), F.col("strict")), F.lit(False))
     c = c.select(
-        "row", "kind", "start", "end", "label",
+        "row", "kind", "start", "end", "strict", right.cast("double").alias("label"),
         F.xxhash64("match", "before", "after", "row").alias("h"),
-        *[v.alias(k) for k, v in _features(F.col("match"), F.col("before"), F.col("after")).items()],
+        *[v.alias(k) for k, v in _features(F.col("kind"), F.col("match"), F.col("before"), F.col("after")).items()],
     )
     c = materialize(VectorAssembler(inputCols=FEATURES, outputCol="x").transform(c).drop(*FEATURES), "pii-candidates")
-    taught = materialize(c.orderBy("h", "row", "start", "kind").limit(sample), "pii-sample")
     held = F.pmod("h", F.lit(3)) == 0
-    sides = taught.where(~held).groupBy("label").agg(F.count("*").alias("n")).collect()
+    taught = materialize(c.where(~held).orderBy("h", "row", "start", "kind").limit(sample), "pii-sample")
+    sides = taught.groupBy("label").agg(F.count("*").alias("n")).collect()
     if len(sides) < 2 or min(r["n"] for r in sides) < 10:
         return None
     trees = GBTClassifier(
         featuresCol="x", labelCol="label", maxIter=8, maxDepth=3, stepSize=0.3, seed=1, maxBins=16
-    ).fit(taught.where(~held).coalesce(1))
+    ).fit(taught.coalesce(1))
     scored = trees.transform(c).withColumn("score", F.floor(vector_to_array("probability")[1] * 100) / 100)
     grid = (
-        trees.transform(taught.where(held))
-        .withColumn("score", F.floor(vector_to_array("probability")[1] * 100) / 100)
+        scored.where(held)
         .groupBy("kind", "score")
         .agg(F.sum("label").alias("right"), F.count("*").alias("n"))
         .collect()  # at most 101 rows a kind
@@ -170,7 +198,7 @@ def _choose(rows: DataFrame, sample: int, precision: float) -> DataFrame | None:
     if not limits:
         return None
     passes = reduce(or_, [(F.col("kind") == k) & (F.col("score") >= v) for k, v in limits.items()])
-    return scored.where(passes & (F.col("label") == 0)).select("row", "kind", "start", "end")
+    return scored.where(passes & ~F.col("strict")).select("row", "kind", "start", "end")
 
 
 def find_pii(docs: DataFrame, sample: int = 20_000, precision: float = 0.95, keep: bool = False) -> DataFrame:
