@@ -28,6 +28,7 @@ REPORTS = frozenset(
 ADDRESSES = frozenset("you your you're youre u du dich dein sie tu vous toi usted eres".split())
 STEM_LENGTHS = range(4, 9)
 NEAR_WEIGHT = 0.7  # of a misspelled hit against an exact one
+ODDS = 2.5  # least log-odds of a term, toxic against clean: about twelve times as often
 
 _WORD = re.compile(r"[^\W_]+")
 _TOKEN = re.compile(r"\S+")
@@ -110,13 +111,15 @@ def _stems(words: Column, k: int) -> Column:
     return F.transform(F.filter(words, lambda w: F.char_length(w) > k), lambda w: F.left(w, F.lit(k)))
 
 
-def _least(words: str) -> list[Column]:
-    """Two least hashes of the long words, which documents seldom share by chance."""
+def _family(words: str) -> Column:
+    """Two least hashes of the long words, which documents seldom share by chance; a text without long
+    words is a family of its own."""
     long = F.filter(words, lambda w: F.char_length(w) >= 8)
-    return [
+    least = F.xxhash64(
         F.array_min(F.transform(long, lambda w: F.xxhash64(w))),
         F.array_min(F.transform(long, lambda w: F.crc32(w.cast("binary")))),
-    ]
+    )
+    return F.when(F.size(long) > 0, least).otherwise(F.xxhash64(TEXT))
 
 
 def _choose(support: dict[str, int]) -> tuple[list[str], list[str]]:
@@ -160,8 +163,9 @@ def train(
     """Learn the lexicon and the weights from a bounded sample of labelled documents.
 
     The sample (at most ``positives`` + ``negatives`` documents, by hash of the id) leaves out the
-    held-out third. Terms are whole words and word beginnings that toxic documents use more often
-    than chance allows and clean ones hardly ever: the lexicon comes from the ``terms`` most frequent.
+    held-out third. Terms are whole words and word beginnings that more families of toxic documents
+    use than chance allows, with log-odds of ``ODDS`` or more against clean ones: the lexicon comes
+    from the ``terms`` with most families. Quoted uses in clean documents are left to the weights.
     """
     kept = labels.select(F.col(ID), F.col("toxic").cast("int").alias("toxic")).where(
         F.col(ID).isNotNull() & F.col("toxic").isNotNull() & ~held_out()
@@ -175,27 +179,31 @@ def train(
     words = F.array_distinct(F.split(F.lower(TEXT), r"[^\p{L}\p{N}]+"))
     sample = id_text(docs).join(ids, ID).dropDuplicates([TEXT])
     sample = with_once(sample, [ID, TEXT, "toxic"], words=words)
-    sample = materialize(sample.withColumn("family", F.hash(*_least("words"))), "toxicity-sample")
+    sample = materialize(sample.withColumn("family", _family("words")), "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return Model()
-    seen = sample.select("toxic", F.explode(_terms(F.col("words"))).alias("term"))
+    # near copies count once: they agree in the least hashes of their words
+    seen = sample.select("toxic", "family", F.explode(_terms(F.col("words"))).alias("term"))
     counts = seen.groupBy("term").agg(
-        F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
+        F.sum("toxic").alias("bad"),
+        F.sum(1 - F.col("toxic")).alias("good"),
+        F.count_distinct(F.when(F.col("toxic") == 1, F.col("family"))).alias("n"),
     )
-    # so often in toxic documents alone that chance would not do it to one of 100,000 terms
+    # so much oftener in toxic documents that chance would not do it to one of 100,000 terms (Chernoff;
+    # for a term of toxic documents alone, share ** n)
     share = sizes[1] / (sizes[0] + sizes[1])
     least = max(3, math.ceil(math.log(1e-5) / math.log(share)))
-    clean = F.col("good") / sizes[0] <= 0.005 * F.col("bad") / sizes[1]
-    top = counts.where((F.col("bad") >= least) & clean).orderBy(F.desc("bad"), "term").limit(terms)
-    # near copies count once: they agree in the least hashes of their words
-    toxic = sample.where("toxic = 1")
+    both = F.col("n") + F.col("good")
+    chance = F.col("n") * F.log(F.col("n") / (both * share)) + F.when(
+        F.col("good") > 0, F.col("good") * F.log(F.col("good") / (both * (1 - share)))
+    ).otherwise(0.0)
+    odds = lambda k, n: F.log((F.col(k) + 0.5) / (n - F.col(k) + 0.5))
     support = (
-        toxic.select("family", F.explode(_terms(F.col("words"))).alias("term"))
-        .join(F.broadcast(top.select("term")), "term")  # at most ``terms`` rows
-        .groupBy("term")
-        .agg(F.count_distinct("family").alias("n"))
-        .where(F.col("n") >= least)
+        counts.where((F.col("n") >= least) & (chance >= math.log(1e5)))
+        .where(odds("bad", sizes[1]) - odds("good", sizes[0]) >= ODDS)
+        .orderBy(F.desc("n"), "term")
+        .limit(terms)
     )
     model = Model(*_choose({r["term"]: r["n"] for r in support.collect()}))
 
