@@ -6,6 +6,9 @@ into segments, and a set falls into one subset a segment. A segment has credit 1
 2 (their subsets differ by one element at most: each set also gives every subset with one element
 deleted). If the credits add up to H + 1, two linked sets must meet in some segment. How many
 segments of a band get credit 2, with fewer and larger segments in all, is decided by cost.
+
+A band of larger sets has credit 1 alone and some more segments. A set with more filled segments than
+elements in which a linked one may differ leaves its empty ones out: the other agrees in a filled one.
 """
 
 from __future__ import annotations
@@ -101,6 +104,10 @@ class Threshold:
         """Largest symmetric difference of linked sets with ``total`` elements together."""
         return total * (self.whole - self.part) // (self.whole + self.part)
 
+    def differ(self, size: int) -> int:
+        """Largest symmetric difference of a set of ``size`` and a linked one."""
+        return size * (self.whole - self.part) // self.part
+
     def partner(self, size: int) -> int:
         """Largest size of a linked set."""
         return size * self.whole // self.part
@@ -131,13 +138,28 @@ def allocate(distance: int, size: int, sets: int) -> tuple[int, int]:
     return best
 
 
+def plain_segments(distance: int, smallest: int, top: int, t: Threshold) -> int:
+    """The least number of segments, over ``distance``, of which sets of a band fill enough to leave
+    out empty ones, but for three deviations; 0 if there is none."""
+    for m in range(distance + 1, top + 1):
+        for n in (smallest, top):
+            x = n / m
+            sd = math.sqrt(max(0.0, m * math.exp(-x) * (1 - (1 + x) * math.exp(-x))))
+            if m * (1 - math.exp(-x)) - 3 * sd < min(distance, t.differ(n)) + 1:
+                break
+        else:
+            return m
+    return 0
+
+
 def signatures(
-    hashes: np.ndarray, offsets: np.ndarray, band: int, segments: int, double: int
+    hashes: np.ndarray, offsets: np.ndarray, band: int, segments: int, double: int, need: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """(signatures, set of each) of sets under one band's scheme.
 
     A subset's signature is the sum of its scrambled elements, scrambled with band and segment, so
-    that a deletion is one subtraction. The first ``double`` segments also give deletions.
+    that a deletion is one subtraction. The first ``double`` segments also give deletions. A set that
+    fills ``need`` segments or more gives no signature for empty ones.
     """
     n = len(offsets) - 1
     owner = np.repeat(np.arange(n), np.diff(offsets))
@@ -149,6 +171,10 @@ def signatures(
     salt = mix(np.arange(segments, dtype=np.uint64) + _times(band, 2))
     out = [mix(sums + np.tile(salt, n))]
     of = [np.repeat(np.arange(n), segments)]
+    if need is not None:
+        full = np.bincount(cell, minlength=n * segments) > 0
+        full |= np.repeat(full.reshape(n, segments).sum(axis=1) < need, segments)
+        out, of = [out[0][full]], [of[0][full]]
     if double:
         some = segment < double
         out.append(mix(sums[cell[some]] - value[some] + salt[segment[some]]))
@@ -188,7 +214,8 @@ def _sets(rows: DataFrame, n: int, tops: list[int], schemes: list[tuple[int, int
                 if not len(chosen):
                     continue
                 flat = hashes[gather(offsets[chosen], sizes[chosen])]
-                s, o = signatures(flat, running(sizes[chosen]), band, segments, double)
+                need = None if double else np.minimum(t.distance(2 * tops[band]), t.differ(sizes[chosen])) + 1
+                s, o = signatures(flat, running(sizes[chosen]), band, segments, double, need)
                 sigs.append(s)
                 of.append(chosen[o])
             sig, owner = np.concatenate(sigs), np.concatenate(of)
@@ -380,7 +407,9 @@ def _parts(docs: DataFrame, n: int, t: Threshold) -> tuple[DataFrame, DataFrame]
         h = t.distance(2 * top)
         below = tops[band - 1] if band else 0
         near = range(int(math.log(below + 1) / math.log(WIDTH)) - 1, int(math.log(top) / math.log(WIDTH)) + 2)
-        schemes.append(allocate(h, (below + 1 + top) // 2, sum(counts.get(k, 0) for k in near)) if h else (0, 0))
+        plain = plain_segments(h, (below + 1) * t.part // t.whole, top, t) if h else 0
+        by_cost = allocate(h, (below + 1 + top) // 2, sum(counts.get(k, 0) for k in near)) if h else (0, 0)
+        schemes.append((plain, 0) if plain else by_cost)
 
     sets = materialize(_sets(rows, n, tops, schemes, t), "shingle-sets")
     light = sets.select("row", ID, *HASHES, "n_shingles", "k1", "k2")
