@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import attribution, fingerprints, jaccard, line_quality, packing, pieces, pii
-from millrace.llm import records, secret_scan, toxicity
+from millrace.llm import records, secret_scan, toxicity, vector_codes
 from millrace.llm.spans import in_order
 from millrace.llm.texts import ID, joined_spans
 from millrace.sources.shared import materialize, new_path
@@ -157,3 +157,57 @@ def op7_i_match(spark, d):
 @query
 def op4_universe_partition(spark, d):
     return jaccard.jaccard_components(table(spark, d, "documents"))
+
+
+@query
+def op11_equal_average_codes(spark, d):
+    rows, books = vector_codes.compress(table(spark, d, "embeddings"))
+    return rows.select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def _nearest(books: str) -> str:
+    """Every part with its nearest entry: the least (distance, entry)."""
+    gap = "list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"""SELECT vec_id, label, p, any_value(x) AS x, min({{'d': CAST({gap} AS BIGINT), 'e': e}}) AS near
+      FROM parts JOIN {books} USING (p) GROUP BY vec_id, label, p"""
+
+
+def _means(assigned: str, books: str) -> str:
+    """Entries replaced by the floor of their parts' mean (// rounds towards zero), unused ones kept."""
+    floor = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+    return f"""SELECT p, e, coalesce(m.y, {books}.y) AS y FROM {books} LEFT JOIN (
+      SELECT p, e, list({floor} ORDER BY i) AS y FROM (
+        SELECT p, near.e AS e, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n
+        FROM {assigned}, range(1, 1000) t(i) WHERE i <= len(x) GROUP BY p, near.e, i) GROUP BY p, e) m USING (p, e)"""
+
+
+ORACLES["op11_equal_average_codes"] = f"""
+WITH kept AS (
+  SELECT vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec_id, label, p, q[p * (len(q) // 16) + 1 : (p + 1) * (len(q) // 16)] AS x FROM kept, range(16) t(p)
+), b0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS y FROM parts QUALIFY e < 64
+), a0 AS ({_nearest("b0")}), b1 AS ({_means("a0", "b0")}
+), a1 AS ({_nearest("b1")}), b2 AS ({_means("a1", "b1")}
+), a2 AS ({_nearest("b2")}
+), coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', near.e), '' ORDER BY p) AS code,
+    CAST(sum(near.d) AS BIGINT) AS error
+  FROM a2 GROUP BY vec_id, label
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded, digest
+"""
