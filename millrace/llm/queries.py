@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import attribution, fingerprints, jaccard, line_quality, packing, pieces, pii
+from millrace.llm import alignment, attribution, fingerprints, jaccard, line_quality, packing, pieces, pii
 from millrace.llm import records, secret_scan, toxicity, vector_codes
 from millrace.llm.spans import in_order
 from millrace.llm.texts import ID, joined_spans
@@ -20,6 +20,7 @@ ORACLES: dict[str, str] = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(fn):
@@ -171,6 +172,14 @@ def op11_equal_average_codes(spark, d):
     )
 
 
+@query
+def op12_galloping_alignment(spark, d):
+    rows = alignment.align(table(spark, d, "documents"), BYTE_BPE, PIECE_BPE)
+    digest = F.when(F.col("n_groups") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    rows = materialize(rows.withColumn("groups_sha256", digest).drop("groups"), "aligned-tokens")
+    return alignment.weigh(rows, alignment.size_of(PIECE_BPE))
+
+
 def _nearest(books: str) -> str:
     """Every part with its nearest entry: the least (distance, entry)."""
     gap = "list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
