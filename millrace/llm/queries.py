@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import alignment, attribution, fingerprints, jaccard, line_quality, packing, pieces, pii
-from millrace.llm import records, secret_scan, toxicity, vector_codes
+from millrace.llm import records, secret_scan, toxicity, vector_codes, wrappers
 from millrace.llm.spans import in_order
 from millrace.llm.texts import ID, joined_spans
 from millrace.sources.shared import materialize, new_path
@@ -180,6 +180,12 @@ def op12_galloping_alignment(spark, d):
     return alignment.weigh(rows, alignment.size_of(PIECE_BPE))
 
 
+@query
+def op13_wrapper_inference(spark, d):
+    rows = wrappers.main_texts(table(spark, d, "pages"))
+    return rows.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def _nearest(books: str) -> str:
     """Every part with its nearest entry: the least (distance, entry)."""
     gap = "list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
