@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,36 +13,61 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import ID, TEXT, gather, id_text, id_type, raw, running, small, text_array
+from millrace.llm.memo import Memo
+from millrace.llm.texts import ID, TEXT, gather, gathered, id_text, id_type, raw, running, small, text_array
 from millrace.sources.shared import materialize
 
 MARK = "▁"
 _GROUP = 256  # new words encoded at once
-_MEMO = 150_000  # words of a generation
+_CHUNK = 1 << 14  # and aligned at once
+_MEMO = 300_000  # words a task remembers
 _BLOCK = ["block", "links", "width", "pairs", "counts"]  # columns that only ``weigh`` needs
 
 
-def common_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Places (in a, in b) of the numbers that two rising lists share, by galloping.
-
-    The shorter list drives: from the last place found in the longer one, steps of 1, 2, 4, ... reach
-    past the number, and a binary search ends between the last two steps.
+def _gallop(x: np.ndarray, long: np.ndarray, low: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """For every number of ``x`` the first place from ``low`` (below ``stop``) in the rising ``long``
+    that is not smaller: steps of 1, 2, 4, ... reach past it, a binary search goes back."""
+    low, high, step = low.copy(), low.copy(), 1
+    rows = np.arange(len(x))
+    while len(rows):
+        rows = rows[high[rows] < stop[rows]]
+        rows = rows[long[high[rows]] < x[rows]]
+        low[rows] = high[rows] + 1
+        high[rows] += step
+        step *= 2
+    high = np.minimum(high, stop)
+    while True:
+        rows = np.flatnonzero(low < high)
+        if not len(rows):
+            return low
+        middle = (low[rows] + high[rows]) // 2
+        less = long[middle] < x[rows]
+        low[rows[less]] = middle[less] + 1
+        high[rows[~less]] = middle[~less]
+
+
+def common_ends(
+    a: np.ndarray, b: np.ndarray, bounds_a: np.ndarray, bounds_b: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``a`` and in ``b`` of the numbers that two rising lists share, by galloping.
+
+    The lists are cut into texts by their ``bounds``; of each text the shorter part drives, and every
+    one of its numbers is searched in the longer part.
     """
-    swapped = len(a) > len(b)
-    short, long = (b, a) if swapped else (a, b)
-    n, low, out = len(long), 0, []
-    for i, x in enumerate(short):
-        high, step = low, 1
-        while high < n and long[high] < x:
-            low = high + 1
-            high += step
-            step *= 2
-        low = bisect_left(long, x, low, min(high, n))
-        if low == n:
-            break
-        if long[low] == x:
-            out.append((low, i) if swapped else (i, low))
-    return out
+    short = np.diff(bounds_a) <= np.diff(bounds_b)
+    found = []
+    for driver, other, bounds, others, mine in ((a, b, bounds_a, bounds_b, short), (b, a, bounds_b, bounds_a, ~short)):
+        text = np.repeat(np.arange(len(short)), np.diff(bounds))
+        at = np.flatnonzero(mine[text])
+        low, stop = others[:-1][text[at]], others[1:][text[at]]
+        place = _gallop(driver[at], other, low, stop)
+        hit = place < stop
+        hit[hit] = other[place[hit]] == driver[at[hit]]
+        found.append((at[hit], place[hit]))
+    i = np.concatenate([found[0][0], found[1][1]])
+    j = np.concatenate([found[0][1], found[1][0]])
+    order = np.argsort(i)
+    return i[order], j[order]
 
 
 def _byte_level() -> dict[str, int]:
@@ -53,16 +78,28 @@ def _byte_level() -> dict[str, int]:
     return table | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+def _digits(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, lengths) of the decimal ids of a vocabulary, each after one byte for a separator."""
+    texts = [b"," + str(i).encode() for i in range(size)]
+    lengths = np.array(list(map(len, texts)))
+    return np.frombuffer(b"".join(texts), np.uint8), running(lengths)[:-1], lengths
+
+
+def _spelling(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    lengths = np.array(list(map(len, tokens)))
+    return np.frombuffer(b"".join(tokens), np.uint8), running(lengths)[:-1], lengths
+
+
 class Aligner:
     """Align the tokens of vocabulary A (byte-level, ``tokenizers``) and B (``sentencepiece``).
 
     Both see a text with one blank in front, and neither has a token that goes on past a blank run's
     end or begins inside a word before one, so a text is cut into words (blanks, then no blanks) and
-    every distinct word is encoded and aligned once. What is kept a word: ``(tokens of A, tokens of
-    B, groups, their text, linked pairs)``, or None where its tokens do not spell it.
+    every distinct word is encoded and aligned once. What is kept a word: its numbers of tokens and
+    groups, the text of its groups (``;a1,a2|b1``), its linked pairs, and whether its tokens spell it.
     """
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, memo: int = _MEMO):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -73,73 +110,100 @@ class Aligner:
         letters = _byte_level()
         size = self.a.get_vocab_size(with_added_tokens=True)
         names = [self.a.id_to_token(i) or "" for i in range(size)]
-        self.bytes_a = [bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in names]
+        self.spell_a = _spelling([bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in names])
         self.size_b = self.b.vocab_size()
         pieces = [self.b.id_to_piece(i) for i in range(self.size_b)]
-        self.bytes_b = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
-            for i, p in enumerate(pieces)
-        ]
+        self.spell_b = _spelling(
+            [
+                bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
+                for i, p in enumerate(pieces)
+            ]
+        )
         if any(MARK in p.lstrip(MARK) for p in pieces):
             raise ValueError("vocabulary B has a piece that goes on past a blank")
         self.blank = self.b.encode("x ")[len(self.b.encode("x")) :]
-        self.young: dict[str, tuple | None] = {}
-        self.old: dict[str, tuple | None] = {}
+        self.digits = _digits(max(size, self.size_b))
+        columns = {"text": np.zeros(0, np.uint8), "pairs": np.zeros(0, np.int64)}
+        self.memo = Memo(memo, columns, ("n_a", "n_b", "ok"))
 
     # ---- words --------------------------------------------------------------------------------
 
-    def _ids_b(self, text: str) -> list[int]:
-        return self.b.encode(text[1:]) if text != " " else self.blank  # B adds the first blank itself
-
-    def _align(self, words: list[str]) -> bool:
-        """Encode the words as one text and keep what each gives; False if the tokens differ from it."""
-        text = "".join(words)
-        ids_a = self.a.encode(text, add_special_tokens=False).ids
-        ids_b = self._ids_b(text)
-        spelled_a = [self.bytes_a[i] for i in ids_a]
-        spelled_b = [self.bytes_b[i] for i in ids_b]
-        data = text.encode()
-        if b"".join(spelled_a) != data or b"".join(spelled_b) != data:
-            return False
-        ends_a = np.cumsum(list(map(len, spelled_a))).tolist()
-        ends_b = np.cumsum(list(map(len, spelled_b))).tolist()
-        borders = np.cumsum([len(w.encode()) for w in words]).tolist()
-        names_a, names_b = list(map(str, ids_a)), list(map(str, ids_b))
-        word, groups, pairs = 0, [], []
-        i0 = j0 = first_a = first_b = 0
-        for i, j in common_ends(ends_a, ends_b):
-            groups.append(f"{','.join(names_a[i0 : i + 1])}|{','.join(names_b[j0 : j + 1])}")
-            pairs.append(ids_a[i] * self.size_b + ids_b[j])
-            i0, j0 = i + 1, j + 1
-            if ends_a[i] == borders[word]:
-                kept = (i0 - first_a, j0 - first_b, len(groups), ";".join(groups), pairs)
-                self.young[words[word]] = kept
-                word, groups, pairs, first_a, first_b = word + 1, [], [], i0, j0
-        if word != len(words):
+    def _ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        # B adds the first blank itself, but not to an empty text
+        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        return a, [ids if t != " " else self.blank for t, ids in zip(texts, b)]
+
+    def _align(self, groups: list[list[str]]) -> list[str]:
+        """Encode each group of words as one text, align all, and remember every word.
+
+        Gives back the words of groups that the tokens do not spell; a group of one such word is
+        remembered as not spelled.
+        """
+        texts = ["".join(g) for g in groups]
+        ids_a, ids_b = self._ids(texts)
+        data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+        sides, right = [], np.ones(len(groups), bool)
+        for ids, (letters, starts, lengths) in ((ids_a, self.spell_a), (ids_b, self.spell_b)):
+            sizes = np.array(list(map(len, ids)))
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, sizes.sum())
+            spelled, ends = letters[gather(starts[flat], lengths[flat])], running(lengths[flat])
+            borders = ends[running(sizes)]
+            for k, d in enumerate(data):
+                right[k] &= np.array_equal(spelled[borders[k] : borders[k + 1]], d)
+            sides.append((flat, sizes, lengths))
+        again = [w for g, r in zip(groups, right) if not r and len(g) > 1 for w in g]
+        wrong = [g[0] for g, r in zip(groups, right) if not r and len(g) == 1]
+        if wrong:
+            none = np.zeros(len(wrong), np.int64)
+            nothing = {name: (empty, none) for name, empty in self.memo.empty.items()}
+            self.memo.add(wrong, nothing, n_a=none, n_b=none, ok=none)
+        if right.any():
+            kept = [(flat[np.repeat(right, sizes)], lengths) for flat, sizes, lengths in sides]
+            self._remember([w for g, r in zip(groups, right) if r for w in g], *kept)
+        return again
+
+    def _remember(self, words: list[str], side_a: tuple, side_b: tuple) -> None:
+        """The ids of both sides run through all words in turn."""
+        borders = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        (a, lengths_a), (b, lengths_b) = side_a, side_b
+        ends_a, ends_b = np.cumsum(lengths_a[a]), np.cumsum(lengths_b[b])
+        bounds_a = np.append(0, np.searchsorted(ends_a, borders) + 1)
+        bounds_b = np.append(0, np.searchsorted(ends_b, borders) + 1)
+        i, j = common_ends(ends_a, ends_b, bounds_a, bounds_b)
+        groups = np.append(0, np.searchsorted(i, bounds_a[1:] - 1) + 1)  # each word ends a group
+        if not np.array_equal(ends_a[bounds_a[1:] - 1], borders) or not np.array_equal(ends_b[bounds_b[1:] - 1], borders):
             raise ValueError("a word's end is no end of a token")
-        return True
-
-    def words(self, distinct: list[str]) -> list[tuple | None]:
-        """What is known of each word; new ones are aligned, the longest unused are forgotten."""
-        if len(self.young) > _MEMO:
-            self.old, self.young = self.young, {}
-        young, old, new = self.young, self.old, []
-        for w in distinct:
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    new.append(w)
-        joined = [w for w in new if not w.endswith(" ")]  # blanks at a word's end would meet the next word's
-        alone = [w for w in new if w.endswith(" ")]
-        for start in range(0, len(joined), _GROUP):
-            group = joined[start : start + _GROUP]
-            if not self._align(group):
-                alone += group
-        for w in alone:
-            if not self._align([w]):
-                young[w] = None
-        return [young[w] for w in distinct]
+        # the tokens of both sides, group by group: first those of A, then those of B
+        group_a = np.repeat(np.arange(len(i)), np.diff(i, prepend=-1))
+        group_b = np.repeat(np.arange(len(j)), np.diff(j, prepend=-1))
+        at_a = np.arange(len(a)) + np.append(0, j + 1)[group_a]
+        at_b = np.arange(len(b)) + (i + 1)[group_b]
+        ids = np.empty(len(a) + len(b), np.int64)
+        ids[at_a], ids[at_b] = a, b
+        letters, starts, lengths = self.digits
+        text, begins = letters[gather(starts[ids], lengths[ids])], running(lengths[ids])
+        text[begins[at_a[np.append(0, i + 1)[:-1]]]] = ord(";")
+        text[begins[at_b[np.append(0, j + 1)[:-1]]]] = ord("|")
+        sizes = np.diff(begins[bounds_a + bounds_b])
+        pairs = a[i] * self.size_b + b[j]
+        columns = {"text": (text, sizes), "pairs": (pairs, np.diff(groups))}
+        self.memo.add(words, columns, n_a=np.diff(bounds_a), n_b=np.diff(bounds_b), ok=np.ones(len(words), np.int64))
+
+    def words(self, distinct: list[str]) -> np.ndarray:
+        """The rows of all words; new ones are aligned."""
+        slots = self.memo.slots(distinct)
+        new = [distinct[k] for k in np.flatnonzero(slots < 0)]
+        if new:
+            joined = [w for w in new if not w.endswith(" ")]  # blanks at a word's end would meet the next word's
+            alone = [w for w in new if w.endswith(" ")]
+            for start in range(0, len(joined), _CHUNK):
+                chunk = joined[start : start + _CHUNK]
+                alone += self._align([chunk[k : k + _GROUP] for k in range(0, len(chunk), _GROUP)])
+            if alone:
+                self._align([[w] for w in alone])
+            slots = np.fromiter(map(self.memo.place.__getitem__, distinct), np.int64, len(distinct))
+        return slots
 
     # ---- texts --------------------------------------------------------------------------------
 
@@ -155,39 +219,39 @@ class Aligner:
         ends = np.append(cuts, len(data)).astype(np.int32)
         cut = pa.Array.from_buffers(pa.string(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
         words = cut.dictionary_encode()
-        which, bounds = words.indices.to_numpy(), np.searchsorted(cuts, off)
-        known = self.words(words.dictionary.to_pylist())
-
-        bad = running(np.fromiter((k is None for k in known), np.int64, len(known))[which])
-        ok = full & (bad[bounds[1:]] == bad[bounds[:-1]])
-        known = [k or (0, 0, 0, "", []) for k in known]
-        sizes = {}
-        for c, name in enumerate(("n_a", "n_b", "n_groups")):
-            sums = running(np.fromiter((k[c] for k in known), np.int64, len(known))[which])
-            sizes[name] = np.where(ok, sums[bounds[1:]] - sums[bounds[:-1]], 0)
-        names = [k[3] for k in known]
-        places = which.tolist()
-        groups = [
-            ";".join([names[w] for w in places[bounds[t] : bounds[t + 1]]]) if ok[t] else ""
-            for t in range(len(texts))
-        ]
+        distinct, bounds = words.indices.to_numpy(), np.searchsorted(cuts, off)
+        slots, memo = self.words(words.dictionary.to_pylist()), self.memo
+
+        # the words of texts that the tokens spell, and where each such text begins among them
+        bad = running(1 - memo.fixed["ok"][slots][distinct])[bounds]
+        ok = full & (bad[1:] == bad[:-1])
+        distinct = distinct[np.repeat(ok, np.diff(bounds))]
+        bounds = running(np.where(ok, np.diff(bounds), 0))
+        which = slots[distinct]
+
+        def per_text(counts: np.ndarray) -> np.ndarray:
+            return running(counts[which])[bounds]
+
+        pairs = memo.counts["pairs"]
+        out = {name: np.diff(per_text(memo.fixed[name])) for name in ("n_a", "n_b")}
+        stops = per_text(pairs)
+        out["n_groups"] = out["n_links"] = np.diff(stops)
+        # the groups of all words in turn; a text's first separator goes
+        starts, sizes = memo.starts["text"][which], memo.counts["text"][which]
+        begin = bounds[:-1][ok]
+        starts[begin] += 1
+        sizes[begin] -= 1
+        text = gathered(memo.data["text"], starts, sizes)
+        out["groups"] = pa.Array.from_buffers(
+            pa.string(), len(texts), [None, pa.py_buffer(running(sizes)[bounds].astype(np.int32)), pa.py_buffer(text)]
+        )
         # links as places in the block's list of distinct pairs
-        counts = np.fromiter((len(k[4]) for k in known), np.int64, len(known))
-        codes, place = np.unique(np.array([p for k in known for p in k[4]], np.int64), return_inverse=True)
-        mine = np.where(np.repeat(ok, np.diff(bounds)), counts[which], 0)
-        links = place[gather(running(counts)[:-1][which], mine)]
-        used = np.bincount(links, minlength=len(codes))
+        codes, place = np.unique(memo.data["pairs"][gather(memo.starts["pairs"][slots], pairs[slots])], return_inverse=True)
+        links = place[gather(running(pairs[slots])[:-1][distinct], pairs[which])]
         width = 2 if len(codes) <= 1 << 16 else 4
-        stops = running(mine)[bounds]
         buffers = [None, pa.py_buffer((stops * width).astype(np.int32)), pa.py_buffer(links.astype(f"<u{width}"))]
-        return sizes | {
-            "groups": groups,
-            "n_links": np.diff(stops),
-            "links": pa.Array.from_buffers(pa.binary(), len(texts), buffers),
-            "width": width,
-            "pairs": codes,
-            "counts": used,
-        }
+        out["links"] = pa.Array.from_buffers(pa.binary(), len(texts), buffers)
+        return out | {"width": width, "pairs": codes, "counts": np.bincount(links, minlength=len(codes))}
 
 
 def size_of(path_b: str) -> int:

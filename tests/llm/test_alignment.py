@@ -1,10 +1,11 @@
 """Two tokenizers aligned, against whole texts by the libraries and a plain count of all links."""
 
 import hashlib
-from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given
@@ -103,18 +104,26 @@ def test_empty_table(spark):
 
 
 @pytest.mark.parametrize("memo", [0, 1000])
-def test_forgetting_words_changes_nothing(monkeypatch, memo):
-    import pyarrow as pa
-
-    monkeypatch.setattr(alignment, "_MEMO", memo)
-    aligner = alignment.Aligner(BYTE_BPE, PIECE_BPE)
+def test_forgetting_words_changes_nothing(memo):
+    aligner = alignment.Aligner(BYTE_BPE, PIECE_BPE, memo)
+    want = [row[:4] for row in brute(TEXTS)]
     for _ in range(3):
-        for text, want in zip(TEXTS, brute(TEXTS)):
-            got = aligner.batch(pa.array([text or ""]))
-            assert (got["n_a"][0], got["n_b"][0], got["n_groups"][0], got["n_links"][0]) == want[:4]
+        got = [aligner.batch(pa.array([text or ""])) for text in TEXTS]
+        assert [tuple(int(g[c][0]) for c in ("n_a", "n_b", "n_groups", "n_links")) for g in got] == want
+    got = aligner.batch(pa.array([t or "" for t in TEXTS]))
+    assert list(zip(*[got[c].tolist() for c in ("n_a", "n_b", "n_groups", "n_links")])) == want
+
+
+lists = st.lists(st.tuples(st.sets(st.integers(0, 60)), st.sets(st.integers(0, 60))), max_size=5)
 
 
-@given(st.sets(st.integers(0, 300)), st.sets(st.integers(0, 300)))
-def test_galloping(a, b):
-    a, b = sorted(a), sorted(b)
-    assert alignment.common_ends(a, b) == [(bisect_left(a, x), bisect_left(b, x)) for x in sorted({*a} & {*b})]
+@given(lists)
+def test_galloping(texts):
+    """Texts one after another, as they lie in the bytes."""
+    a = [sorted(100 * k + x for x in xs) for k, (xs, _) in enumerate(texts)]
+    b = [sorted(100 * k + x for x in xs) for k, (_, xs) in enumerate(texts)]
+    flat = [np.array([x for xs in side for x in xs], np.int64) for side in (a, b)]
+    bounds = [np.append(0, np.cumsum([len(xs) for xs in side])).astype(np.int64) for side in (a, b)]
+    i, j = alignment.common_ends(*flat, *bounds)
+    common = np.intersect1d(*flat)
+    assert flat[0][i].tolist() == flat[1][j].tolist() == common.tolist()
