@@ -94,7 +94,7 @@ def _segment(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
 def _word_encoder(vocab: Vocabulary, spark):
     """Arrow function from lists of byte-letter words to lists of ids.
 
-    The vocabulary is the only thing sent to all tasks, and :data:`MAX_PIECES` bounds it. Each
+    The vocabulary is the only thing sent to all tasks; its size is what the user asked for. Each
     distinct word of a batch is looked at once; a task remembers words it has met.
     """
     ids = {t: i for i, t in enumerate(vocab.tokens)}

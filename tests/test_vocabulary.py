@@ -4,6 +4,7 @@ import random
 import unicodedata
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,8 +99,11 @@ def test_small_corpora(spark, seed):
     assert vocab.tokens == tokens_of(package(60, texts, lower=False, nfkc=False, min_frequency=3))
 
 
-def test_merges_against_one_by_one(spark):
-    """Merging a whole run of pairs per round equals plain greedy merging."""
+@pytest.mark.parametrize("head, run, pending", [(50_000, 512, 512), (3, 512, 512), (7, 2, 1), (1, 1, 5)])
+def test_merges_against_one_by_one(spark, monkeypatch, head, run, pending):
+    """Merging a whole run of pairs per round equals plain greedy merging, whatever the driver knows."""
+    for name, value in (("_HEAD", head), ("_RUN", run), ("_PENDING", pending)):
+        monkeypatch.setattr(bpe, name, value)
     rng = random.Random(11)
     counts = Counter("".join(rng.choice("abcde") for _ in range(rng.randint(2, 8))) for _ in range(300))
     table = spark.createDataFrame(list(counts.items()), "word string, n long")
@@ -127,6 +131,22 @@ def test_merges_against_one_by_one(spark):
     assert len(set(vocab.pieces)) == 65
 
 
+def test_block_changes_equal_recounts():
+    """Signed changes of pair counts against counting all words again, with runs of one symbol."""
+    rng = random.Random(4)
+    for _ in range(50):
+        words = ["".join(rng.choice("aab") for _ in range(rng.randint(1, 7))) for _ in range(30)]
+        syms = np.array([x for w in words for x in [*map(ord, w), 0]], np.int32)
+        block = bpe._Block.of(syms, np.array([rng.randint(1, 9) for _ in words]))
+        done = [(ord("a"), ord("a"), 5000), (5000, ord("b"), 5001)][: rng.randint(0, 2)]
+        new = [(ord("a"), ord("b"), 5002)]
+        before, after = (dict(zip(*map(np.ndarray.tolist, block.totals(m)))) for m in (done, done + new))
+        got = dict(zip(*map(np.ndarray.tolist, block.deltas(done, new))))
+        assert got == {p: after.get(p, 0) - before.get(p, 0) for p in {*before, *after} if after.get(p) != before.get(p)}
+        again = block.rewritten(done)
+        assert dict(zip(*map(np.ndarray.tolist, again.totals(new)))) == after
+
+
 def test_encode_equals_package(spark, docs, trained):
     tk, vocab = trained
     extra = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(SAMPLE + [None])], "doc_id long, text string")
