@@ -9,50 +9,42 @@ whole texts gives (tested), in a third of the time.
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from millrace.llm.memo import Memo
 from millrace.llm.texts import gather, raw, running
 
 # A word of Latin letters, then a run of ASCII punctuation: exactly two pieces of the splitting rule.
 # (U+0130 is left out: its lower case is two characters, of which one is no letter.)
-_PLAIN = re.compile(
-    "([a-zA-ZªµºÀ-ÖØ-öø-įı-ɏ]+)"
-    "([!-/:-@\\[-`{-~]*)"
-)
+_LETTERS = "[a-zA-ZªµºÀ-ÖØ-öø-įı-ɏ]+"
+_PLAIN = f"^(?P<head>{_LETTERS})(?P<tail>[!-/:-@\\[-`{{-~]*)$"
 _COMBINING = 0xCC  # first UTF-8 byte of U+0300: below it no two characters compose
 _GROUP = 256
 
 
 class WordEncoder:
-    """Encode batches of texts; keeps the ids of at most ``memo`` distinct words."""
+    """Encode batches of texts; keeps the ids of about ``memo`` distinct heads and tails of words."""
 
-    def __init__(self, path: str, memo: int = 150_000, spans: bool = False):
+    def __init__(self, path: str, memo: int = 400_000, spans: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo, self.spans = memo, spans
+        self.spans = spans
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.last = np.array(
             [(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)]
         )
-        self._forget()
-
-    def _forget(self) -> None:
-        self.slot: dict[str, int] = {"": 0}
-        self.start = np.zeros(1, np.int64)
-        self.count = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-        self.span = np.zeros((0, 2), np.int32)
+        columns = {"ids": np.zeros(0, np.uint32)} | ({"span": np.zeros((0, 2), np.int32)} if spans else {})
+        self.memo = Memo(memo, columns)
 
     # ---- words --------------------------------------------------------------------------------
 
     def _encode_new(self, plain: list[str], odd: list[str]) -> None:
-        """Give new words their slots: plain ones in groups, others one by one."""
+        """Remember new words: plain ones are encoded in groups, others one by one."""
         ids, counts, spans = [], [], []
         encode = self.tokenizer.encode_batch if self.spans else self.tokenizer.encode_batch_fast
         groups = [plain[i : i + _GROUP] for i in range(0, len(plain), _GROUP)]
@@ -75,40 +67,31 @@ class WordEncoder:
             if self.spans:
                 spans += [np.array(e.offsets, np.int32).reshape(-1, 2) for e in got]
         counts = np.concatenate(counts)
-        self.slot.update(zip(plain + odd, range(len(self.start), len(self.start) + len(counts))))
-        self.start = np.concatenate([self.start, len(self.ids) + running(counts)[:-1]])
-        self.count = np.concatenate([self.count, counts])
-        self.ids = np.concatenate([self.ids, *ids])
+        columns = {"ids": (np.concatenate(ids), counts)}
         if self.spans:
-            self.span = np.concatenate([self.span, *spans])
+            columns["span"] = (np.concatenate(spans).astype(np.int32), counts)
+        self.memo.add(plain + odd, columns)
 
     def _slots(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For every distinct word: the slots of its head and of its tail, and the head's length."""
-        if len(self.slot) > self.memo:
-            self._forget()
-        match = _PLAIN.fullmatch
-        heads, tails, sizes = [], [], np.zeros(len(words), np.int64)
-        new_plain, new_odd, known = {}, {}, self.slot
-        for k, word in enumerate(words.to_numpy(zero_copy_only=False)):
-            m = match(word)
-            if m is None:
-                head, tail = word, ""
-                if head not in known:
-                    new_odd[head] = None
-            else:
-                head, tail = m.groups()
-                if head not in known:
-                    new_plain[head] = None
-                if tail not in known:
-                    new_odd[tail] = None
-                sizes[k] = len(head)
-            heads.append(head)
-            tails.append(tail)
-        if new_plain or new_odd:
-            self._encode_new(list(new_plain), list(new_odd))
-        get = self.slot.__getitem__
+        """For every distinct word: the rows of its head and of its tail, and the head's length."""
+        cut = pc.extract_regex(words, _PLAIN)
+        plain = pc.is_valid(cut)
+        heads = pc.if_else(plain, pc.struct_field(cut, "head"), words)
+        tails = pc.if_else(plain, pc.struct_field(cut, "tail"), "")
+        sizes = pc.if_else(plain, pc.utf8_length(heads), 0).to_numpy(zero_copy_only=False)
         n = len(words)
-        return np.fromiter(map(get, heads), np.int64, n), np.fromiter(map(get, tails), np.int64, n), sizes
+        both = pa.concat_arrays([heads, tails]).dictionary_encode()
+        distinct = both.dictionary.to_pylist()
+        slots = self.memo.slots(distinct)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            letters = pc.match_substring_regex(both.dictionary, f"^{_LETTERS}$").to_numpy(zero_copy_only=False)
+            order = np.concatenate([new[letters[new]], new[~letters[new]]])
+            first = len(self.memo.used)
+            self._encode_new([distinct[k] for k in new[letters[new]]], [distinct[k] for k in new[~letters[new]]])
+            slots[order] = np.arange(first, first + len(order))
+        which = slots[both.indices.to_numpy()]
+        return which[:n], which[n:], sizes.astype(np.int64)
 
     # ---- texts --------------------------------------------------------------------------------
 
@@ -130,7 +113,7 @@ class WordEncoder:
         which = words.indices.to_numpy()
         slots = np.empty(2 * len(which), np.int64)
         slots[0::2], slots[1::2] = heads[which], tails[which]
-        counts = self.count[slots]
+        counts = self.memo.counts["ids"][slots]
         bounds = split.offsets.to_numpy().astype(np.int64)
         ends = running(counts)
         full = pc.binary_length(words.dictionary).to_numpy() > 0
@@ -141,7 +124,7 @@ class WordEncoder:
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         _, slots, counts, _, _, offsets, _ = self._parts(texts)
-        return self.ids[gather(self.start[slots], counts)], offsets
+        return self.memo.data["ids"][gather(self.memo.starts["ids"][slots], counts)], offsets
 
     def encode_spans(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(spans, offsets, chars): each token's first and last + 1 code point in its text."""
@@ -161,6 +144,6 @@ class WordEncoder:
         begin -= at[off[:-1]][text_of]
         shift = np.empty(len(slots), np.int64)
         shift[0::2], shift[1::2] = begin, begin + sizes[which]
-        spans = self.span[gather(self.start[slots], counts)].astype(np.int64)
+        spans = self.memo.data["span"][gather(self.memo.starts["span"][slots], counts)].astype(np.int64)
         spans += np.repeat(shift, counts)[:, None]
         return spans, offsets, at[off[1:]] - at[off[:-1]]
