@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,19 +53,67 @@ def words(text: Column) -> Column:
     return F.filter(F.split(sub(text, r"\s+", " "), " "), lambda t: t != "")
 
 
-def _grams(tokens: Column, side: int) -> Column:
-    """All 1- to 4-grams of a token list as (order, gram, side)."""
-    def of_order(n: int) -> Column:
-        return F.transform(
-            F.slice(tokens, F.lit(1), F.greatest(F.lit(0), F.size(tokens) - (n - 1))),
-            lambda _, i: F.struct(
-                F.lit(n).alias("n"),
-                F.array_join(F.slice(tokens, i + 1, F.lit(n)), " ").alias("gram"),
-                F.lit(side).alias("side"),
-            ),
-        )
+def _numbered(ids: np.ndarray, text: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams one token longer: numbers that are equal just where the n-grams are, and their texts.
+
+    ``ids`` numbers the n-grams in order, ``first`` the tokens that follow each (-1: none in its text).
+    Pairs of numbers are sorted and numbered anew, so no two n-grams ever share one.
+    """
+    longer = first >= 0
+    pairs = ids[longer] * (int(first.max(initial=0)) + 1) + first[longer]
+    return np.unique(pairs, return_inverse=True)[1].astype(np.int64), text[longer]
 
-    return F.concat(*[of_order(n) for n in range(1, MAX_ORDER + 1)])
+
+def _clipped(hypotheses: pa.Array, references: pa.Array) -> np.ndarray:
+    """Per pair of token lists and order: clipped matches, n-grams of the hypothesis and of the reference.
+
+    The tokens of a whole batch are numbered once; n-grams are numbers throughout. Both sides of a
+    pair are sorted together and meet there.
+    """
+    n = len(hypotheses)
+    lists = [hypotheses, references]
+    sizes = np.concatenate([pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False) for a in lists])
+    tokens = pa.concat_arrays([a.flatten() for a in lists]).dictionary_encode().indices
+    tokens = tokens.to_numpy(zero_copy_only=False).astype(np.int64)
+    text = np.repeat(np.arange(2 * n), sizes)  # pair k is text k on the left and n + k on the right
+    out = np.zeros((n, 3 * MAX_ORDER), np.int64)
+    ids, place = tokens, np.arange(len(tokens))
+    for order in range(MAX_ORDER):
+        side = text >= n
+        pair = np.where(side, text - n, text)
+        for k, mine in ((1, ~side), (2, side)):
+            out[:, k * MAX_ORDER + order] = np.bincount(pair[mine], minlength=n)
+        if len(ids):
+            code = pair * (int(ids.max()) + 1) + ids
+            left, right = np.unique(code[~side], return_counts=True), np.unique(code[side], return_counts=True)
+            _, i, j = np.intersect1d(left[0], right[0], assume_unique=True, return_indices=True)
+            least = np.minimum(left[1][i], right[1][j])
+            np.add.at(out[:, order], left[0][i] // (int(ids.max()) + 1), least)
+        after = place + order + 1  # the token that makes an n-gram longer, if it is of the same text
+        after_text = np.append(np.repeat(np.arange(2 * n), sizes), -1)[np.minimum(after, len(tokens))]
+        follows = np.where(after_text == text, np.append(tokens, -1)[np.minimum(after, len(tokens))], -1)
+        place = place[follows >= 0]
+        ids, text = _numbered(ids, text, follows)
+    return out
+
+
+def ngram_matches(hypothesis: Column, reference: Column) -> Column:
+    """Twelve numbers a pair: by order 1 to 4 the clipped matches, then the n-grams of the hypothesis,
+    then those of the reference. Counted inside the row, on Arrow batches; null texts have none."""
+
+    def count(hypotheses: pa.Array, references: pa.Array) -> pa.Array:
+        rows = _clipped(hypotheses, references)
+        ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()))
+
+    return F.arrow_udf(count, "array<bigint>")(tokenize_13a(hypothesis), tokenize_13a(reference))
+
+
+def _summed_matches(pairs: DataFrame, group_cols: list[str], reference: str, hypothesis: str, *more: Column) -> DataFrame:
+    """By group: m1..m4 (matches), t1..t4 (of hypotheses), r1..r4 (of references), and ``more``."""
+    numbers = pairs.withColumn("_n", ngram_matches(F.col(hypothesis), F.col(reference)))
+    names = [f"{kind}{n}" for kind in "mtr" for n in range(1, MAX_ORDER + 1)]
+    return numbers.groupBy(*group_cols).agg(*[F.sum(F.col("_n")[k]).alias(c) for k, c in enumerate(names)], *more)
 
 
 def bleu_ngram_stats(
@@ -74,33 +125,21 @@ def bleu_ngram_stats(
 ) -> DataFrame:
     """Clipped matches and totals per n-gram order, and token totals, by group.
 
-    Pairs are spread by their id first; n-grams are then made and counted where the pair lies. The
-    texts move once, the n-grams (some 16 times as many bytes) never do: a grouping by id and gram
-    is already satisfied by the spread by id.
+    A pair's n-grams are counted in its row and never become rows of their own; what is shuffled is
+    one partial sum a task and group.
     """
     group_cols = group_cols or []
-    # a fixed width: the few bytes here turn into much work, so AQE must not merge the tasks
-    width = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = pairs.select(*id_cols, *group_cols, reference, hypothesis).repartition(width, *id_cols)
-    sides = spread.select(
-        *id_cols,
-        *group_cols,
-        tokenize_13a(F.col(hypothesis)).alias("_hyp"),
-        tokenize_13a(F.col(reference)).alias("_ref"),
-    )
-    grams = sides.select(
-        *id_cols,
-        *group_cols,
-        F.explode(F.concat(_grams(F.col("_hyp"), 1), _grams(F.col("_ref"), 0))).alias("_g"),
-    )
-    counted = grams.groupBy(*id_cols, *group_cols, "_g.n", "_g.gram").agg(
-        F.sum(F.col("_g.side")).alias("_hyp"), F.sum(1 - F.col("_g.side")).alias("_ref")
-    )
-    return counted.groupBy(*group_cols, "n").agg(
-        F.sum(F.least("_hyp", "_ref")).alias("matches"),
-        F.sum("_hyp").alias("total"),
-        F.sum("_ref").alias("ref_total"),
-    )
+    sums = _summed_matches(pairs, group_cols, reference, hypothesis)
+    rows = [
+        F.struct(
+            F.lit(n).alias("n"),
+            F.col(f"m{n}").alias("matches"),
+            F.col(f"t{n}").alias("total"),
+            F.col(f"r{n}").alias("ref_total"),
+        )
+        for n in range(1, MAX_ORDER + 1)
+    ]
+    return sums.select(*group_cols, F.inline(F.array(*rows))).where("total + ref_total > 0")
 
 
 def corpus_bleu(
@@ -112,17 +151,8 @@ def corpus_bleu(
 ) -> DataFrame:
     """Corpus BLEU by group: brevity penalty, exponential smoothing, 0 where nothing matches."""
     group_cols = group_cols or []
-    stats = bleu_ngram_stats(pairs, id_cols, group_cols, reference, hypothesis)
-
-    def of(n: int, column: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("n") == n, F.col(column))), F.lit(0))
-
-    wide = stats.groupBy(*group_cols).agg(
-        *[of(n, "matches").alias(f"m{n}") for n in range(1, MAX_ORDER + 1)],
-        *[of(n, "total").alias(f"t{n}") for n in range(1, MAX_ORDER + 1)],
-        of(1, "ref_total").alias("ref_len"),
-    )
-    return wide.select(*group_cols, bleu_score().alias("bleu"))
+    sums = _summed_matches(pairs, group_cols, reference, hypothesis)
+    return sums.withColumn("ref_len", F.col("r1")).select(*group_cols, bleu_score().alias("bleu"))
 
 
 def bleu_score() -> Column:
@@ -197,16 +227,18 @@ def rouge_l(reference: Column, hypothesis: Column, use_stemmer: bool = True) ->
 def metrics_row(
     pairs: DataFrame, split: str, id_cols: list[str], use_stemmer: bool = True
 ) -> DataFrame:
-    """One row: split, N, mean ROUGE-L F1 x 100, corpus BLEU. No pairs give zeros."""
-    rouge = pairs.agg(
+    """One row: split, N, mean ROUGE-L F1 x 100, corpus BLEU, in one pass. No pairs give zeros."""
+    rouge = rouge_l(F.col("reference"), F.col("hypothesis"), use_stemmer)
+    sums = _summed_matches(
+        pairs.withColumn("_rouge", rouge),
+        [],
+        "reference",
+        "hypothesis",
         F.count("*").alias("N"),
-        (100 * F.coalesce(F.avg(rouge_l(F.col("reference"), F.col("hypothesis"), use_stemmer)), F.lit(0.0)))
-        .alias("rougeL_f1"),
-    ).withColumn("split", F.lit(split))
-    bleu = corpus_bleu(pairs, id_cols).withColumn("split", F.lit(split))
-    return rouge.join(bleu, "split").select(
-        "split", "N", "rougeL_f1", F.coalesce("bleu", F.lit(0.0)).alias("bleu")
+        (100 * F.coalesce(F.avg("_rouge"), F.lit(0.0))).alias("rougeL_f1"),
     )
+    bleu = F.coalesce(bleu_score(), F.lit(0.0))
+    return sums.withColumn("ref_len", F.col("r1")).select(F.lit(split).alias("split"), "N", "rougeL_f1", bleu.alias("bleu"))
 
 
 # ---- perplexity ---------------------------------------------------------------------------------

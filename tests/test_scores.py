@@ -3,13 +3,19 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators import scores as S
 from millrace.operators.stem import stem
 
 
+TOKENS = st.none() | st.lists(st.sampled_from(["a", "b", "c d", ""]), max_size=9)
+
+
 def tokens_13a(text):
     text = text.rstrip().replace("<skipped>", "").replace("-\n", "").replace("\n", " ")
     for old, new in S.ENTITIES:
@@ -75,11 +81,28 @@ def test_bleu_random_and_grouped(spark):
         assert got[g] == pytest.approx(bleu_by_hand(pairs[g::3]), abs=1e-9)
 
 
-def test_bleu_moves_texts_once(spark):
-    """After the spread by id no n-gram is shuffled: only per-order sums are."""
+def test_bleu_makes_no_ngram_rows(spark):
+    """N-grams are counted inside the row: neither made into rows nor shuffled, only sums are."""
     df = frame(spark, CASES[0])
-    plan = S.bleu_ngram_stats(df, ["row_id"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2  # the spread, then four rows of sums
+    for stats in (S.bleu_ngram_stats(df, ["row_id"]), S.corpus_bleu(df, ["row_id"])):
+        plan = stats._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Exchange SinglePartition" in plan
+        below = plan[plan.index("Exchange") :]
+        assert "partial_sum" in below and "Generate" not in below
+
+
+@given(st.lists(st.tuples(TOKENS, TOKENS), max_size=6))
+def test_clipped_matches_equal_counters(rows):
+    """Multisets of n-grams by hand, with repeats, empty sides and texts shorter than an n-gram."""
+    kind = pa.list_(pa.string())
+    got = S._clipped(pa.array([h for h, _ in rows], kind), pa.array([r for _, r in rows], kind))
+
+    def grams(tokens, n):
+        return Counter(tuple(tokens[i : i + n]) for i in range(len(tokens or []) - n + 1))
+
+    for (h, r), numbers in zip(rows, got.tolist()):
+        matches = [(grams(h, n) & grams(r, n)).total() for n in range(1, 5)]
+        assert numbers == matches + [grams(x, n).total() for x in (h, r) for n in range(1, 5)]
 
 
 def lcs_by_hand(a, b):
