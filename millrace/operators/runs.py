@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -14,6 +17,14 @@ from millrace.sources.shared import materialize
 _BLOCK_BITS = 10
 
 
+def joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys``, where null is a key like others."""
+    renamed = right.select(*[F.col(k).alias(f"_{i}_{k}") if k in keys else F.col(k) for i, k in enumerate(right.columns)])
+    pairs = [(k, f"_{i}_{k}") for i, k in enumerate(right.columns) if k in keys]
+    same = reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
+    return left.join(renamed, same, how).drop(*[b for _, b in pairs])
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -28,7 +39,7 @@ def running(
 
     Rows are cut into blocks of 1,024 order values. Each block is scanned by itself and gets the
     result of all blocks before it, so even a key with a third of all rows is spread over many
-    tasks; only one row per block is ever ordered per key.
+    tasks; only one row per block is ever ordered per key. Null keys are keys like others.
     """
     df = df.withColumns({"_value": value, "_block": F.shiftright(order, _BLOCK_BITS)})
     blocks = df.groupBy(*keys, "_block").agg(fn("_value").alias("_all"))
@@ -39,16 +50,16 @@ def running(
         .orderBy(order)
         .rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
     )
+    here = df.withColumn("_here", fn("_value").over(inside))
     return (
-        df.withColumn("_here", fn("_value").over(inside))
-        .join(starts, [*keys, "_block"])
+        joined(here, starts, [*keys, "_block"])
         .withColumn(out, combine(F.col("_here"), F.col("_start")))
         .drop("_value", "_block", "_here", "_start")
     )
 
 
 def number_in_time(df: DataFrame, key: str, time: str, tie: str, out: str) -> DataFrame:
-    """Number the rows of a key from 1 on by (time, tie), one hour at a time."""
+    """Number the rows of a key from 1 on by (time, tie), one hour at a time. Null keys and times too."""
     df = df.withColumn("_hour", F.floor(F.unix_timestamp(time) / 3600).cast("bigint"))
     earlier = W.partitionBy(key).orderBy("_hour").rowsBetween(W.unboundedPreceding, -1)
     starts = (
@@ -58,8 +69,7 @@ def number_in_time(df: DataFrame, key: str, time: str, tie: str, out: str) -> Da
     )
     place = F.row_number().over(W.partitionBy(key, "_hour").orderBy(time, tie))
     return (
-        df.withColumn("_place", place)
-        .join(starts, [key, "_hour"])
+        joined(df.withColumn("_place", place), starts, [key, "_hour"])
         .withColumn(out, F.col("_place") + F.col("_start"))
         .drop("_hour", "_place", "_start")
     )
@@ -78,28 +88,158 @@ def event_runs(events: DataFrame) -> DataFrame:
 # ---- early stopping -----------------------------------------------------------------------------
 
 
-def _improvements(delta: float):
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, best = None, 0.0
-        for batch in batches:
-            keep = []
-            for r, loss in zip(batch["run_id"], batch["loss"]):
-                better = r != run or loss < best - delta
-                if better:
-                    run, best = r, loss
-                keep.append(better)
-            yield batch.loc[keep, ["run_id", "epoch"]]
+class Steps:
+    """What a stretch of a run does to the best loss so far: a step function, composable.
+
+    An epoch improves if its loss is below ``best - delta``. The first one that does in a stretch is
+    among its record lows (``lows``, falling); from there on the stretch takes its course whatever
+    came in. ``ends`` and ``epochs`` say for each low with which best loss, and improved last in which
+    epoch, the stretch ends if that low is the first to improve.
+
+    ``lowest`` is the lowest loss before the stretch (null: none). The best so far cannot be more than
+    ``delta`` above it, so lows beyond the first one below ``lowest - delta`` are not needed.
+    """
+
+    def __init__(self, lows, ends, epochs, delta: float):
+        self.lows, self.ends, self.epochs = np.asarray(lows, float), np.asarray(ends, float), np.asarray(epochs, np.int64)
+        self.delta = delta
+
+    def after(self, best: np.ndarray, epoch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(best, epoch of the last improvement) behind the stretch, for those that come in (NaN: none)."""
+        first = np.where(np.isnan(best), 0, np.searchsorted(-self.lows, -(best - self.delta), side="right"))
+        moved = first < len(self.lows)
+        first = np.minimum(first, len(self.lows) - 1)
+        return np.where(moved, self.ends[first], best), np.where(moved, self.epochs[first], epoch)
+
+
+def _needed(lows: np.ndarray, lowest: float | None, delta: float) -> int:
+    """How many record lows can be the first to improve."""
+    if lowest is None or np.isnan(lowest):
+        return 1
+    return min(len(lows), int(np.searchsorted(-lows, -(lowest - delta), side="right")) + 1)
+
+
+def _next(lows: np.ndarray, delta: float) -> np.ndarray:
+    """For every record low the next one that improves on it (their number: none)."""
+    return np.searchsorted(-lows, -(lows - delta), side="right")
+
+
+def _block_steps(delta: float):
+    """Record lows of one block into one row: its step function."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("epoch")
+        lows, epochs = rows["loss"].to_numpy(float), rows["epoch"].to_numpy()
+        last = np.arange(len(lows))
+        follows = _next(lows, delta)
+        for i in range(len(lows) - 1, -1, -1):
+            if follows[i] < len(lows):
+                last[i] = last[follows[i]]
+        n = _needed(lows, rows["lowest"].iloc[0], delta)
+        one = rows.iloc[:1][["run_id", "block"]].copy()
+        one["lowest"] = rows["lowest"].iloc[0]
+        one["lows"], one["ends"], one["epochs"] = [lows[:n]], [lows[last[:n]]], [epochs[last[:n]]]
+        return one
+
+    return run
+
+
+def _steps(row, delta: float) -> Steps:
+    return Steps(row.lows, row.ends, row.epochs, delta)
+
+
+def _composed(delta: float):
+    """Up to 1,024 blocks of a run into the step function of all of them."""
 
-    return scan
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("block")
+        first = rows["lowest"].iloc[0]
+        lows = np.concatenate(rows["lows"].to_list())
+        n = _needed(lows, first, delta)
+        ends, epochs = np.zeros(0), np.zeros(0, np.int64)
+        for row in rows.itertuples():
+            steps = _steps(row, delta)
+            if len(ends):
+                ends, epochs = steps.after(ends, epochs)
+            ends, epochs = np.append(ends, steps.ends), np.append(epochs, steps.epochs)
+        one = rows.iloc[:1][["run_id", "part", "lowest"]].copy()
+        one["lows"], one["ends"], one["epochs"] = [lows[:n]], [ends[:n]], [epochs[:n]]
+        return one
+
+    return run
+
+
+def _carried(delta: float, place: str, start: bool):
+    """The best loss that comes into each of a few stretches; ``best`` has what came into the first."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(place)
+        best, epoch = np.array([np.nan if start else rows["best"].iloc[0]], float), np.zeros(1, np.int64)
+        out = []
+        for row in rows.itertuples():
+            out.append(best[0])
+            best, epoch = _steps(row, delta).after(best, epoch)
+        return pd.DataFrame({"run_id": rows["run_id"], place: rows[place], "best": out})
+
+    return run
+
+
+def _improved(delta: float):
+    """The epochs of a block that improve, from the best loss that comes in."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("epoch")
+        lows, best = rows["loss"].to_numpy(float), rows["best"].iloc[0]
+        follows, kept = _next(lows, delta), np.zeros(len(lows), bool)
+        i = 0 if np.isnan(best) else int(np.searchsorted(-lows, -(best - delta), side="right"))
+        while i < len(lows):
+            kept[i], i = True, follows[i]
+        return rows.loc[kept, ["run_id", "epoch"]]
+
+    return run
+
+
+def _improvements(records: DataFrame, delta: float) -> DataFrame:
+    """(run_id, epoch) of the improvements among record lows (run_id, epoch, loss, lowest).
+
+    A block of 1,024 epochs becomes a step function, 1,024 blocks are composed into one, and the few
+    that are left of a run are gone through in turn; then the best loss so far is carried down to the
+    blocks again. No task sees more than 1,024 rows of a run but that last one, with one row for a
+    million epochs. Null runs are a run.
+    """
+    id_type = records.schema["run_id"].dataType.simpleString()
+    function = "lowest double, lows array<double>, ends array<double>, epochs array<bigint>"
+    records = records.withColumn("block", F.shiftright("epoch", _BLOCK_BITS))
+    blocks = records.groupBy("run_id", "block").applyInPandas(
+        _block_steps(delta), f"run_id {id_type}, block bigint, {function}"
+    )
+    blocks = materialize(blocks.withColumn("part", F.shiftright("block", _BLOCK_BITS)), "run-blocks")
+    parts = blocks.groupBy("run_id", "part").applyInPandas(
+        _composed(delta), f"run_id {id_type}, part bigint, {function}"
+    )
+    into_parts = parts.groupBy("run_id").applyInPandas(
+        _carried(delta, "part", True), f"run_id {id_type}, part bigint, best double"
+    )
+    into_blocks = (
+        joined(blocks, into_parts, ["run_id", "part"])
+        .groupBy("run_id", "part")
+        .applyInPandas(_carried(delta, "block", False), f"run_id {id_type}, block bigint, best double")
+    )
+    return (
+        joined(records, into_blocks, ["run_id", "block"])
+        .groupBy("run_id", "block")
+        .applyInPandas(_improved(delta), f"run_id {id_type}, epoch bigint")
+    )
 
 
 def early_stop(log: DataFrame, patience: int = 3, delta: float = 0.0) -> DataFrame:
     """Per epoch of (run_id, epoch, loss): improved, bad_epochs, and the run's stop_epoch (or null).
 
     An epoch improves if its loss is below the best so far by more than ``delta``; a run stops once
-    ``patience`` epochs in a row did not. Epochs of a run are numbered without gaps.
+    ``patience`` epochs in a row did not. Epochs of a run are numbered without gaps. Rows without a
+    run_id are one run.
     """
-    log = log.select("run_id", F.col("epoch").cast("bigint").alias("epoch"), "loss")
+    log = log.select("run_id", F.col("epoch").cast("bigint").alias("epoch"), F.col("loss").cast("double").alias("loss"))
     log = running(
         log, ["run_id"], "epoch", F.col("loss"), F.min, F.least, "_best", inclusive=False
     )
@@ -107,19 +247,13 @@ def early_stop(log: DataFrame, patience: int = 3, delta: float = 0.0) -> DataFra
     if delta == 0:
         log = log.withColumn("improved", record)
     else:
-        # Only a record low can improve by more than delta, so the step by step scan, which carries
-        # one number from batch to batch, sees nothing but the record lows.
-        id_type = log.schema["run_id"].dataType.simpleString()
-        kept = (
-            log.where(record)
-            .select("run_id", "epoch", "loss")
-            .repartition("run_id")
-            .sortWithinPartitions("run_id", "epoch")
-            .mapInPandas(_improvements(delta), f"run_id {id_type}, epoch bigint")
+        # only a record low can improve by more than delta
+        log = materialize(log, "run-lows")
+        lows = log.where(record).select("run_id", "epoch", "loss", F.col("_best").alias("lowest"))
+        kept = _improvements(lows, delta).withColumn("improved", F.lit(True))
+        log = joined(log, kept, ["run_id", "epoch"], "left").withColumn(
+            "improved", F.coalesce("improved", F.lit(False))
         )
-        log = log.join(
-            kept.withColumn("improved", F.lit(True)), ["run_id", "epoch"], "left"
-        ).withColumn("improved", F.coalesce("improved", F.lit(False)))
     # written down, so that the two passes below do not repeat the ones above
     log = materialize(log.drop("_best"), "improvements")
     log = running(
@@ -135,7 +269,7 @@ def early_stop(log: DataFrame, patience: int = 3, delta: float = 0.0) -> DataFra
     stops = log.groupBy("run_id").agg(
         F.min(F.when(F.col("bad_epochs") >= patience, F.col("epoch"))).alias("stop_epoch")
     )
-    return log.join(stops, "run_id")
+    return joined(log, stops, ["run_id"])
 
 
 def best_epoch(stopped: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from millrace.operators import heads as H
@@ -44,6 +45,59 @@ def test_against_step_by_step(spark, delta):
         assert [got[k][i + 1] for i in range(len(losses))] == [(a, b, stop) for a, b in steps]
 
 
+@pytest.mark.parametrize("block_bits", [2, 10])
+def test_hot_falling_run_and_null_run(spark, monkeypatch, block_bits):
+    """A run that falls all the time, with blocks and parts of a few rows, beside one without an id."""
+    monkeypatch.setattr(R, "_BLOCK_BITS", block_bits)
+    rng = random.Random(8)
+    runs = {7: [100 - i * 0.01 + rng.uniform(0, 0.02) for i in range(1500)], None: [5.0, 4.9, 4.0, 4.5, 3.2, 3.3]}
+    runs[8] = [10 - 0.25 * i for i in range(30)]  # ties with delta
+    rows = [(k, i + 1, x) for k, xs in runs.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for delta in (0.0, 0.25):
+        got = {(r["run_id"], r["epoch"]): (r["improved"], r["bad_epochs"], r["stop_epoch"]) for r in R.early_stop(df, 30, delta).collect()}
+        assert len(got) == len(rows)
+        for k, losses in runs.items():
+            steps, stop = stop_by_hand(losses, 30, delta)
+            assert [got[k, i + 1] for i in range(len(losses))] == [(a, b, stop) for a, b in steps]
+
+
+def test_steps_compose():
+    """Any cut of a run into stretches gives the same improvements as going through it."""
+    import pandas as pd
+
+    rng = random.Random(5)
+    for _ in range(200):
+        losses = [round(rng.uniform(0, 3) - 0.05 * i, 1) for i in range(rng.randint(1, 25))]
+        delta, start = rng.choice([0.1, 0.3, 1.0]), rng.choice([None, 2.0])
+        cut = sorted(rng.sample(range(len(losses)), min(3, len(losses))))
+        lowest, best, out = start, start, []
+        for a, b in zip([0, *cut], [*cut, len(losses)]):
+            rows, low = [], lowest
+            for e in range(a, b):
+                if low is None or losses[e] < low:
+                    rows.append((1, 0, e, losses[e], low))
+                    low = losses[e]
+            if rows:
+                table = pd.DataFrame(rows, columns=["run_id", "block", "epoch", "loss", "lowest"]).astype({"lowest": float})
+                out.append(R._block_steps(delta)(table))
+            lowest = low
+        came, epoch = float("nan") if start is None else start, -1
+        for e, x in enumerate(losses):
+            if best is None or x < best - delta:
+                best, epoch = x, e
+        if not out:
+            assert epoch == -1
+            continue
+        together = pd.concat([o.assign(block=k, part=0) for k, o in enumerate(out)])
+        whole = R._steps(next(R._composed(delta)(together).itertuples()), delta)
+        for steps in ([R._steps(next(o.itertuples()), delta) for o in out], [whole]):
+            b, e = np.array([came]), np.array([-1])
+            for s in steps:
+                b, e = s.after(b, e)
+            assert e[0] == epoch and (epoch < 0 or b[0] == best)
+
+
 def test_sweep(spark):
     rows = [("f", p, v) for p, v in [("a", 3.0), ("a", 1.0), ("b", 2.0), ("c", 1.0), ("d", 9.0)]]
     df = spark.createDataFrame(rows, "family string, lr string, loss double")
