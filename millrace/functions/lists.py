@@ -205,7 +205,8 @@ def merge_keep_display(items: Column, second: Column) -> Column:
             lambda x, i: bind(
                 _display(x),
                 lambda d: F.transform(
-                    F.filter(_components(x), lambda k: d != ""), lambda k: _scored(k, d, i)
+                    F.filter(_components(x), lambda k: d != ""),
+                    lambda k, j: _scored(k, d, F.struct(i.alias("item"), j.alias("part"))),
                 ),
             ),
         )

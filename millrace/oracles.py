@@ -189,8 +189,8 @@ def keys(items: str) -> str:
 
 RECIPES = """
 recipes AS (SELECT doc_id AS row_id, source, lang, trim(split_part(text, '.', 1)) AS title,
-  split_part(text, chr(10), 1) AS ingredients,
-  array_to_string(string_split(lower(text), ' ')[1:6], ', ') AS ner,
+  replace(text, chr(10), ', ') AS ingredients,
+  array_to_string(list_sort(list_distinct(string_split(lower(text), ' '))), ', ') AS ner,
   string_split(text, chr(10)) AS directions FROM documents)"""
 ITEMS = f"""
 part_items AS (SELECT p_partkey AS row_id, {item_sql()} AS item, p_name FROM part)"""
@@ -234,7 +234,7 @@ processed AS (SELECT *, {split_of('title')} AS split FROM targets
   WHERE length(ingredients) > 0 AND length(recipe) > 0)"""
 
 RAW_JSONL = f"""
-raw AS (SELECT doc_id AS row_id, split_part(text, chr(10), 1) AS ingredients, text AS recipe
+raw AS (SELECT doc_id AS row_id, replace(text, chr(10), ', ') AS ingredients, text AS recipe
   FROM documents),
 cleaned AS (SELECT row_id, {clean('ingredients')} AS ingredients, {clean('recipe')} AS recipe FROM raw),
 processed AS (SELECT *, {split_of('ingredients')} AS split FROM cleaned
@@ -249,10 +249,10 @@ def on_texts(expr: str) -> str:
 
 # A
 ORACLES["src_csv_roundtrip"] = """
-SELECT trim(split_part(text, '.', 1)) AS title, split_part(text, chr(10), 1) AS ingredients,
+SELECT trim(split_part(text, '.', 1)) AS title, replace(text, chr(10), ', ') AS ingredients,
   text AS directions, '' AS ner FROM documents"""
 ORACLES["src_jsonl_roundtrip"] = """
-SELECT split_part(text, chr(10), 1) AS ingredients, text AS recipe FROM documents"""
+SELECT replace(text, chr(10), ', ') AS ingredients, text AS recipe FROM documents"""
 ORACLES["sink_split_counts"] = f"""WITH {RAW_JSONL}
 SELECT split, count(*) AS n, sum(length(recipe))::BIGINT AS chars FROM processed GROUP BY split"""
 
@@ -375,10 +375,10 @@ def components(table: str, column: str) -> str:
 ORACLES["merge_keep_display"] = f"""WITH {CELLS}, {components('one', 'items')}, {components('two', 'second')},
 disp AS (SELECT *, {shown('item')} AS d FROM one WHERE k <> ''),
 rich AS (SELECT *, {has_quantity('d')} AS rich FROM disp WHERE d <> ''),
-ranked AS (SELECT *, min(pos * 1000 + sub) OVER (PARTITION BY row_id, k) AS seen, row_number() OVER (
+ranked AS (SELECT *, min(pos * 1000000000 + sub) OVER (PARTITION BY row_id, k) AS seen, row_number() OVER (
   PARTITION BY row_id, k ORDER BY rich DESC, length(d) DESC, pos, sub) AS rn FROM rich),
 best AS (SELECT row_id, 1 AS list, seen, k, d FROM ranked WHERE rn = 1),
-extra AS (SELECT row_id, 2 AS list, min(pos * 1000 + sub) AS seen, k, k AS d FROM two
+extra AS (SELECT row_id, 2 AS list, min(pos * 1000000000 + sub) AS seen, k, k AS d FROM two
   WHERE k <> '' AND NOT EXISTS (SELECT 1 FROM best b WHERE b.row_id = two.row_id AND b.k = two.k)
   GROUP BY row_id, k),
 joined AS (SELECT row_id, string_agg(d, ', ' ORDER BY list, seen) AS t FROM

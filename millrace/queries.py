@@ -102,7 +102,7 @@ def _raw_jsonl(spark: SparkSession, d: str, parts: int) -> tuple[str, DataFrame]
     text = F.col("text")
     rows = documents(spark, d, "doc_id", "text").select(
         F.col("doc_id").alias("row_id"),
-        F.split_part(text, F.lit("\n"), F.lit(1)).alias("ingredients"),
+        F.replace(text, F.lit("\n"), F.lit(", ")).alias("ingredients"),
         text.alias("recipe"),
     )
     path = new_path(spark, "raw-jsonl")
@@ -132,7 +132,7 @@ def src_csv_roundtrip(spark, d):
     text = F.col("text")
     rows = documents(spark, d, "doc_id", "text").select(
         F.trim(F.split_part(text, F.lit("."), F.lit(1))).alias("title"),
-        F.split_part(text, F.lit("\n"), F.lit(1)).alias("ingredients"),
+        F.replace(text, F.lit("\n"), F.lit(", ")).alias("ingredients"),
         text.alias("directions"),
     )
     path = new_path(spark, "raw-csv")

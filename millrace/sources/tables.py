@@ -18,14 +18,18 @@ def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def recipes_view(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents read as recipes: title, ingredient cell, second cell, list of steps."""
+    """Documents read as recipes: title, ingredient cell, second cell, list of steps.
+
+    The cells are made of whole texts: every line is a part of the first, every distinct word of the
+    second, sorted. The title, which is a key, is the first sentence; every line is a step.
+    """
     text = F.col("text")
     return documents(spark, folder, "doc_id", "text", "source", "lang").select(
         F.col("doc_id").alias("row_id"),
         "source",
         "lang",
         F.trim(F.split_part(text, F.lit("."), F.lit(1))).alias("title"),
-        F.split_part(text, F.lit("\n"), F.lit(1)).alias("ingredients"),
-        F.array_join(F.slice(F.split(F.lower(text), " "), 1, 6), ", ").alias("ner"),
+        F.replace(text, F.lit("\n"), F.lit(", ")).alias("ingredients"),
+        F.array_join(F.array_sort(F.array_distinct(F.split(F.lower(text), " "))), ", ").alias("ner"),
         F.split(text, "\n").alias("directions"),
     )
