@@ -130,15 +130,18 @@ def op2_offset_attribution(spark, d):
 def op7_i_match(spark, d):
     docs = table(spark, d, "documents")
     terms = fingerprints.lexicon(docs)
-    own = fingerprints.fingerprints(docs, terms).dropDuplicates([ID, "h"])
+    # digests travel as bytes, half as long as in hex
+    own = fingerprints.fingerprints(docs, terms).withColumn("fingerprint", F.unhex("fingerprint"))
+    own = own.dropDuplicates([ID, "h"])
     half = F.floor(F.col("n_chars") / 2).cast("int").alias("half")
     chain = fingerprints.chained(own.select(ID, "h", half, "fingerprint"), ["fingerprint"])
     chain = materialize(chain, "fingerprint-chain")
     edited = fingerprints.edited_texts(docs, chain)
-    edited = edited.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    edited = edited.withColumn("edited_sha256", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
     keep = [ID, "h", "n_chars", "edited_sha256"]
     edited = fingerprints.with_fingerprint(edited, "edited", "edited_fingerprint", terms, keep)
-    near = fingerprints.likeness
+    edited = edited.withColumn("edited_fingerprint", F.unhex("edited_fingerprint"))
+    near, text = fingerprints.likeness, lambda c: F.lower(F.hex(c))
     same = F.col(f"e.{ID}").eqNullSafe(F.col(f"c.{ID}")) & (F.col("e.h") == F.col("c.h"))
     return (
         edited.alias("e")
@@ -146,11 +149,14 @@ def op7_i_match(spark, d):
         .select(
             F.col(f"e.{ID}").alias(ID),
             "n_chars",
-            "edited_sha256",
-            "fingerprint",
-            "edited_fingerprint",
-            near(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-            near(F.col("fingerprint"), F.col("next.fingerprint")).alias("near_next"),
+            text("edited_sha256").alias("edited_sha256"),
+            text("fingerprint").alias("fingerprint"),
+            text("edited_fingerprint").alias("edited_fingerprint"),
+            F.col("next.fingerprint").alias("next"),
+        )
+        .withColumn("near_edited", near(F.col("fingerprint"), F.col("edited_fingerprint")))
+        .withColumn("near_next", near(F.col("fingerprint"), text("next")))
+        .drop("next"
         )
     )
 
