@@ -300,6 +300,15 @@ SELECT row_id, 'Ingredients: ' || ingredients || chr(10) || CASE WHEN row_id % 3
     THEN 'Recipe:' || chr(10) || 'Title:' ELSE 'Recipe:' END AS prompt,
   'Ingredients: ' || ingredients || chr(10) || 'Recipe: ' || title AS sample FROM recipes"""
 
+ORACLES["stopword_drop_table"] = ORACLES["stopword_drop"]
+ORACLES["part_names_replaced"] = f"""WITH {ITEMS},
+tokens AS (SELECT row_id, generate_subscripts(w, 1) AS pos, unnest(w) AS word
+  FROM (SELECT row_id, string_split(lower(item), ' ') AS w FROM part_items)),
+words AS (SELECT DISTINCT word FROM tokens WHERE length(word) > 4),
+names AS (SELECT word, min(word) OVER (PARTITION BY word[1:4]) AS name FROM words)
+SELECT row_id, string_agg(coalesce(name, word), ' ' ORDER BY pos) AS result
+FROM tokens LEFT JOIN names USING (word) GROUP BY row_id"""
+
 # C
 ORACLES["drop_empty"] = f"""WITH {ITEMS},
 named AS (SELECT row_id, {normalize('item')} AS name FROM part_items)
@@ -347,6 +356,14 @@ f_rank AS (SELECT *, row_number() OVER (PARTITION BY row_id, k ORDER BY pos) AS
 f_text AS (SELECT row_id, string_agg(item, ', ' ORDER BY pos) AS items FROM f_rank
   WHERE rn = 1 GROUP BY row_id)
 SELECT row_id, coalesce(f.items, '') AS items FROM cells LEFT JOIN f_text f USING (row_id)"""
+ORACLES["dedup_best_display_all"] = f"""WITH {CELLS},
+a_split AS (SELECT row_id, {split_cell('items')} AS l FROM cells),
+a_items AS (SELECT row_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS item FROM a_split),
+a_keys AS (SELECT *, {normalize('item')} AS name, {has_quantity('item')} AS rich FROM a_items),
+a_rank AS (SELECT *, count(*) OVER w AS n, first_value(row_id) OVER f AS first_row, first_value(pos) OVER f AS first_place,
+  row_number() OVER (PARTITION BY name ORDER BY rich DESC, length(item) DESC, row_id, pos) AS rn
+  FROM a_keys WHERE name <> '' WINDOW w AS (PARTITION BY name), f AS (PARTITION BY name ORDER BY row_id, pos))
+SELECT name, item, n, first_row, first_place FROM a_rank WHERE rn = 1"""
 MERGED = f"""{KEYS},
 merged AS (SELECT row_id, array_to_string(list_sort(list_distinct(list_concat(a, b))), ', ') AS m
   FROM sets), {dedup('merged', 'm')}"""

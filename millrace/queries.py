@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from millrace.functions import items as I
 from millrace.functions import lists as L
+from millrace.functions import rules
 from millrace.functions import text as X
 from millrace.functions.once import with_once
 from millrace.functions.rules import PAD
 from millrace.inputs import item_sql
 from millrace.operators import batches as B
-from millrace.operators import heads, numbering, runs, scores, splits
+from millrace.operators import dictionaries, heads, numbering, runs, scores, splits
 from millrace.operators import words as W
 from millrace.operators.bpe import Vocabulary, pair_counts
 from millrace.operators.cells import parse_list
@@ -217,6 +218,30 @@ _on_texts("has_quantity", lambda c: I.has_quantity(c).cast("int"))
 _on_texts("readable_text", X.readable)
 
 
+@query
+def stopword_drop_table(spark, d):
+    """The descriptors as a table, over whole documents and the item phrases."""
+    docs = documents(spark, d, "doc_id", "text").select(F.col("doc_id").alias("row_id"), "text")
+    parts = _items(spark, d).select((-1 - F.col("row_id")).alias("row_id"), F.col("item").alias("text"))
+    listed = spark.createDataFrame([(w,) for w in rules.DESCRIPTORS], "word string")
+    rows = dictionaries.drop_listed(
+        docs.unionByName(parts), ["row_id"], F.split(F.lower("text"), " "), listed
+    )
+    return rows.select("row_id", F.array_join("tokens", " ").alias("result"))
+
+
+@query
+def part_names_replaced(spark, d):
+    """Words of the item phrases by a dictionary made of the table: a word's name is the least word of
+    all parts that share its first four letters."""
+    parts = _items(spark, d).select("row_id", F.split(F.lower("item"), " ").alias("words"))
+    words = parts.select(F.explode("words").alias("word")).where("length(word) > 4").distinct()
+    stem = words.groupBy(F.left("word", F.lit(4)).alias("stem")).agg(F.min("word").alias("name"))
+    names = words.join(stem, F.left("word", F.lit(4)) == F.col("stem")).select("word", "name")
+    rows = dictionaries.replace_listed(parts, ["row_id"], F.col("words"), names)
+    return rows.select("row_id", F.array_join("tokens", " ").alias("result"))
+
+
 @query
 def dict_map(spark, d):
     """Spelling and alias lookup of every word, as counts per name."""
@@ -310,6 +335,14 @@ def dedup_best_display(spark, d):
     return _cells(spark, d).select("row_id", L.dedup_best_display(F.col("items")).alias("items"))
 
 
+@query
+def dedup_best_display_all(spark, d):
+    """The best display of every name over all items of all rows."""
+    items = _cells(spark, d).select("row_id", F.posexplode(L.split_cell(F.col("items"))).alias("pos", "item"))
+    items = items.withColumn("pos", F.col("pos").cast("bigint"))
+    return dictionaries.best_displays(items, "item", "row_id", "pos")
+
+
 @query
 def dedup_keep_first(spark, d):
     return _cells(spark, d).select("row_id", L.dedup_keep_first(F.col("items")).alias("items"))
