@@ -41,6 +41,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def committed(spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
+    """The finished tables ``<path>/<prefix><number>``: those whose writer left its mark of success."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    found = {}
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        name = status.getPath().getName()
+        if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found[int(name.removeprefix(prefix))] = f"{path}/{name}"
+    return found
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give every core work when the input is only a few small files.
 
