@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.encoder import WordEncoder
+from millrace.llm.spans import running as running_sums
 from millrace.llm.texts import ID, TEXT, id_type, small, text_array
 
 RULES = ("start", "majority")
@@ -31,17 +32,13 @@ def windows(text: Column, size: int) -> Column:
 
 
 def lines(text: Column) -> Column:
-    """Sections of one line each, without the line ends. For texts of a few thousand lines at most."""
+    """Sections of one line each, without the line ends."""
     parts = F.split(text, "\n")
-    ends = F.aggregate(
-        parts,
-        F.array(F.lit(-1).cast("bigint")),
-        lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.char_length(x) + 1)),
-    )
+    begins = running_sums(F.transform(parts, lambda x: F.char_length(x) + 1))
     return F.zip_with(
-        F.slice(ends, 2, F.size(parts)),
+        begins,
         parts,
-        lambda e, x: F.struct(F.lit("line").alias("name"), (e - F.char_length(x)).alias("start"), e.alias("end")),
+        lambda s, x: F.struct(F.lit("line").alias("name"), s.alias("start"), (s + F.char_length(x)).alias("end")),
     )
 
 
@@ -78,8 +75,9 @@ def section_tokens(docs: DataFrame, sections: Column, path: str, rule: str = "ma
     ``sections`` gives a text's sections (``windows``, ``lines`` or any sorted, disjoint spans in
     code points). Every token is counted in exactly one section, so counts add up to the document's
     length in tokens. Sections are joined to tokens by position inside the document's row: nothing
-    is shuffled. Null texts count as empty; documents without sections give no rows; rows of one id
-    are counted one by one. Extra columns are not read.
+    is shuffled. Null texts count as empty, long ones are encoded whole; documents without sections
+    give no rows, and so does an empty table; rows of one id are counted one by one. Extra columns are
+    not read.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
