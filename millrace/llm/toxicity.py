@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.once import with_once
 from millrace.llm.automaton import EXACT, Automaton
-from millrace.llm.texts import ID, TEXT, id_text, small, text_array, whole_rows
+from millrace.llm.texts import ID, TEXT, id_text, small, text_array
 from millrace.sources.shared import materialize
 
 # --- fixed values: cues in the window around a hit ---------------------------------------------------
@@ -253,4 +253,15 @@ def score_toxicity(docs: DataFrame, model: Model, keep: bool = False) -> DataFra
     """
     if not keep:
         return _score_rows(id_text(docs), model, [])
-    return _score_rows(whole_rows(docs), model, ["doc"])
+    # a text goes to Python and back once; the row is put together again from it and the other columns
+    null = F.col(f"`{TEXT}`").isNull()
+    rest = F.struct(null.alias("no_text"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c != TEXT])
+    rows = docs.select(F.col(f"`{ID}`").alias(ID), F.coalesce(F.col(f"`{TEXT}`"), F.lit("")).alias(TEXT), rest.alias("rest"))
+    whole = F.struct(
+        *[
+            (F.when(~F.col("rest.no_text"), F.col(TEXT)) if c == TEXT else F.col(f"rest.c{k}")).alias(c)
+            for k, c in enumerate(docs.columns)
+        ]
+    )
+    scored = _score_rows(rows, model, [TEXT, "rest"])
+    return scored.select(ID, "abuse", "quoted", "score", whole.alias("doc"))
