@@ -406,10 +406,10 @@ SELECT row_id, lower(coalesce(d.items, '')) AS ingredients FROM cells LEFT JOIN
 ORACLES["prepared_rows"] = f"""WITH {MERGED},
 built AS (SELECT row_id, lower(coalesce(d.items, '')) AS ingredients
   FROM merged LEFT JOIN d_text d USING (row_id))
-SELECT row_id, {strip('title')} AS title, b.ingredients,
+SELECT row_id, {strip('title')} AS title, b.ingredients, {target('title', 'steps')} AS recipe,
   {split_of(f"CASE WHEN {strip('title')} <> '' THEN {strip('title')} ELSE b.ingredients END")} AS split
-FROM recipes JOIN built b USING (row_id)
-WHERE b.ingredients <> '' AND {target('title', 'directions')} <> ''"""
+FROM (SELECT *, {split_cell("array_to_string(directions, ';')")} AS steps FROM recipes) JOIN built b USING (row_id)
+WHERE b.ingredients <> '' AND {target('title', 'steps')} <> ''"""
 
 # E
 ORACLES["hash_split"] = f"""WITH {RECIPES}
@@ -499,6 +499,17 @@ ORACLES["shift_mask"] = f"""WITH {BATCHES}
 SELECT row_id, batch_id, {ids_text('list_concat(ids, gap)[:-2]')} AS x,
   {ids_text('list_transform(list_concat(ids, gap)[2:], lambda t: CASE WHEN t = 0 THEN -100 ELSE t END)')}
   AS y FROM gaps"""
+ORACLES["min_length"] = f"""
+WITH t AS (SELECT p_partkey, list_transform(regexp_extract_all(hex(encode(p_size::VARCHAR)), '..'),
+  lambda h: ('0x' || h)::INT + 8) AS ids FROM part)
+SELECT p_partkey, {ids_text('CASE WHEN len(ids) < 2 THEN list_concat(ids, [0]) ELSE ids END')} AS ids FROM t"""
+ORACLES["vocabulary_meta"] = """
+SELECT * FROM (VALUES ('vocab_size', '160'), ('lower', 'true'), ('nfkc', 'true')) v(key, value)
+UNION ALL SELECT 'special:' || unnest(['[PAD]', '[BOS]', '[EOS]', '[UNK]', '<ING>', '<REC>', '<TITLE>', '<STEP>']),
+  unnest(['0', '1', '2', '3', '4', '5', '6', '7'])"""
+ORACLES["run_log_sink"] = """
+SELECT event_type || '-' || strftime(ts, '%Y%m%d') AS run_id, event_id::INT AS epoch, value AS train_loss,
+  value / 2 AS val_loss, NULL::DOUBLE AS val_ppl, user_id::DOUBLE AS epoch_time_sec FROM events"""
 ORACLES["assign_batches"] = f"""WITH {TURNS},
 numbered AS (SELECT row_id, row_number() OVER (ORDER BY md5(row_id || '#42-2'), row_id) - 1 AS idx
   FROM turns)
@@ -560,6 +571,8 @@ score AS (SELECT {pick}CASE WHEN sum(m) = 0 OR min(t) = 0 OR count(*) FILTER (t
   FROM smooth {final})"""
 
 
+ORACLES["prediction_sink"] = f"""WITH {PAIRS}
+SELECT role AS ingredients, reference, hypothesis, kind FROM pairs, (VALUES ('csv'), ('json')) k(kind)"""
 ORACLES["eval_pairs"] = f"""WITH {PAIRS}
 SELECT conv_id, turn, role, reference, hypothesis FROM pairs"""
 ORACLES["bleu_ngram_stats"] = f"""WITH {BLEU}

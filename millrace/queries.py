@@ -19,8 +19,8 @@ from millrace.operators import dictionaries, heads, numbering, runs, scores, spl
 from millrace.operators import words as W
 from millrace.operators.bpe import Vocabulary, pair_counts
 from millrace.operators.cells import parse_list
-from millrace.operators.encode import add_specials, decode, encode_corpus, truncate
-from millrace.plans import prepare, vocabulary
+from millrace.operators.encode import add_specials, at_least_two, decode, encode_corpus, truncate
+from millrace.plans import loader, prepare, vocabulary
 from millrace.sources import files
 from millrace.sources.shared import new_path, spread
 from millrace.sources.tables import documents, recipes_view, table
@@ -169,6 +169,45 @@ def token_cache(spark, d):
     return cached.select("row_id", "split", "max_len", "pad_id", ids_text(F.col("ids")).alias("ids"))
 
 
+@query
+def prediction_sink(spark, d):
+    """Predictions written as CSV and as JSON lines, read back from both."""
+    path, kinds = new_path(spark, "predictions"), "ingredients string, reference string, hypothesis string"
+    files.write_predictions(_pairs(spark, d).withColumn("ingredients", F.col("role")), path)
+    csv = files.read_csv(spark, f"{path}/csv", kinds).withColumn("kind", F.lit("csv"))
+    lines = files.read_jsonl(spark, f"{path}/json", kinds).withColumn("kind", F.lit("json"))
+    return csv.unionByName(lines)
+
+
+@query
+def run_log_sink(spark, d):
+    """Events as logs, a run for each type and day, written and read back."""
+    events = table(spark, d, "events")
+    run = F.concat_ws("-", "event_type", F.date_format("ts", "yyyyMMdd"))
+    none = F.lit(None).cast("double")
+    logs = events.select(
+        run.alias("run_id"),
+        F.col("event_id").cast("int").alias("epoch"),
+        F.col("value").alias("train_loss"),
+        (F.col("value") / 2).alias("val_loss"),
+        none.alias("val_ppl"),
+        none.alias("lr"),
+        F.col("user_id").cast("double").alias("epoch_time_sec"),
+    )
+    root = new_path(spark, "run-logs")
+    files.write_run_logs(logs, root)
+    return files.read_run_logs(spark, root).select("run_id", "epoch", "train_loss", "val_loss", "val_ppl", "epoch_time_sec")
+
+
+@query
+def vocabulary_meta(spark, d):
+    """A learned vocabulary written and read back: its size, flags and special tokens."""
+    path = new_path(spark, "vocabulary")
+    files.write_vocabulary(_vocabulary(spark, d), spark, path)
+    again = files.read_vocabulary(spark, path)
+    return again.tables(spark)["meta"]
+
+
 # ---- B: rows ------------------------------------------------------------------------------------
 
 
@@ -366,7 +405,7 @@ def prepared_rows(spark, d):
     raw = recipes_view(spark, d).select(
         "row_id", "title", "ingredients", F.array_join("directions", ";").alias("directions"), "ner"
     )
-    return prepare.prepare_csv(raw).select("row_id", "title", "ingredients", "split")
+    return prepare.prepare_csv(raw).select("row_id", "title", "ingredients", "recipe", "split")
 
 
 # ---- E: splits and order ------------------------------------------------------------------------
@@ -543,6 +582,22 @@ def token_stats(spark, d):
     )
 
 
+@query
+def min_length(spark, d):
+    """Byte ids of the sizes of parts, at least two of them."""
+    digits = F.regexp_extract_all(F.hex(F.encode(F.col("p_size").cast("string"), "UTF-8")), F.lit("(..)"), F.lit(1))
+    ids = F.transform(digits, lambda h: F.conv(h, 16, 10).cast("int") + 8)
+    return table(spark, d, "part").select("p_partkey", ids_text(at_least_two(ids)).alias("ids"))
+
+
+@query
+def encode_batch(spark, d):
+    """Whole documents encoded, cut to the reference's 512 ids and padded by batches."""
+    texts = documents(spark, d, "doc_id", "text").withColumnRenamed("doc_id", "row_id")
+    rows = loader.encode_batch(texts, _vocabulary(spark, d), BATCH, max_len=CACHE_LEN)
+    return rows.select("row_id", "batch_id", "pos", ids_text(F.col("input_ids")).alias("ids"), F.size("mask").alias("width"))
+
+
 # ---- H: evaluation and runs ---------------------------------------------------------------------
 
 

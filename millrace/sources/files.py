@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,11 @@ def read_recipes_csv(
     )
 
 
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What ``write_csv`` wrote."""
+    return spark.read.schema(schema).options(**_CSV).csv(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).options(
         header="true",
@@ -69,22 +74,38 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType = RAW_
 # ---- processed rows by split --------------------------------------------------------------------
 
 
-def write_splits(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One folder of JSON lines per split; ``row_id`` carries the order that files do not."""
-    df.write.mode(mode).partitionBy("split").json(path)
+def write_splits(df: DataFrame, path: str, mode: str = "errorifexists", ordered: bool = False) -> None:
+    """One folder of JSON lines per split, and a manifest of the splits with their numbers of rows.
+
+    ``row_id`` carries the order that files do not. With ``ordered``, rows are dealt by ranges of it, so
+    that within a split the order of file names and of rows in them is the order of the input. The
+    numbers are counted while the rows are written.
+    """
+    if ordered:
+        df = df.repartitionByRange("row_id").sortWithinPartitions("row_id")
+    spark, seen = df.sparkSession, Observation()
+    counts = [F.coalesce(F.sum((F.col("split") == s).cast("bigint")), F.lit(0)).alias(s) for s in SPLITS]
+    df.observe(seen, *counts).write.mode(mode).partitionBy("split").json(path)
+    rows = [(s, n) for s, n in seen.get.items() if n]
+    manifest = spark.createDataFrame(rows, "split string, rows bigint").coalesce(1)
+    manifest.write.mode("append" if mode == "append" else "overwrite").parquet(f"{path}/_manifest")
+
+
+def split_rows(spark: SparkSession, path: str) -> dict[str, int]:
+    """The manifest: numbers of rows by split. No data is read."""
+    rows = spark.read.schema("split string, rows bigint").parquet(f"{path}/_manifest")
+    return {r["split"]: r["n"] for r in rows.groupBy("split").agg(F.sum("rows").alias("n")).collect()}
 
 
 def read_splits(
     spark: SparkSession, path: str, splits: tuple[str, ...] = SPLITS, strict: bool = False
 ) -> DataFrame:
-    """Rows of the named splits. ``strict`` makes a split without any row an error."""
-    rows = read_jsonl(spark, path, PROCESSED).where(F.col("split").isin(*splits))
+    """Rows of the named splits. ``strict`` makes a split without any row an error, by the manifest."""
     if strict:
-        found = {r["split"] for r in rows.select("split").distinct().collect()}
-        missing = [s for s in splits if s not in found]
+        missing = [s for s in splits if s not in split_rows(spark, path)]
         if missing:
             raise FileNotFoundError(f"no rows for split(s) {missing} under {path}")
-    return rows
+    return read_jsonl(spark, path, PROCESSED).where(F.col("split").isin(*splits))
 
 
 # ---- encoded rows -------------------------------------------------------------------------------
@@ -138,11 +159,19 @@ def append_run_log(df: DataFrame, root: str, run_id: str) -> None:
     df.write.mode("append").option("header", "true").csv(f"{root}/{run_id}")
 
 
+def write_run_logs(logs: DataFrame, root: str, mode: str = "errorifexists") -> None:
+    """Logs of many runs at once: ``run_id`` and the columns of ``RUN_LOG``, a folder a run."""
+    names = [c.split()[0] for c in RUN_LOG.split(", ")]
+    folder = F.concat(F.lit("run-"), F.col("run_id").cast("string")).alias("folder")
+    logs.select(folder, *names).write.mode(mode).option("header", "true").partitionBy("folder").csv(root)
+
+
 def read_run_logs(spark: SparkSession, root: str) -> DataFrame:
     """Logs of all runs under a folder; the run is named by the folder its log lies in."""
     logs = spark.read.schema(RUN_LOG).option("header", "true").csv(f"{root}/*/")
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return logs.select(name.alias("run_id"), "*")
+    # as ``write_run_logs`` names folders, or as they are
+    return logs.select(F.regexp_replace(name, "^folder=run-", "").alias("run_id"), "*")
 
 
 # ---- vocabulary ---------------------------------------------------------------------------------

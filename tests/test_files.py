@@ -137,3 +137,35 @@ def test_csv_keeps_blanks_and_refuses_other_headers(spark, tmp_path):
     (tmp_path / "two" / "b.csv").write_text("ingredients,title\ni,t\n")
     with pytest.raises(Exception, match="(?i)header"):
         files.read_recipes_csv(spark, str(tmp_path / "two")).collect()
+
+
+def test_ordered_splits_and_manifest(spark, tmp_path):
+    rows = [(i, "", f"a{i}", f"r{i}", ["train", "train", "val"][i % 3]) for i in range(500)]
+    df = spark.createDataFrame(rows, files.PROCESSED).repartition(5)
+    path = str(tmp_path / "out")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files.write_splits(df, path, ordered=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert files.split_rows(spark, path) == {"train": 334, "val": 166}
+    parts = sorted((tmp_path / "out" / "split=train").glob("part-*.json"))
+    lines = [json.loads(x)["row_id"] for p in parts for x in p.read_text().splitlines()]
+    assert len(parts) > 1 and lines == [i for i, *_, s in rows if s == "train"]
+    assert files.read_splits(spark, path, ("train", "val"), strict=True).count() == 500
+    for p in parts:
+        p.unlink()  # the strict check reads the manifest alone
+    files.read_splits(spark, path, ("train",), strict=True)
+    with pytest.raises(FileNotFoundError):
+        files.read_splits(spark, path, ("train", "test"), strict=True)
+    files.write_splits(df.where("split = 'val'"), path, "append")
+    assert files.split_rows(spark, path) == {"train": 334, "val": 332}
+
+
+def test_many_run_logs_at_once(spark, tmp_path):
+    rows = [(f"r {i % 3}/x", i, 0.1 * i, 1.0, None, None, 2.0) for i in range(30)]
+    logs = spark.createDataFrame(rows, "run_id string, " + files.RUN_LOG)
+    files.write_run_logs(logs, str(tmp_path / "logs"))
+    got = files.read_run_logs(spark, str(tmp_path / "logs")).collect()
+    assert sorted((r["epoch"], r["train_loss"]) for r in got) == sorted((i, x) for _, i, x, *_ in rows)
+    assert len({r["run_id"] for r in got}) == 3
