@@ -28,14 +28,22 @@ def _with_text(docs: DataFrame, row: str, text: str) -> list[Column]:
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score ``TOXIC`` or more go; the model is learned from ``labels`` and ``docs``."""
+    """Documents that score ``TOXIC`` or more go; the model is learned from ``labels`` and ``docs``.
+
+    Null and empty texts stay, null ids and repeated rows are judged like others, a score just at the
+    limit goes. Texts are scored whole; an empty table stays empty.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score_toxicity(docs, model, keep=True)
     return scored.where(F.col("score") < TOXIC).select("doc.*")
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go; so do documents that fail the base rules or lose too much text."""
+    """Failing lines go; so do documents that fail the base rules or lose too much text.
+
+    Null and empty texts have no words and go. Repeated rows and null ids are judged one by one; texts
+    are read whole; an empty table stays empty.
+    """
     judged = line_quality.clean_lines(docs, keep=True)
     return judged.where("kept").select(*_with_text(docs, "doc", "clean_text"))
 
@@ -59,12 +67,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data are replaced by their kind in brackets."""
+    """Spans of personal data are replaced by their kind in brackets.
+
+    All rows stay; a null text becomes an empty one. Equal rows are redacted alike; of spans that
+    overlap the first, and the longest at a tie, names the place. An empty table stays empty.
+    """
     return pii.find_pii(docs, keep=True).select(*_with_text(docs, "doc", "redacted"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of power-of-two length."""
+    """Sequences of power-of-two length.
+
+    Null and empty texts are one piece with the end id; rows of one id, null ids too, are documents of
+    their own, ordered by text. An empty table gives no sequences.
+    """
     return packing.pack(docs, WORD_BPE)
 
 
