@@ -87,6 +87,13 @@ def _right(kind: Column, m: Column, before: Column, strict: Column) -> Column:
     )
 
 
+def _sure(kind: Column, m: Column, before: Column) -> Column:
+    """What needs no trees: accounts whose check sum is right, addresses written out, and numbers of 7 to
+    15 digits behind a word that announces one."""
+    announced = before.rlike(TAUGHT_CUES) & F.char_length(_digits(m)).between(7, 15)
+    return F.when(kind == "number", announced).otherwise(_right(kind, m, before, F.lit(False)))
+
+
 def _octets(text: Column) -> Column:
     """Every dotted part is at most 255."""
     parts = F.transform(F.split(text, r"\."), lambda p: F.regexp_replace(p, r"^0+(?=[0-9])", ""))
@@ -144,12 +151,13 @@ def _features(kind: Column, m: Column, before: Column, after: Column) -> dict[st
     return {k: v.cast("double") for k, v in zip(FEATURES, values)}
 
 
-def _choose(rows: DataFrame, sample: int, precision: float) -> DataFrame | None:
-    """Loose candidates that the trees choose: (row, kind, start, end). None if there is no teacher.
+def _choose(rows: DataFrame, sample: int, precision: float) -> DataFrame:
+    """Loose candidates that are sure or that the trees choose: (row, kind, start, end).
 
     What ``_right`` says teaches. Trees are fitted on at most ``sample`` candidates (by hash); each
     kind's threshold is the lowest score from which on the held-out third of all candidates reaches
-    ``precision``.
+    ``precision``, one more wrong one being counted than was seen. Without candidates of both labels
+    there is nothing to teach, and the sure ones are all.
     """
     text = F.col(TEXT)
     c = rows.select("row", "base", TEXT, F.explode("loose").alias("c"))
@@ -167,17 +175,18 @@ def _choose(rows: DataFrame, sample: int, precision: float) -> DataFrame | None:
         strict.alias("strict"),
     )
     right = F.coalesce(_right(F.col("kind"), F.col("match"), F.col("before"), F.col("strict")), F.lit(False))
+    sure = F.coalesce(_sure(F.col("kind"), F.col("match"), F.col("before")), F.lit(False))
     c = c.select(
-        "row", "kind", "start", "end", "strict", right.cast("double").alias("label"),
+        "row", "kind", "start", "end", "strict", sure.alias("sure"), right.cast("double").alias("label"),
         F.xxhash64("match", "before", "after", "row").alias("h"),
         *[v.alias(k) for k, v in _features(F.col("kind"), F.col("match"), F.col("before"), F.col("after")).items()],
     )
     c = materialize(VectorAssembler(inputCols=FEATURES, outputCol="x").transform(c).drop(*FEATURES), "pii-candidates")
     held = F.pmod("h", F.lit(3)) == 0
     taught = materialize(c.where(~held).orderBy("h", "row", "start", "kind").limit(sample), "pii-sample")
-    sides = taught.groupBy("label").agg(F.count("*").alias("n")).collect()
-    if len(sides) < 2 or min(r["n"] for r in sides) < 10:
-        return None
+    spans = ["row", "kind", "start", "end"]
+    if len(taught.select("label").distinct().collect()) < 2:
+        return c.where(F.col("sure") & ~F.col("strict")).select(*spans)
     trees = GBTClassifier(
         featuresCol="x", labelCol="label", maxIter=8, maxDepth=3, stepSize=0.3, seed=1, maxBins=16
     ).fit(taught.coalesce(1))
@@ -193,12 +202,10 @@ def _choose(rows: DataFrame, sample: int, precision: float) -> DataFrame | None:
         right = n = 0
         for r in sorted((r for r in grid if r["kind"] == kind), key=lambda r: -r["score"]):
             right, n = right + r["right"], n + r["n"]
-            if n >= 10 and right >= precision * n:
+            if right >= precision * (n + 1):
                 limits[kind] = r["score"]
-    if not limits:
-        return None
-    passes = reduce(or_, [(F.col("kind") == k) & (F.col("score") >= v) for k, v in limits.items()])
-    return scored.where(passes & ~F.col("strict")).select("row", "kind", "start", "end")
+    passes = reduce(or_, [(F.col("kind") == k) & (F.col("score") >= v) for k, v in limits.items()], F.col("sure"))
+    return scored.where(passes & ~F.col("strict")).select(*spans)
 
 
 def find_pii(docs: DataFrame, sample: int = 20_000, precision: float = 0.95, keep: bool = False) -> DataFrame:
@@ -206,11 +213,12 @@ def find_pii(docs: DataFrame, sample: int = 20_000, precision: float = 0.95, kee
 
     ``base`` and ``added`` are arrays of (kind, start, end) in code points, end exclusive;
     ``redacted`` is the text with every span replaced by its kind in brackets. ``added`` overlaps
-    no strict span; of chosen candidates that overlap, the first (longest at a tie) stays. Where a
-    table has too few candidates to teach trees, nothing is added.
+    no strict span; of chosen candidates that overlap, the first (longest at a tie) stays. Sure ones
+    are added at every size of the table, others if trees can be taught.
 
-    Null and empty texts have no spans. Rows are handled one by one, equal ones alike. Extra columns
-    are not read; with ``keep`` the whole row comes along as ``doc``.
+    Null and empty texts have no spans; long ones are read whole. Rows are handled one by one, equal
+    ones alike, null ids are ids like others, and an empty table gives no rows. Extra columns are not
+    read; with ``keep`` the whole row comes along as ``doc``.
     """
     rows = whole_rows(docs) if keep else id_text(docs)
     carried = [c for c in rows.columns]
@@ -223,21 +231,18 @@ def find_pii(docs: DataFrame, sample: int = 20_000, precision: float = 0.95, kee
     hits = hits.where(F.size("loose") > 0)
     chosen = _choose(hits, sample, precision)
     empty = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-    if chosen is None:
-        rows = rows.withColumn("extra", empty)
-    else:
-        span = F.struct("start", F.negative("end").alias("neg"), "end", "kind")
-        lists = chosen.groupBy("row").agg(F.sort_array(F.collect_set(span)).alias("list"))
-        one = F.aggregate(
-            "list",
-            empty,
-            lambda acc, s: F.when(
-                (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] > s["start"]), acc
-            ).otherwise(F.concat(acc, F.array(F.struct(s["start"], s["end"], s["kind"])))),
-        )
-        lists = lists.select(F.col("row").alias("_row"), one.alias("extra"))
-        same = reduce(lambda a, b: a & b, [F.col(f"row.{k}").eqNullSafe(F.col(f"_row.{k}")) for k in ("id", "h", "c")])
-        rows = rows.join(lists, same, "left").withColumn("extra", F.coalesce("extra", empty))
+    span = F.struct("start", F.negative("end").alias("neg"), "end", "kind")
+    lists = chosen.groupBy("row").agg(F.sort_array(F.collect_set(span)).alias("list"))
+    one = F.aggregate(
+        "list",
+        empty,
+        lambda acc, s: F.when(
+            (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] > s["start"]), acc
+        ).otherwise(F.concat(acc, F.array(F.struct(s["start"], s["end"], s["kind"])))),
+    )
+    lists = lists.select(F.col("row").alias("_row"), one.alias("extra"))
+    same = reduce(lambda a, b: a & b, [F.col(f"row.{k}").eqNullSafe(F.col(f"_row.{k}")) for k in ("id", "h", "c")])
+    rows = rows.join(lists, same, "left").withColumn("extra", F.coalesce("extra", empty))
     narrow = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     added = F.filter("extra", lambda s: ~F.exists("base", lambda b: _overlap(b, s)))
     out = [c for c in carried if c != TEXT]
