@@ -29,6 +29,8 @@ def lexicon(docs: DataFrame, low: float = 0.002, high: float = 0.2) -> list[int]
 
     Frequencies are counted over all documents, case kept. Terms that many documents share number at
     most (terms a document) / low, a bound that does not grow with the data; all are in the lexicon.
+    Null and empty texts count as documents without terms, equal rows each count, long texts are read
+    whole; an empty table has an empty lexicon. There are no ties: the band takes every term in it.
     """
     rows = id_text(docs)
     n = rows.count()
@@ -159,8 +161,9 @@ def fingerprints(docs: DataFrame, terms: list[int]) -> DataFrame:
     """``doc_id, h, n_chars, fingerprint`` of every row; ``h`` is the hash of its text.
 
     Null and empty texts, and texts without lexicon terms, have zeros for the lexicon and are told
-    apart by the hash of all their terms. Equal texts have equal fingerprints. No row is shuffled;
-    extra columns are not read.
+    apart by the hash of all their terms. Equal texts have equal fingerprints; long ones are read whole.
+    Null ids are ids like others, and an empty table gives no rows. No row is shuffled; extra columns
+    are not read.
     """
     rows = id_text(docs).select(
         ID, TEXT, F.xxhash64(TEXT).alias("h"), F.char_length(TEXT).cast("bigint").alias("n_chars")

@@ -93,8 +93,9 @@ def clean_lines(
     of prose, if it shouts, if it is long and has no punctuation, or is short and holds a boilerplate
     phrase. Sums of money, shares and names such as "Marks & Spencer" are prose.
 
-    Null and empty texts have no words: counts 0, base_failed, not kept. Repeated rows are judged
-    one by one; no row is shuffled. Extra columns are not read; with ``keep`` the whole row comes
+    Null and empty texts have no words: counts 0, base_failed, not kept. Long texts are judged whole.
+    Repeated rows are judged one by one, null ids are ids like others, an empty table gives no rows; no
+    row is shuffled. Extra columns are not read; with ``keep`` the whole row comes
     along as ``doc``.
     """
     text = F.col(TEXT)

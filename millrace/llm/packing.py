@@ -22,7 +22,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, max_length: int = 4096) ->
     batch is a run of indices of one bucket.
 
     Null texts count as empty: one piece with the end id. Rows of one doc_id are separate documents,
-    ordered by text; null ids come first. An empty table gives no rows. Extra columns are not read.
+    ordered by text; null ids come first. Long texts are encoded whole. An empty table gives no rows. Extra columns are not read.
     """
     top = max_length.bit_length() - 1
     if max_length != 1 << top:

@@ -232,8 +232,9 @@ def _model(path: str, kind: str) -> Pieces:
 def encode_pieces(docs: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
     """Add ``ids`` (binary, little-endian unsigned 32-bit) to ``doc_id, text``, row by row.
 
-    Null texts count as empty and have no ids. Equal texts have equal ids. No row is shuffled and
-    extra columns are not read.
+    Null texts count as empty and have no ids. Equal texts have equal ids, long ones are encoded whole,
+    null ids are ids like others. An empty table gives no rows. No row is shuffled and extra columns
+    are not read.
     """
     rows = id_text(docs)
 

@@ -109,7 +109,8 @@ def write_records(
 
     ``out`` must be a folder that all executors reach. A task's shards carry its attempt in their
     names and count only through the index rows that Spark commits: what a lost attempt wrote is
-    never read. Null texts count as empty (only the end id); rows of one id are ordered by text.
+    never read. Null texts count as empty (only the end id), long ones are encoded whole; rows of one id
+    are ordered by text, null ids come first. An empty table gives an empty index.
     """
 
     highest = max(end_id, *Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())
