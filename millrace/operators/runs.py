@@ -285,10 +285,28 @@ def best_epoch(stopped: DataFrame) -> DataFrame:
 def sweep_rank(
     log: DataFrame, params: list[str], loss: str, within: list[str], top: int = 0
 ) -> DataFrame:
-    """Settings by lowest loss within each family of runs, with their rank; ``top`` ranks, 0: all."""
+    """Settings by lowest loss within each family of runs, with their rank; ``top`` ranks, 0: all.
+
+    Equal losses share a rank. Distinct losses with their counts are dealt by ranges of (family, loss);
+    a range is added up by itself and what lies before it in its family is carried over, one row a
+    range and family. So neither a family with all settings nor a loss that most of them share is one
+    task. Null families are one, and a null loss comes first.
+    """
     best = log.groupBy(*within, *params).agg(
         F.min(loss).alias("best_loss"), F.count("*").alias("epochs")
     )
-    order = W.partitionBy(*within).orderBy("best_loss")
-    ranked = best.withColumn("rank", F.rank().over(order))
-    return ranked.where(F.col("rank") <= top) if top else ranked
+    key = [*within, "best_loss"]
+    best = materialize(best, "sweep")
+    values = best.groupBy(*key).agg(F.count("*").alias("_n"))
+    dealt = materialize(
+        values.repartitionByRange(*[F.col(c) for c in key]).withColumn("_part", F.spark_partition_id()), "sweep-ranges"
+    )
+    upto = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    parts = dealt.groupBy(*within, "_part").agg(F.sum("_n").alias("_n"))
+    carried = parts.select(*within, "_part", upto(W.partitionBy(*within).orderBy("_part")).alias("_before"))
+    inside = dealt.withColumn("_here", upto(W.partitionBy(*within, "_part").orderBy("best_loss")))
+    ranks = joined(inside, carried, [*within, "_part"])
+    ranks = ranks.select(*key, (F.col("_here") + F.col("_before") + 1).cast("int").alias("rank"))
+    if top:
+        ranks = ranks.where(F.col("rank") <= top)
+    return joined(best, ranks, key)

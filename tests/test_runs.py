@@ -105,6 +105,27 @@ def test_sweep(spark):
     assert sorted((r["lr"], r["rank"]) for r in got) == [("a", 1), ("b", 3), ("c", 1)]
 
 
+def test_sweep_of_one_hot_family(spark):
+    """All settings in one family, many ties, null families and losses, over several ranges."""
+    rng = random.Random(2)
+    rows = [("hot", i, float(rng.randrange(40) if i % 3 else 7)) for i in range(900)]
+    rows += [(None, i, float(i % 4)) for i in range(30)] + [("cold", 0, None), ("cold", 1, 2.0), ("cold", 2, 2.0)]
+    log = spark.createDataFrame(rows * 2, "family string, lr int, loss double").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = R.sweep_rank(log, ["lr"], "loss", ["family"]).collect()
+        few = R.sweep_rank(log, ["lr"], "loss", ["family"], top=2).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    low = lambda x: float("-inf") if x is None else x
+    want = {}
+    for f, i, x in rows:
+        want[f, i] = 1 + sum(low(y) < low(x) for g, _, y in rows if g == f)
+    assert {(r["family"], r["lr"]): r["rank"] for r in got} == want and len(got) == len(rows)
+    assert {(r["family"], r["lr"]) for r in few} == {k for k, n in want.items() if n <= 2}
+    assert all(r["epochs"] == 2 for r in got)
+
+
 def test_head_mass(spark):
     df = spark.createDataFrame([("g", i, w) for i, w in zip("abcd", [0.5, 0.3, 0.15, 0.05])], "g string, i string, w double")
     keep = lambda **o: sorted(r["i"] for r in H.head_mass(df, "g", "i", "w", **o).collect())
