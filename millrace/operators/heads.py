@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.operators.runs import joined
+from millrace.sources.shared import materialize
+
 
 def head_mass(
     df: DataFrame,
@@ -23,14 +26,15 @@ def head_mass(
     the weight among the items that are left.
 
     The first k of a group are found inside each task before any row moves, so the size of a group
-    does not matter.
+    does not matter. With k = 0 the items are dealt by ranges of weight instead (see ``_places``).
     """
     if k < 0:
         raise ValueError("k must not be negative")
+    if not k:
+        return _whole_head(df, group, item, weight, p)
     ranked = W.partitionBy(group).orderBy(F.desc(weight), item)
     head = df.select(group, item, weight).withColumn("place", F.row_number().over(ranked))
-    if k:
-        head = head.where(F.col("place") <= k)
+    head = head.where(F.col("place") <= k)
     if renorm:
         head = head.withColumn("_all", F.sum(weight).over(W.partitionBy(group)))
     else:
@@ -45,6 +49,52 @@ def head_mass(
     ).drop("_all")
 
 
+def _places(df: DataFrame, group: str, item: str, weight: str) -> DataFrame:
+    """Every item with its place and the weight up to it in its group, ``_all`` the group's weight.
+
+    Items are dealt by ranges of (group, weight, item); a range is numbered and added up by itself, and
+    the ranges before it are carried over, one row a range and group. A group with any share of the
+    rows is spread.
+    """
+    order = [F.desc(weight), F.col(item)]
+    dealt = df.select(group, item, weight).repartitionByRange(F.col(group), *order)
+    dealt = materialize(dealt.withColumn("_part", F.spark_partition_id()), "head-ranges")
+    inside = W.partitionBy(group, "_part").orderBy(*order)
+    here = dealt.withColumns(
+        {
+            "_place": F.row_number().over(inside),
+            "_cum": F.sum(weight).over(inside.rowsBetween(W.unboundedPreceding, 0)),
+        }
+    )
+    parts = dealt.groupBy(group, "_part").agg(F.count("*").alias("_n"), F.sum(weight).alias("_w"))
+    before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    carried = parts.select(
+        group,
+        "_part",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"),
+        F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_w"),
+        F.sum("_w").over(W.partitionBy(group)).alias("_all"),
+    )
+    places = joined(here, carried, [group, "_part"])
+    return places.select(
+        group,
+        item,
+        weight,
+        (F.col("_place") + F.col("_n")).cast("int").alias("place"),
+        (F.col("_cum") + F.col("_w")).alias("_cum"),
+        "_all",
+    )
+
+
+def _whole_head(df: DataFrame, group: str, item: str, weight: str, p: float) -> DataFrame:
+    head = _places(df, group, item, weight).withColumn("cum", F.col("_cum") / F.col("_all"))
+    if 0.0 < p < 1.0:
+        head = head.where((F.col("cum") <= p) | (F.col("place") == 1))
+    head = materialize(head.drop("_cum", "_all"), "head")
+    left = head.groupBy(group).agg(F.sum(weight).alias("_left"))
+    return joined(head, left, [group]).withColumn("share", F.col(weight) / F.col("_left")).drop("_left")
+
+
 def group_softmax(
     df: DataFrame, group: str, score: str, temperature: float = 1.0, out: str = "prob"
 ) -> DataFrame:

@@ -139,6 +139,30 @@ def test_head_mass(spark):
         H.head_mass(df, "g", "i", "w", k=-1)
 
 
+@pytest.mark.parametrize("p", [0.5, 0.9, 1.0])
+def test_head_without_a_limit_of_a_hot_group(spark, p):
+    """One group with most rows and many ties, a null group, over several ranges, step by step."""
+    rng = random.Random(5)
+    rows = [("hot", i, float(rng.randrange(1, 9))) for i in range(700)] + [(None, i, 1.0) for i in range(5)] + [("x", 0, 2.0)]
+    df = spark.createDataFrame(rows, "g string, i int, w double").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r["g"], r["i"]): (r["place"], r["cum"], r["share"]) for r in H.head_mass(df, "g", "i", "w", k=0, p=p).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {}
+    for g in ("hot", None, "x"):
+        own = sorted((-w, i) for h, i, w in rows if h == g)
+        total, cum, kept = -sum(w for w, _ in own), 0.0, []
+        for place, (w, i) in enumerate(own, 1):
+            cum -= w
+            if p == 1.0 or cum / total <= p or place == 1:
+                kept.append((place, cum / total, -w, i))
+        left = sum(k[2] for k in kept)
+        want |= {(g, i): pytest.approx((place, c, w / left)) for place, c, w, i in kept}
+    assert got == want
+
+
 def test_softmax(spark):
     df = spark.createDataFrame([("g", 1.0), ("g", 3.0), ("h", 1000.0)], "g string, s double")
     got = sorted(r["prob"] for r in H.group_softmax(df, "g", "s", 2.0).collect())
