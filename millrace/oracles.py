@@ -644,12 +644,12 @@ SELECT event_type, user_id, best_loss, epochs, rank FROM (
     FROM events GROUP BY event_type, user_id))"""
 
 
-def head(total: str, p: float) -> str:
+def head(total: str, p: float, where: str = "WHERE place <= 20") -> str:
     return f"""
 WITH w AS (SELECT l_suppkey, l_partkey, sum(l_quantity) AS weight FROM lineitem GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY weight DESC, l_partkey) AS place,
   sum(weight) OVER (PARTITION BY l_suppkey) AS whole FROM w),
-k AS (SELECT *, sum(weight) OVER (PARTITION BY l_suppkey) AS top FROM r WHERE place <= 20),
+k AS (SELECT *, sum(weight) OVER (PARTITION BY l_suppkey) AS top FROM r {where}),
 c AS (SELECT *, sum(weight) OVER (PARTITION BY l_suppkey ORDER BY place) / {total} AS cum FROM k),
 h AS (SELECT * FROM c WHERE cum <= {p} OR place = 1)
 SELECT l_suppkey, l_partkey, weight, place, round(cum, 9) AS cum,
@@ -658,6 +658,7 @@ SELECT l_suppkey, l_partkey, weight, place, round(cum, 9) AS cum,
 
 ORACLES["head_mass"] = head("top", 0.6)
 ORACLES["head_mass_raw"] = head("whole", 0.05)
+ORACLES["head_mass_all"] = head("whole", 0.4, "")
 ORACLES["group_softmax"] = """
 WITH m AS (SELECT p_brand, p_partkey, p_retailprice / 50 AS s,
   max(p_retailprice / 50) OVER (PARTITION BY p_brand) AS top FROM part)

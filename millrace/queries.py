@@ -694,12 +694,9 @@ def _weights(spark: SparkSession, d: str) -> DataFrame:
     return items.groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("weight"))
 
 
-def _head(renorm: bool):
+def _head(**options):
     def run(spark, d):
-        head = heads.head_mass(
-            _weights(spark, d), "l_suppkey", "l_partkey", "weight", k=20, p=0.6 if renorm else 0.05,
-            renorm=renorm,
-        )
+        head = heads.head_mass(_weights(spark, d), "l_suppkey", "l_partkey", "weight", **options)
         return head.select(
             "l_suppkey", "l_partkey", "weight", F.col("place").cast("bigint").alias("place"),
             F.round("cum", 9).alias("cum"), F.round("share", 9).alias("share"),
@@ -708,8 +705,9 @@ def _head(renorm: bool):
     return run
 
 
-QUERIES["head_mass"] = _head(True)
-QUERIES["head_mass_raw"] = _head(False)
+QUERIES["head_mass"] = _head(k=20, p=0.6, renorm=True)
+QUERIES["head_mass_raw"] = _head(k=20, p=0.05, renorm=False)
+QUERIES["head_mass_all"] = _head(k=0, p=0.4)
 
 
 @query
