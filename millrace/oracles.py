@@ -472,7 +472,7 @@ JOIN letters a ON p[1] = a.code JOIN letters b ON p[2] = b.code GROUP BY 1"""
 # G
 ORACLES["decode_roundtrip"] = "SELECT doc_id, lower(text) AS text FROM documents"
 TURNS = """
-turns AS (SELECT (conv_id << 20) + turn AS row_id, role,
+turns AS (SELECT (conv_id::BIGINT << 32) + turn AS row_id, role,
   list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::INT + 8) AS raw
   FROM conversations),
 full_ids AS (SELECT row_id, role, list_concat([1], raw, [2]) AS ids FROM turns)"""

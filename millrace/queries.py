@@ -83,7 +83,7 @@ def _turns(spark: SparkSession, d: str) -> DataFrame:
     digits = F.regexp_extract_all(F.hex(F.encode("text", "UTF-8")), F.lit("(..)"), F.lit(1))
     ids = F.transform(digits, lambda h: F.conv(h, 16, 10).cast("int") + 8)
     return turns.select(
-        (F.shiftleft("conv_id", 20) + F.col("turn")).alias("row_id"), "role", ids.alias("ids")
+        (F.shiftleft(F.col("conv_id").cast("bigint"), 32) + F.col("turn")).alias("row_id"), "role", ids.alias("ids")
     )
 
 
