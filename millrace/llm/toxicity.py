@@ -158,14 +158,19 @@ def held_out(id_col: str = ID) -> Column:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, positives: int = 4000, negatives: int = 8000, terms: int = 5000
+    docs: DataFrame, labels: DataFrame, positives: int = 4000, negatives: int = 8000
 ) -> Model:
     """Learn the lexicon and the weights from a bounded sample of labelled documents.
 
     The sample (at most ``positives`` + ``negatives`` documents, by hash of the id) leaves out the
     held-out third. Terms are whole words and word beginnings that more families of toxic documents
-    use than chance allows, with log-odds of ``ODDS`` or more against clean ones: the lexicon comes
-    from the ``terms`` with most families. Quoted uses in clean documents are left to the weights.
+    use than chance allows, with log-odds of ``ODDS`` or more against clean ones: all of them, as many
+    as the sample gives. Quoted uses in clean documents are left to the weights.
+
+    Rows of ``labels`` without an id or a label are left out; of several labels of one id, or of equal
+    texts, toxic counts. Null and empty texts teach that there is nothing to find; long texts are read
+    whole. Without rows of both labels (an empty table, for instance) the model has no terms. Terms
+    with equal support are taken in their own order.
     """
     kept = labels.select(F.col(ID), F.col("toxic").cast("int").alias("toxic")).where(
         F.col(ID).isNotNull() & F.col("toxic").isNotNull() & ~held_out()
@@ -177,7 +182,7 @@ def train(
     ]
     ids = F.broadcast(some[0].unionByName(some[1]))  # at most positives + negatives rows
     words = F.array_distinct(F.split(F.lower(TEXT), r"[^\p{L}\p{N}]+"))
-    sample = id_text(docs).join(ids, ID).dropDuplicates([TEXT])
+    sample = id_text(docs).join(ids, ID).groupBy(TEXT).agg(F.min(ID).alias(ID), F.max("toxic").alias("toxic"))
     sample = with_once(sample, [ID, TEXT, "toxic"], words=words)
     sample = materialize(sample.withColumn("family", _family("words")), "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -202,8 +207,6 @@ def train(
     support = (
         counts.where((F.col("n") >= least) & (chance >= math.log(1e5)))
         .where(odds("bad", sizes[1]) - odds("good", sizes[0]) >= ODDS)
-        .orderBy(F.desc("n"), "term")
-        .limit(terms)
     )
     model = Model(*_choose({r["term"]: r["n"] for r in support.collect()}))
 
@@ -248,7 +251,8 @@ def score_toxicity(docs: DataFrame, model: Model, keep: bool = False) -> DataFra
     """``doc_id, abuse, quoted, score`` of every whole text, row by row.
 
     ``score`` (0 to 1) is higher the likelier a document is toxic. Null and empty texts have no hits
-    and get the score of a document without hits; equal texts get equal scores. No row is shuffled.
+    and get the score of a document without hits; equal texts get equal scores, long ones are read
+    whole, null ids are ids like others. An empty table gives no rows. No row is shuffled.
     Extra columns are not read; with ``keep`` the whole row comes along as ``doc``.
     """
     if not keep:
