@@ -16,7 +16,8 @@ from millrace.llm.texts import ID, TEXT, id_text
 from millrace.sources.shared import materialize
 
 SPLIT = r"[^\p{L}\p{N}]+"
-FAMILIES, LEVELS, STEP = 6, 5, 2  # sub-lexicons: in each family every level keeps a quarter of the one above
+FAMILIES, LEVELS, STEP = 12, 5, 2  # sub-lexicons: in each family every level keeps a quarter of the one above
+WIDE, NARROW = 8, 4  # hex digits of the hashes of whole texts, of sub-lexicons
 
 
 def _hashes(text: Column) -> Column:
@@ -54,9 +55,10 @@ def _member(terms: list[int]):
 def with_fingerprint(df: DataFrame, text: str, name: str, terms: list[int], keep: list[str]) -> DataFrame:
     """``keep`` and the fingerprint of a text column.
 
-    32 hashes in hex: of all terms of the text, of its lexicon terms, and of those in each sub-lexicon
-    (family by family, from large to small); a sub-lexicon without a term of the text gives zeros.
-    Terms are distinct and sorted, so equal texts and texts of the same terms have equal hashes.
+    62 hashes in hex: of all terms of the text, of its lexicon terms, and shorter ones of those in each
+    sub-lexicon (family by family, from large to small); a sub-lexicon without a term of the text gives
+    zeros. Whatever a text's length, some level of every family holds one to three of its terms. Terms
+    are distinct and sorted, so equal texts and texts of the same terms have equal hashes.
     """
     row = with_once(df, keep, _all=_hashes(F.col(text)))
     row = with_once(
@@ -65,12 +67,13 @@ def with_fingerprint(df: DataFrame, text: str, name: str, terms: list[int], keep
         _whole=F.xxhash64(F.sort_array(F.array_distinct("_all"))),
         _terms=F.sort_array(F.array_distinct(F.filter("_all", _member(terms)))),
     )
-    families = {f"_f{k}": F.transform("_terms", _salted(k)) for k in range(FAMILIES)}
+    # the first level of each family; what the others keep is among it
+    families = {f"_f{k}": F.filter(F.transform("_terms", _salted(k)), _kept(1)) for k in range(FAMILIES)}
     row = with_once(row, [*keep, "_whole", "_terms"], **families)
-    parts = [_hex(F.col("_whole")), _digest(F.col("_terms"))]
+    parts = [_hex(F.col("_whole"), WIDE), _digest(F.col("_terms"), WIDE)]
     for f in range(FAMILIES):
-        for level in range(1, LEVELS + 1):
-            parts.append(_digest(F.filter(f"_f{f}", _kept((1 << (STEP * level)) - 1))))
+        parts.append(_digest(F.col(f"_f{f}"), NARROW))
+        parts += [_digest(F.filter(f"_f{f}", _kept(level)), NARROW) for level in range(2, LEVELS + 1)]
     return row.select(*keep, F.concat_ws("", *parts).alias(name))
 
 
@@ -78,26 +81,31 @@ def _salted(k: int):
     return lambda t: F.xxhash64(t, F.lit(k))
 
 
-def _kept(mask: int):
-    return lambda h: h.bitwiseAND(F.lit(mask)) == 0
+def _kept(level: int):
+    return lambda h: h.bitwiseAND(F.lit((1 << (STEP * level)) - 1)) == 0
 
 
-def _hex(number: Column) -> Column:
-    return F.substring(F.lpad(F.lower(F.hex(number)), 16, "0"), 9, 8)
+def _hex(number: Column, width: int) -> Column:
+    return F.right(F.lpad(F.lower(F.hex(number)), 16, "0"), F.lit(width))
 
 
-def _digest(terms: Column) -> Column:
-    return F.when(F.size(terms) > 0, _hex(F.xxhash64(terms))).otherwise("0" * 8)
+def _digest(terms: Column, width: int) -> Column:
+    return F.when(F.size(terms) > 0, _hex(F.xxhash64(terms), width)).otherwise("0" * width)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal hashes among the lexicon hashes that either text has; 1 for equal fingerprints."""
-    cut = lambda x: F.transform(
-        F.sequence(F.lit(1), F.lit(1 + FAMILIES * LEVELS)), lambda i: F.substring(x, i * 8 + 1, F.lit(8))
-    )
-    zero = F.lit("0" * 8)
+
+    def cut(x: Column) -> Column:
+        narrow = F.transform(
+            F.sequence(F.lit(0), F.lit(FAMILIES * LEVELS - 1)),
+            lambda i: F.substring(x, i * NARROW + 2 * WIDE + 1, F.lit(NARROW)),
+        )
+        return F.concat(F.array(F.substring(x, WIDE + 1, WIDE)), narrow)
+
     pairs = F.arrays_zip(cut(a).alias("a"), cut(b).alias("b"))
-    some = F.filter(pairs, lambda p: (p["a"] != zero) | (p["b"] != zero))
+    none = lambda x: x.isin("0" * WIDE, "0" * NARROW)
+    some = F.filter(pairs, lambda p: ~none(p["a"]) | ~none(p["b"]))
     equal = F.filter(some, lambda p: p["a"] == p["b"])
     return (
         F.when(a == b, 1.0).when(F.size(some) == 0, 0.0).otherwise(F.size(equal) / F.size(some))
