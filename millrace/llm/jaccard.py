@@ -33,7 +33,7 @@ from millrace.sources.shared import materialize
 WIDTH = 1.37  # of a band: largest size over smallest, about three times 1 / 0.9
 CANDIDATE_COST = 1.0  # of a set met by chance, in signatures
 BLOCK = 200  # nodes of a family's block
-GROUP_WORDS = 3_000_000  # words of the texts that one verifying group holds
+GROUP_WORDS = 1_500_000  # words of the texts that one verifying group holds
 HASHES = ["h1", "h2"]  # of a text; with the id they tell rows apart
 MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -243,22 +243,30 @@ def _sets(rows: DataFrame, n: int, tops: list[int], schemes: list[tuple[int, int
 
 
 def exact_sets(texts: list[str], n: int) -> list[np.ndarray]:
-    """Distinct shingles of texts as numbers that are equal only for equal words."""
+    """Distinct shingles of texts as numbers that are equal only for equal words.
+
+    Shingles of one word more are numbered from those before, so the numbers stay small for any n.
+    """
     number: dict[str, int] = {}
+    words = [[number.setdefault(w, len(number)) for w in t.translate(_LOWER).split(" ") if w] for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    flat, ends = np.array([x for w in words for x in w], np.int64), np.cumsum(sizes)
+    stop = np.repeat(ends, sizes)
+    at, ids = np.arange(len(flat)), flat
+    for k in range(1, n):
+        longer = at + k < stop[at]
+        at = at[longer]
+        ids = np.unique(ids[longer] * max(len(number), 1) + flat[at + k], return_inverse=True)[1].astype(np.int64)
+    cuts = np.searchsorted(at, np.append(ends - sizes, len(flat)))
+    short: dict[tuple, int] = {}  # texts of fewer words have one shingle, numbered behind the others
+    first = int(ids.max(initial=-1)) + 1
     out = []
-    for text in texts:
-        words = text.translate(_LOWER).split(" ")
-        ids = np.array([number.setdefault(w, len(number) + 1) for w in words if w], np.int64)
-        width = min(n, len(ids))
-        if not width:
-            out.append(np.zeros((0, 1), np.int64))
-            continue
-        out.append(np.stack([ids[k : len(ids) - width + 1 + k] for k in range(width)], axis=1))
-    bits = len(number).bit_length()
-    if n * bits <= 63:
-        packed = [(s << (np.arange(s.shape[1]) * bits)).sum(axis=1) for s in out]
-        return [np.unique(p) for p in packed]
-    return [np.array(sorted({s.tobytes() for s in rows}), dtype=object) for rows in out]
+    for i, w in enumerate(words):
+        if 0 < len(w) < n:
+            out.append(np.array([first + short.setdefault(tuple(w), len(short))], np.int64))
+        else:
+            out.append(np.unique(ids[cuts[i] : cuts[i + 1]]))
+    return out
 
 
 _LOWER = {c: chr(c + 32) for c in range(65, 91)} | {c: " " for c in range(9, 14)}
@@ -305,6 +313,36 @@ def _verify_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t
     return materialize(linked, "linked")
 
 
+def _by_rare_shingles(members: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t: Threshold) -> DataFrame:
+    """Large families (pivot, node, label) taken apart: one for each rare shingle, as far as needed.
+
+    Two linked sets share a shingle among the ``size - ceil(size * part / whole) + 1`` first ones of
+    each, in any one order of all shingles. Ordered from rare to frequent (among these sets), a passage
+    that all share comes last and brings nobody together.
+    """
+    texts = _texts(members.select("node").distinct().withColumn("group", F.lit(0)), nodes, docs)
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            hashes, offsets = shingle_sets(text_array(batch.column(TEXT)), n)
+            sets = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(hashes.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), sets], names=["node", "set"])
+
+    sets = texts.select("node", TEXT).mapInArrow(shingles, "node bigint, set array<bigint>")
+    sets = materialize(sets.dropDuplicates(["node"]), "family-shingles")
+    items = sets.select("node", F.size("set").alias("size"), F.explode("set").alias("item"))
+    counts = items.groupBy("item").agg(F.count("*").alias("n"))
+    first = F.col("size") - F.ceil(F.col("size") * t.part / t.whole) + 1
+    ranked = items.join(counts, "item").withColumn(
+        "rank", F.row_number().over(W.partitionBy("node").orderBy("n", "item"))  # one set in a window
+    )
+    rare = ranked.where((F.col("rank") <= first) & (F.col("n") > 1)).select(F.col("item").alias("pivot"), "node")
+    labels = members.groupBy("node").agg(F.first("label").alias("label"))  # a node has one label
+    rare = materialize(rare.join(labels, "node"), "rare-shingles")
+    mixed = rare.groupBy("pivot").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    return rare.join(mixed.select("pivot"), "pivot").select("pivot", "node", "label")
+
+
 def _join_families(
     members: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t: Threshold
 ) -> DataFrame:
@@ -371,8 +409,10 @@ def jaccard_components(docs: DataFrame, n: int = 3, part: int = 90, whole: int =
     more. ``component_id`` is the smallest doc_id that links lead to. Equal sets are one node; only
     different ones are compared. In a bucket of equal signatures each member is first verified
     against the least one; then, in buckets that still hold several components, members of different
-    ones, block by block inside tasks. So a group of many near copies costs a pair a member where they
-    are linked, no pairs of a group are made into rows, and no link is lost.
+    ones, inside tasks. A bucket of more than ``BLOCK`` such members, of a passage that many share
+    for instance, is first taken apart by the rare shingles that linked sets must share. So a group of
+    many near copies costs a pair a member where they are linked, documents with one common passage do
+    not meet, no pairs of a group are made into rows, and no link is lost. Long texts are read whole.
 
     Null and empty texts, or texts without a word, have 0 shingles and are their own component, by
     their own id. Rows that share a doc_id are nodes of their own and each gives a row. A null id is
@@ -441,6 +481,13 @@ def _parts(docs: DataFrame, n: int, t: Threshold) -> tuple[DataFrame, DataFrame]
     labelled = buckets.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     members = labelled.join(mixed.select("sig"), "sig").select("pivot", "node", "label").distinct()
+    members = materialize(members, "open-families")
+    sizes = members.groupBy("pivot").agg(F.count("*").alias("n"))
+    members = members.join(sizes, "pivot")
+    large = members.where(F.col("n") > BLOCK).select("pivot", "node", "label")
+    members = members.where(F.col("n") <= BLOCK).select("pivot", "node", "label")
+    if not large.isEmpty():
+        members = members.unionByName(_by_rare_shingles(large, classes, docs, n, t))
     links = links.union(_join_families(members, classes, docs, n, t))
     found = components(links)
 
