@@ -49,6 +49,7 @@ GRAMMAR = [
 ]
 SIGNS = 6  # + / _ - = .
 DRAWS, LOST = 2000, 0.005  # simulated tokens a table, and the share of random ones that each test may reject
+SETTLED = 4096  # symbols from which on the tables are the same; only tables are shared, all symbols count
 
 
 def _normal(z: float) -> float:
@@ -117,16 +118,22 @@ def critical(k: int, n: int) -> np.ndarray:
     return np.quantile(_statistics(v, k), 1 - LOST, axis=0)
 
 
+def _limits(k: int, n: int) -> np.ndarray:
+    """``critical`` for all n symbols. Above 128 it is interpolated between multiples of 128, so that long
+    tokens share tables; above ``SETTLED`` the three laws are those of the limit and change no more."""
+    if n <= 128 or n >= SETTLED:
+        return critical(k, min(n, SETTLED))
+    low, part = n // 128 * 128, n % 128 / 128
+    return (1 - part) * critical(k, low) + part * critical(k, low + 128) if part else critical(k, low)
+
+
 def looks_random(token: str, encoding: int) -> bool:
     """None of the three tests rejects that the symbols are uniform and independent."""
     place = _SETS[encoding][1]
     if encoding == len(ENCODINGS):
         token = token.lower()  # the first letter may be a capital
     v = np.array([[place[c] for c in token.rstrip("=")]])
-    n = v.shape[1]
-    length = n if n <= 128 else n // 128 * 128  # long ones share tables; up to 127 symbols do not count
-    limits = critical(len(place), length)
-    return bool((_statistics(v[:, :length], len(place))[0] <= limits).all())
+    return bool((_statistics(v, len(place))[0] <= _limits(len(place), v.shape[1])).all())
 
 
 # ---- the law of text: is the token anything but a random one? -----------------------------------------

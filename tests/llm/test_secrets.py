@@ -96,6 +96,19 @@ def test_the_battery_keeps_random_tokens_and_rejects_structure(kind):
     assert not S.looks_random(letters[0] * size, S.alphabet_of(tokens[0]))
 
 
+@pytest.mark.parametrize("size", [128, 1024, 5000])
+def test_every_symbol_counts(size):
+    rng = random.Random(3)
+    for kind in ("hex", "base62"):
+        letters = ALPHABETS[kind][0]
+        tokens = ["".join(rng.choices(letters, k=size + 127)) for _ in range(200)]
+        encodings = [S.alphabet_of(t) for t in tokens]
+        assert np.mean([S.looks_random(t, e) for t, e in zip(tokens, encodings)]) > 0.95
+        run = letters[0] * 127  # behind a random beginning whose length is a multiple of 128
+        first = [t[: size // 128 * 128] for t in tokens]
+        assert not any(S.looks_random(t + run, e) for t, e in zip(first, encodings))
+
+
 @pytest.mark.parametrize("shape", [str.capitalize, str.upper, lambda t: t + "==", lambda t: t[0].upper() + t[1:-1] + t[-1].upper()])
 def test_every_shape_of_token_is_judged(shape):
     rng = random.Random(4)
