@@ -1,8 +1,12 @@
 import itertools
+import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.functions import items, rules
+from millrace.functions.regex import matches
 
 GOLDEN = {
     "2 cups chopped onions": "onion",
@@ -84,3 +88,40 @@ def test_dictionaries(apply, name):
     table = getattr(rules, name)
     got = apply(items.preferred_name, list(table))
     assert got == [rules.ALIASES.get(rules.SPELLING.get(k, k), rules.SPELLING.get(k, k)) for k in table]
+
+
+def test_plain_words_take_all_steps_at_once(apply):
+    """Every word of every rule, its plurals, with signs at its ends: as by all steps."""
+    listed = [*rules.UNITS, *rules.DESCRIPTORS, *rules.PHRASES, *rules.BRANDS, *rules.SPELLING, *rules.ALIASES]
+    listed += [t for pair in [*rules.STUCK_PAIRS, *rules.MISREADINGS] for t in pair]
+    words = {w for t in listed for w in re.findall(r"[^\W\d_]+", t)} | set(listed) | set(items._NAMED)
+    words |= {"berry", "glass", "us", "s", "es", "öl", "große", "naïves", "10x", "½", "a b", "ſugar", "pık", "Kelvin"}
+    words = {v for w in words for v in (w, w + "s", w + "es", w[:-1] + "ies", w[:-1] + "ves")}
+    shapes = ["{}", "{}.", "*{}", "{}%%%", "'{}'", "{}.%", "%{}.", "({})", "{}/", "{}-", "{}\n{}", "& {}", "&", "%", "", " "]
+    texts = sorted({s.format(w, w) for w in words for s in shapes})
+    texts += [t.upper() for t in texts]
+    slow = apply(lambda c: items.normalize_always(F.lower(c)), texts)
+    assert apply(items.normalize_item, texts) == slow
+    number, unit = items._NUMBER, items._UNIT
+    quantity = lambda c: matches(c, number) | matches(c, unit, ignore_case=True)
+    assert apply(items.has_quantity, texts) == apply(quantity, texts)
+    rewritten = apply(items.rewrite_always, texts)
+    plain = apply(items.is_plain, texts)
+    assert sum(plain) > len(texts) / 3
+    assert all(not p or (r == t and not re.search(r"\s|[|/()]", t.strip())) for t, r, p in zip(texts, rewritten, plain))
+
+
+def test_plain_words_need_no_pattern(spark):
+    """A pass over plain words must cost little beside all steps."""
+    rows = spark.range(200_000).select(F.concat(F.lit("wo"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("w"))
+    rows = rows.coalesce(1).cache()
+
+    def seconds(fn) -> float:
+        times = []
+        for _ in range(2):
+            start = time.time()
+            rows.select(fn(F.col("w"))).write.format("noop").mode("overwrite").save()
+            times.append(time.time() - start)
+        return min(times)
+
+    assert seconds(items.normalize_item) < 0.7 * seconds(items.normalize_always)
