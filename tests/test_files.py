@@ -169,3 +169,21 @@ def test_many_run_logs_at_once(spark, tmp_path):
     got = files.read_run_logs(spark, str(tmp_path / "logs")).collect()
     assert sorted((r["epoch"], r["train_loss"]) for r in got) == sorted((i, x) for _, i, x, *_ in rows)
     assert len({r["run_id"] for r in got}) == 3
+
+
+def test_tasks_grow_with_the_table(spark):
+    """Raw JSON lines and spread tables have at least as many parts as the scan has splits."""
+    from millrace.queries import _raw_jsonl
+    from millrace.sources.tables import documents, table
+
+    folder, size = "/root/testdata/sf0.01", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        splits = table(spark, folder, "documents").rdd.getNumPartitions()
+        assert splits > 4
+        path, rows = _raw_jsonl(spark, folder, 4)
+        written = spark.read.json(path)
+        assert documents(spark, folder, "doc_id").rdd.getNumPartitions() >= splits
+        assert len(written.inputFiles()) >= splits and written.count() == rows.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
