@@ -13,6 +13,7 @@ from millrace.functions.regex import sub
 from millrace.operators.stem import stem
 
 MAX_ORDER = 4
+PIECE = 1 << 18  # tokens of an Arrow batch that are counted at once; a longer pair is a piece of its own
 
 # --- fixed values: published "13a" tokenization ---------------------------------------------------
 ENTITIES = [("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")]
@@ -97,12 +98,26 @@ def _clipped(hypotheses: pa.Array, references: pa.Array) -> np.ndarray:
     return out
 
 
+def _pieces(hypotheses: pa.Array, references: pa.Array) -> list[tuple[int, int]]:
+    """(first pair, number of pairs) of pieces of a batch, each of ``PIECE`` tokens at most."""
+    sizes = [pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False) for a in (hypotheses, references)]
+    ends = np.cumsum(sizes[0].astype(np.int64) + sizes[1])
+    out, first, done = [], 0, 0
+    while first < len(ends):
+        after = max(first + 1, int(np.searchsorted(ends, done + PIECE, side="right")))
+        out.append((first, after - first))
+        first, done = after, int(ends[after - 1])
+    return out
+
+
 def ngram_matches(hypothesis: Column, reference: Column) -> Column:
     """Twelve numbers a pair: by order 1 to 4 the clipped matches, then the n-grams of the hypothesis,
     then those of the reference. Counted inside the row, on Arrow batches; null texts have none."""
 
     def count(hypotheses: pa.Array, references: pa.Array) -> pa.Array:
-        rows = _clipped(hypotheses, references)
+        none = np.zeros((0, 3 * MAX_ORDER), np.int64)
+        parts = [_clipped(hypotheses.slice(*p), references.slice(*p)) for p in _pieces(hypotheses, references)]
+        rows = np.concatenate([none, *parts])
         ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()))
 

@@ -172,3 +172,21 @@ def test_perplexity(spark):
     assert got["a"] == pytest.approx(math.exp(2)) and got["b"] == pytest.approx(math.exp(20))
     weighted = {r["g"]: r["mean_loss"] for r in S.perplexity(df, ["g"], tokens="n").collect()}
     assert weighted["a"] == pytest.approx(2.5)
+
+
+def test_a_batch_is_counted_in_pieces(monkeypatch):
+    """Memory follows the piece, not the batch; results do not change."""
+    import numpy as np
+
+    rng = random.Random(5)
+    lists = [[[rng.choice("abc") for _ in range(rng.randrange(30))] if rng.random() < 0.9 else None for _ in range(50)] for _ in "hr"]
+    left, right = (pa.array(x, pa.list_(pa.string())) for x in lists)
+    whole = S._clipped(left, right)
+    monkeypatch.setattr(S, "PIECE", 64)
+    pieces = S._pieces(left, right)
+    sizes = [len(a or []) + len(b or []) for a, b in zip(*lists)]
+    assert len(pieces) > 5 and [sum(x) for x in pieces[:-1]] == [p[0] for p in pieces[1:]] and sum(pieces[-1]) == 50
+    assert all(n == 1 or sum(sizes[first : first + n]) <= 64 for first, n in pieces)
+    parts = [S._clipped(left.slice(*p), right.slice(*p)) for p in pieces]
+    assert np.array_equal(np.concatenate(parts), whole)
+    assert S._pieces(left.slice(0, 0), right.slice(0, 0)) == []
