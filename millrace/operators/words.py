@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -101,12 +102,27 @@ def normalize_text(text: Column, lower: bool = True, use_nfkc: bool = True) -> C
 # ---- counts -------------------------------------------------------------------------------------
 
 
-def word_counts(df: DataFrame, text: Column) -> DataFrame:
-    """(word, n). Words are counted inside each task first, so a frequent word stays one row each."""
+def chunks(text: Column) -> Column:
+    """A text cut before white space that follows something else: no word goes across such a place.
+
+    Neither does a normal form: white space starts a new one, and no other character ends as white
+    space. So the words of the chunks, normalized or not, are those of the text.
+    """
+    return F.split(text, rf"(?=[{_WHITE}])(?<=[^{_WHITE}])")
+
+
+def word_counts(df: DataFrame, text: Column, normal: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """(word, n) of the texts, which ``normal`` normalizes by characters or by NFKC.
+
+    Chunks are counted first, so that only distinct ones are normalized and searched for words. Both
+    are counted inside each task first, so a frequent word stays one row each.
+    """
+    counted = df.select(F.explode(chunks(text)).alias("chunk")).groupBy("chunk").agg(F.count("*").alias("n"))
+    words = counted.select(normal(F.col("chunk")).alias("chunk"), "n")
     return (
-        df.select(F.explode(pretokenize(text)).alias("word"))
+        words.select(F.explode(pretokenize(F.col("chunk"))).alias("word"), "n")
         .groupBy("word")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
 
 

@@ -49,7 +49,7 @@ def build_vocabulary(
     lower: bool = False,
     nfkc: bool = False,
 ) -> Vocabulary:
-    counts = word_counts(texts, normalize_text(F.col("text"), lower, nfkc))
+    counts = word_counts(texts, F.col("text"), lambda c: normalize_text(c, lower, nfkc))
     return train_bpe(counts, vocab_size, min_frequency, lower, nfkc)
 
 

@@ -81,6 +81,26 @@ def test_word_counts(spark, docs):
     assert got == want
 
 
+def test_chunks_of_normalized_words(spark, docs):
+    """Chunks are counted before they are normalized; no character ends as white space unless it is some."""
+    white = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isspace() and c not in range(0x1C, 0x20)]
+    for c in range(0x110000):
+        if not 0xD800 <= c < 0xE000 and chr(c) not in white:
+            assert unicodedata.normalize("NFKC", chr(c))[-1] not in white
+    for c in white:  # a blank starts anew
+        assert all(unicodedata.normalize("NFKC", x + c + "\u0301") == x + unicodedata.normalize("NFKC", c + "\u0301") for x in "aéΣ")
+    odd = SAMPLE + ["a\u00a0b", "x\u2003 y\u3000\u0301z", "ΑΣ ΑΣ\u0301", "¨ ¨a", " a  b ", "\n\nc", "İ I"]
+    df = docs.select("text").unionByName(spark.createDataFrame([(t,) for t in odd], "text string"))
+    normal = lambda c: words.normalize_text(c)
+    got = words.word_counts(df, F.col("text"), normal)
+    assert {r["word"]: r["n"] for r in got.collect()} == Counter(
+        w for r in df.select(words.pretokenize(normal(F.col("text"))).alias("w")).collect() for w in r["w"]
+    )
+    many = spark.createDataFrame([("the same words again",)] * 1000, "text string")
+    plan = words.word_counts(many, F.col("text"), normal)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.rindex("keys=[chunk")  # counted below Python
+
+
 def test_vocabulary_equals_package(trained):
     tk, vocab = trained
     assert vocab.tokens == tokens_of(tk)
