@@ -35,6 +35,16 @@ def test_both_joins_equal_plain_lookups(spark, monkeypatch, rows, limit):
     assert got == {(i, p): [names.get(t, t) for t in ts or []] for i, p, ts in data}
 
 
+def test_small_dictionaries_shuffle_no_tokens(spark):
+    df = spark.createDataFrame([(1, ["a", None, "the", "b"]), (1, ["the"]), (2, [])], "i int, t array<string>")
+    table = spark.createDataFrame([("the", "x")], "w string, n string")
+    for fn, want in ((D.drop_listed, ["a", None, "b"]), (D.replace_listed, ["a", None, "x", "b"])):
+        got = fn(df.select("i", "t"), ["i"], F.col("t"), table.select("w") if fn is D.drop_listed else table)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Generate" not in plan
+        assert want in [r["tokens"] for r in got.collect()]
+
+
 def test_a_million_entries_equal_the_literal_list(spark, rows):
     data, schema = rows
     df = spark.createDataFrame([r for r in data if r[0] is not None], schema)
