@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import and_
 
@@ -124,79 +124,116 @@ def _next(lows: np.ndarray, delta: float) -> np.ndarray:
     return np.searchsorted(-lows, -(lows - delta), side="right")
 
 
-def _block_steps(delta: float):
-    """Record lows of one block into one row: its step function."""
+def _block_function(losses, epochs, lowest: float | None, delta: float) -> tuple[np.ndarray, ...]:
+    """Record lows of one block, in order: (lows, ends, epochs) of its step function."""
+    lows, epochs = np.asarray(losses, float), np.asarray(epochs, np.int64)
+    last = np.arange(len(lows))
+    follows = _next(lows, delta)
+    for i in range(len(lows) - 1, -1, -1):
+        if follows[i] < len(lows):
+            last[i] = last[follows[i]]
+    n = _needed(lows, lowest, delta)
+    return lows[:n], lows[last[:n]], epochs[last[:n]]
+
+
+def _parts_of(lows, ends, epochs, sizes, delta: float) -> Iterator[Steps]:
+    """The step functions of stretches that lie behind each other, ``sizes`` lows each."""
+    stops = np.cumsum(sizes)
+    for start, stop in zip(stops - sizes, stops):
+        yield Steps(lows[start:stop], ends[start:stop], epochs[start:stop], delta)
+
+
+def _whole_function(lows, ends, epochs, sizes, lowest: float | None, delta: float) -> tuple[np.ndarray, ...]:
+    """Up to 1,024 step functions into that of all of them."""
+    n = _needed(np.asarray(lows, float), lowest, delta)
+    all_ends, all_epochs = np.zeros(0), np.zeros(0, np.int64)
+    for steps in _parts_of(lows, ends, epochs, sizes, delta):
+        if len(all_ends):
+            all_ends, all_epochs = steps.after(all_ends, all_epochs)
+        all_ends, all_epochs = np.append(all_ends, steps.ends), np.append(all_epochs, steps.epochs)
+    return lows[:n], all_ends[:n], all_epochs[:n]
+
+
+def _coming(lows, ends, epochs, sizes, best: float, delta: float) -> list[float]:
+    """The best loss that comes into each stretch; ``best`` comes into the first (NaN: none)."""
+    came, epoch, out = np.array([best], float), np.zeros(1, np.int64), []
+    for steps in _parts_of(lows, ends, epochs, sizes, delta):
+        out.append(came[0])
+        came, epoch = steps.after(came, epoch)
+    return out
+
+
+def _improving(losses, epochs, best: float, delta: float) -> np.ndarray:
+    """The epochs of a block that improve, from the best loss that comes in (NaN: none)."""
+    lows, kept = np.asarray(losses, float), []
+    follows = _next(lows, delta)
+    i = 0 if np.isnan(best) else int(np.searchsorted(-lows, -(best - delta), side="right"))
+    while i < len(lows):
+        kept.append(i)
+        i = follows[i]
+    return np.asarray(epochs, np.int64)[kept]
 
+
+# A stretch as a table, one row a record low or a block.
+
+
+def _block_steps(delta: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("epoch")
-        lows, epochs = rows["loss"].to_numpy(float), rows["epoch"].to_numpy()
-        last = np.arange(len(lows))
-        follows = _next(lows, delta)
-        for i in range(len(lows) - 1, -1, -1):
-            if follows[i] < len(lows):
-                last[i] = last[follows[i]]
-        n = _needed(lows, rows["lowest"].iloc[0], delta)
-        one = rows.iloc[:1][["run_id", "block"]].copy()
-        one["lowest"] = rows["lowest"].iloc[0]
-        one["lows"], one["ends"], one["epochs"] = [lows[:n]], [lows[last[:n]]], [epochs[last[:n]]]
+        one = rows.iloc[:1][["run_id", "block", "lowest"]].copy()
+        found = _block_function(rows["loss"], rows["epoch"], rows["lowest"].iloc[0], delta)
+        one["lows"], one["ends"], one["epochs"] = [[x] for x in found]
         return one
 
     return run
 
 
-def _steps(row, delta: float) -> Steps:
-    return Steps(row.lows, row.ends, row.epochs, delta)
-
-
 def _composed(delta: float):
-    """Up to 1,024 blocks of a run into the step function of all of them."""
-
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("block")
-        first = rows["lowest"].iloc[0]
-        lows = np.concatenate(rows["lows"].to_list())
-        n = _needed(lows, first, delta)
-        ends, epochs = np.zeros(0), np.zeros(0, np.int64)
-        for row in rows.itertuples():
-            steps = _steps(row, delta)
-            if len(ends):
-                ends, epochs = steps.after(ends, epochs)
-            ends, epochs = np.append(ends, steps.ends), np.append(epochs, steps.epochs)
         one = rows.iloc[:1][["run_id", "part", "lowest"]].copy()
-        one["lows"], one["ends"], one["epochs"] = [lows[:n]], [ends[:n]], [epochs[:n]]
+        columns = [np.concatenate(rows[c].to_list()) for c in ("lows", "ends", "epochs")]
+        found = _whole_function(*columns, rows["lows"].map(len), rows["lowest"].iloc[0], delta)
+        one["lows"], one["ends"], one["epochs"] = [[x] for x in found]
         return one
 
     return run
 
 
-def _carried(delta: float, place: str, start: bool):
-    """The best loss that comes into each of a few stretches; ``best`` has what came into the first."""
+def _steps(row, delta: float) -> Steps:
+    return Steps(row.lows, row.ends, row.epochs, delta)
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(place)
-        best, epoch = np.array([np.nan if start else rows["best"].iloc[0]], float), np.zeros(1, np.int64)
-        out = []
-        for row in rows.itertuples():
-            out.append(best[0])
-            best, epoch = _steps(row, delta).after(best, epoch)
-        return pd.DataFrame({"run_id": rows["run_id"], place: rows[place], "best": out})
 
-    return run
+_FUNCTION = "lows array<double>, ends array<double>, epochs array<bigint>"
 
 
-def _improved(delta: float):
-    """The epochs of a block that improve, from the best loss that comes in."""
+def _each(fn: Callable, delta: float, kind: str):
+    """``fn`` for every row of a batch, a row being one stretch."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("epoch")
-        lows, best = rows["loss"].to_numpy(float), rows["best"].iloc[0]
-        follows, kept = _next(lows, delta), np.zeros(len(lows), bool)
-        i = 0 if np.isnan(best) else int(np.searchsorted(-lows, -(best - delta), side="right"))
-        while i < len(lows):
-            kept[i], i = True, follows[i]
-        return rows.loc[kept, ["run_id", "epoch"]]
+    def columns(*args: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([fn(*row, delta) for row in zip(*args)], columns=["lows", "ends", "epochs"])
+
+    def column(*args: pd.Series) -> pd.Series:
+        return pd.Series([fn(*row, delta) for row in zip(*args)], dtype=object)
+
+    return F.pandas_udf(columns if kind == _FUNCTION else column, kind)
 
-    return run
+
+def _stretches(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """Step functions of the same ``keys`` side by side, in the order of ``place``."""
+    each = F.struct(place, "lowest", "lows", "ends", "epochs")
+    lists = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(each)).alias("_all"))
+    flat = {c: F.flatten(F.col(f"_all.{c}")).alias(c) for c in ("lows", "ends", "epochs")}
+    sizes = F.transform("_all", lambda s: F.size(s["lows"])).alias("sizes")
+    return lists.select(*keys, F.col(f"_all.{place}").alias(place), F.col("_all.lowest")[0].alias("lowest"), *flat.values(), sizes)
+
+
+def _carried(stretches: DataFrame, keys: list[str], place: str, best: Column, delta: float) -> DataFrame:
+    """(keys, place, best): the best loss that comes into each stretch."""
+    came = _each(_coming, delta, "array<double>")("lows", "ends", "epochs", "sizes", best)
+    pairs = stretches.select(*keys, F.arrays_zip(F.col(place).alias(place), came.alias("best")).alias("_pairs"))
+    pairs = pairs.select(*keys, F.explode("_pairs").alias("_pair"))
+    return pairs.select(*keys, F.col("_pair")[place].alias(place), F.col("_pair")["best"].alias("best"))
 
 
 def _improvements(records: DataFrame, delta: float) -> DataFrame:
@@ -204,32 +241,26 @@ def _improvements(records: DataFrame, delta: float) -> DataFrame:
 
     A block of 1,024 epochs becomes a step function, 1,024 blocks are composed into one, and the few
     that are left of a run are gone through in turn; then the best loss so far is carried down to the
-    blocks again. No task sees more than 1,024 rows of a run but that last one, with one row for a
-    million epochs. Null runs are a run.
+    blocks again. No row holds more than 1,024 blocks or parts of a run, and a task works on many runs
+    at once: short runs cost no call each. Null runs are a run.
     """
-    id_type = records.schema["run_id"].dataType.simpleString()
-    function = "lowest double, lows array<double>, ends array<double>, epochs array<bigint>"
-    records = records.withColumn("block", F.shiftright("epoch", _BLOCK_BITS))
-    blocks = records.groupBy("run_id", "block").applyInPandas(
-        _block_steps(delta), f"run_id {id_type}, block bigint, {function}"
-    )
-    blocks = materialize(blocks.withColumn("part", F.shiftright("block", _BLOCK_BITS)), "run-blocks")
-    parts = blocks.groupBy("run_id", "part").applyInPandas(
-        _composed(delta), f"run_id {id_type}, part bigint, {function}"
-    )
-    into_parts = parts.groupBy("run_id").applyInPandas(
-        _carried(delta, "part", True), f"run_id {id_type}, part bigint, best double"
-    )
-    into_blocks = (
-        joined(blocks, into_parts, ["run_id", "part"])
-        .groupBy("run_id", "part")
-        .applyInPandas(_carried(delta, "block", False), f"run_id {id_type}, block bigint, best double")
-    )
-    return (
-        joined(records, into_blocks, ["run_id", "block"])
-        .groupBy("run_id", "block")
-        .applyInPandas(_improved(delta), f"run_id {id_type}, epoch bigint")
-    )
+    none = F.lit(float("nan"))
+    rows = records.withColumn("block", F.shiftright("epoch", _BLOCK_BITS)).groupBy("run_id", "block")
+    rows = rows.agg(
+        F.min_by("lowest", "epoch").alias("lowest"), F.sort_array(F.collect_list(F.struct("epoch", "loss"))).alias("_rows")
+    ).select("run_id", "block", "lowest", F.col("_rows.loss").alias("loss"), F.col("_rows.epoch").alias("epoch"))
+    made = _each(_block_function, delta, _FUNCTION)("loss", "epoch", "lowest")
+    part = F.shiftright("block", _BLOCK_BITS).alias("part")
+    blocks = materialize(rows.withColumn("_made", made).select("*", "_made.*", part).drop("_made"), "run-blocks")
+    beside = _stretches(blocks, ["run_id", "part"], "block")
+    whole = _each(_whole_function, delta, _FUNCTION)("lows", "ends", "epochs", "sizes", "lowest")
+    parts = beside.select("run_id", "part", "lowest", whole.alias("_made")).select("run_id", "part", "lowest", "_made.*")
+    into_parts = _carried(_stretches(parts, ["run_id"], "part"), ["run_id"], "part", none, delta)
+    carried = joined(beside, into_parts, ["run_id", "part"])
+    into_blocks = _carried(carried, ["run_id", "part"], "block", F.col("best"), delta).drop("part")
+    last = joined(blocks.select("run_id", "block", "loss", "epoch"), into_blocks, ["run_id", "block"])
+    kept = _each(_improving, delta, "array<bigint>")("loss", "epoch", "best")
+    return last.select("run_id", F.explode(kept).alias("epoch"))
 
 
 def early_stop(log: DataFrame, patience: int = 3, delta: float = 0.0) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import heads as H
 from millrace.operators import runs as R
@@ -179,3 +180,16 @@ def test_null_groups_and_no_cut(spark):
     assert sorted(round(r["prob"], 3) for r in H.group_softmax(df, "g", "w").collect()) == [0.119, 0.5, 0.5, 0.881]
     log = spark.createDataFrame([("f", i, float(i)) for i in range(150)], "family string, lr int, loss double")
     assert R.sweep_rank(log, ["lr"], "loss", ["family"]).count() == 150
+
+
+def test_short_runs_cost_no_call_each(spark):
+    """Many short runs: a task works on batches of them, and no group is handed to Python by itself."""
+    rng = random.Random(12)
+    runs = {k: [round(rng.uniform(0, 5), 1) for _ in range(6)] for k in range(3000)}
+    df = spark.createDataFrame([(k, i + 1, x) for k, xs in runs.items() for i, x in enumerate(xs)], SCHEMA)
+    lows = df.withColumn("lowest", F.lit(None).cast("double")).where("epoch = 1")
+    plan = R._improvements(lows, 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan
+    kept = {(r["run_id"], r["epoch"]) for r in R.early_stop(df, 4, 0.5).where("improved").collect()}
+    want = {(k, i + 1) for k, xs in runs.items() for i, (new, _) in enumerate(stop_by_hand(xs, 4, 0.5)[0]) if new}
+    assert kept == want
