@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from millrace.functions.regex import constant
 from millrace.functions.rules import BOS, EOS, PAD, SPECIALS, UNK
 from millrace.operators.bpe import Vocabulary
-from millrace.operators.words import from_letters, lowered, nfkc_risky, pretokenize, to_letters
+from millrace.operators.words import byte_letters, from_letters, lowered, nfkc_risky, pretokenize
 
-_MEMO = 500_000  # encoded words a task remembers before it starts afresh
+_MEMO = 100_000  # encoded words a task remembers before it starts afresh
+_PIECE = 1 << 18  # words a task looks at at once
+_LETTERS = dict(enumerate(byte_letters()))
 
 
 def _either(tokens: list[str]) -> str:
@@ -42,7 +44,7 @@ def _nfkc_each(rows: pd.Series) -> pd.Series:
 
 
 def words_of(text: Column, lower: bool, use_nfkc: bool) -> Column:
-    """Byte-letter words of a text in order; a special token is one word, as it is spelled.
+    """Words of a text in order; a special token is one word, as it is spelled.
 
     Special tokens are looked for in the raw text, so the normalizer runs on the segments between.
     """
@@ -53,8 +55,7 @@ def words_of(text: Column, lower: bool, use_nfkc: bool) -> Column:
         normal = F.coalesce(F.pandas_udf(_nfkc_each, "array<string>")(to_change), raw)
 
     def words(segment: Column) -> Column:
-        segment = lowered(segment) if lower else segment
-        return F.transform(pretokenize(segment), to_letters)
+        return pretokenize(lowered(segment) if lower else segment)
 
     return F.flatten(
         F.zip_with(
@@ -91,11 +92,27 @@ def _segment(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
     return [p for p in parts if p is not None]
 
 
+def _ids_of(words: pa.Array, of_word: Callable[[str], bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words in turn, and how many there are up to each word's end."""
+    coded = words.dictionary_encode()
+    packed = [of_word(w) for w in coded.dictionary.to_pylist()]
+    which = coded.indices.to_numpy(zero_copy_only=False)
+    sizes = np.asarray([len(c) >> 2 for c in packed], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    pool = np.frombuffer(b"".join(packed), np.int32)
+    lengths = sizes[which]
+    ends = np.cumsum(lengths)
+    # place of every id in the pool: start of its word plus its offset in the word
+    at = np.arange(ends[-1]) - np.repeat(ends - lengths - starts[which], lengths)
+    return pool[at], ends
+
+
 def _word_encoder(vocab: Vocabulary, spark):
-    """Arrow function from lists of byte-letter words to lists of ids.
+    """Arrow function from lists of words to lists of ids.
 
-    The vocabulary is the only thing sent to all tasks; its size is what the user asked for. Each
-    distinct word of a batch is looked at once; a task remembers words it has met.
+    The vocabulary is the only thing sent to all tasks; its size is what the user asked for. A batch
+    is worked on in pieces of ``_PIECE`` words, of which each distinct one is looked at once; a task
+    remembers words it has met.
     """
     ids = {t: i for i, t in enumerate(vocab.tokens)}
     ranks = {pair: rank for rank, pair in reversed(list(enumerate(vocab.merges)))}
@@ -103,9 +120,9 @@ def _word_encoder(vocab: Vocabulary, spark):
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, ranks = shared.value
-        memo: dict[str, np.ndarray] = {}
+        memo: dict[str, bytes] = {}
 
-        def of_word(word: str) -> np.ndarray:
+        def of_word(word: str) -> bytes:
             found = memo.get(word)
             if found is None:
                 if len(memo) >= _MEMO:
@@ -113,25 +130,23 @@ def _word_encoder(vocab: Vocabulary, spark):
                 if word in SPECIALS:
                     out = [ids[word]]
                 else:
-                    out = [ids.get(p, UNK) for p in _segment(word, ranks)]
-                found = memo[word] = np.asarray(out, dtype=np.int32)
+                    letters = word.encode().decode("latin-1").translate(_LETTERS)
+                    out = [ids.get(p, UNK) for p in _segment(letters, ranks)]
+                found = memo[word] = np.asarray(out, np.int32).tobytes()
             return found
 
         for batch in batches:
-            flat = batch.flatten().dictionary_encode()
-            coded = [of_word(w) for w in flat.dictionary.to_pylist()]
-            which = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            sizes = np.asarray([len(c) for c in coded], dtype=np.int64)
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if coded else sizes
-            pool = np.concatenate(coded) if coded else np.empty(0, np.int32)
-            lengths = sizes[which]
-            ends = np.concatenate([[0], np.cumsum(lengths)])
-            # place of every id in the pool: start of its word plus its offset in the word
-            at = np.arange(ends[-1]) - np.repeat(ends[:-1] - starts[which], lengths)
+            flat, parts, ends = batch.flatten(), [np.zeros(0, np.int32)], [np.zeros(1, np.int32)]
+            seen = 0  # ids before the piece
+            for begin in range(0, len(flat), _PIECE):
+                got, upto = _ids_of(flat.slice(begin, _PIECE), of_word)
+                parts.append(got)
+                ends.append((seen + upto).astype(np.int32))
+                seen += len(got)
             words_per_row = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             row_ends = np.concatenate([[0], np.cumsum(words_per_row)])
-            offsets = pa.array(ends[row_ends], pa.int32())
-            yield pa.ListArray.from_arrays(offsets, pa.array(pool[at], pa.int32()))
+            offsets = pa.array(np.concatenate(ends)[row_ends], pa.int32())
+            yield pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts), pa.int32()))
 
     return F.arrow_udf(encode, "array<int>")
 
