@@ -84,3 +84,14 @@ def test_loader(spark):
     assert loader.training_batches(cached, 2).count() == 3
     first = loader.validation_batches(cached, 2).orderBy("batch_id", "pos").first()
     assert (first["x"], first["y"]) == ([1, 5], [5, 2])
+
+
+def test_wide_rows_that_follow_each_other_are_many_groups(spark):
+    """20,000 ids in a row are numbered in groups of at most 4,096, and get the same numbers as by hand."""
+    from millrace.operators import numbering
+
+    assert 1 << numbering._LEVELS[0] <= 4096
+    ids = [*range(-3, 20_000), 1 << 27, (1 << 27) + 5, 1 << 41, (1 << 62) + 1]
+    df = spark.createDataFrame([(i,) for i in ids], "row_id bigint").repartition(3)
+    got = {r["row_id"]: r["idx"] for r in numbering.number_by_id(df).collect()}
+    assert got == {i: k for k, i in enumerate(ids)}
