@@ -207,3 +207,16 @@ def test_corpus_limit(spark):
     assert sorted(r["row_id"] for r in got.collect()) == [0, 1, 6, 7, 8, 9]
     only = vocabulary.corpus(df, ("train",), fields=("recipe",))
     assert sorted(r["row_id"] for r in only.collect()) == [1, 3, 5]
+
+
+def test_pieces_of_a_batch_give_the_ids_of_the_whole():
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    coded = {f"w{i}": np.arange(i % 5 + 1, dtype=np.int32).tobytes() for i in range(40)}
+    flat = pa.array([rng.choice(list(coded)) for _ in range(1000)])
+    want = [i for w in flat.to_pylist() for i in np.frombuffer(coded[w], np.int32)]
+    for size in (1, 7, 1000):
+        parts = [encode._ids_of(flat.slice(k, size), coded.__getitem__) for k in range(0, 1000, size)]
+        assert [i for ids, _ in parts for i in ids] == want
+        assert all(ends[-1] == len(ids) for ids, ends in parts)
