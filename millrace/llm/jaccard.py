@@ -34,6 +34,7 @@ WIDTH = 1.37  # of a band: largest size over smallest, about three times 1 / 0.9
 CANDIDATE_COST = 1.0  # of a set met by chance, in signatures
 BLOCK = 200  # nodes of a family's block
 GROUP_WORDS = 1_500_000  # words of the texts that one verifying group holds
+BITS = 1 << 6, 1 << 15  # least and most bits of a set's parities
 HASHES = ["h1", "h2"]  # of a text; with the id they tell rows apart
 MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -182,12 +183,102 @@ def signatures(
     return np.concatenate(out), np.concatenate(of)
 
 
+# ---- parities: what tells most strangers apart without their texts ----------------------------------
+
+
+def parities(hashes: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """For every set the parities of how many elements fall on each of 2^k bits, about one an element.
+
+    Two sets' parities differ in no more bits than the sets in elements, so bits tell strangers apart
+    and lose no link. Halves laid over one another are the parities on half as many bits.
+    """
+    sizes = np.diff(offsets)
+    room = np.clip(1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64), *BITS)
+    starts = running(room)
+    place = (mix(hashes ^ MIX[2]) & np.repeat(room - 1, sizes).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(place + np.repeat(starts[:-1], sizes), minlength=int(starts[-1])) & 1
+    data = np.packbits(odd.astype(np.uint8), bitorder="little")
+    return pa.Array.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer((starts // 8).astype(np.int32)), pa.py_buffer(data)]
+    )
+
+
+def at_least_apart(x: bytes, y: bytes) -> int:
+    """A number of elements in which the sets with these parities differ at least."""
+    if len(x) < len(y):
+        x, y = y, x
+    a, m = int.from_bytes(x, "little"), 8 * len(x)
+    while m > 8 * len(y):
+        m //= 2
+        a = (a >> m) ^ (a & ((1 << m) - 1))
+    return (a ^ int.from_bytes(y, "little")).bit_count()
+
+
+def _may_link(t: Threshold, a: int, x: bytes, b: int, y: bytes) -> bool:
+    """Whether sizes and parities leave it open that two sets are linked."""
+    most = t.distance(a + b)
+    return abs(a - b) <= most and at_least_apart(x, y) <= most
+
+
+def _open_members(families: DataFrame, nodes: DataFrame, t: Threshold) -> DataFrame:
+    """(pivot, node, label, near): the members of families that may link with one of another label.
+
+    ``near`` says whether the pivot may be that one. In families above ``BLOCK`` all members stay.
+    """
+    sizes = families.groupBy("pivot").agg(F.count("*").alias("n"))
+    bits = nodes.select("node", "n_shingles", "bits")
+    sized = families.join(sizes, "pivot").join(bits, "node")
+    columns = ["pivot", "node", "label", "n_shingles", "bits"]
+
+    def of_family(pivot: int, rows: list[tuple]) -> list[tuple]:
+        keep, near = [False] * len(rows), [False] * len(rows)
+        for i, (node, label, size, own) in enumerate(rows):
+            for j in range(i):
+                other = rows[j]
+                if label == other[1] or (keep[i] and keep[j] and pivot not in (node, other[0])):
+                    continue
+                if _may_link(t, size, own, other[2], other[3]):
+                    keep[i] = keep[j] = True
+                    near[i] |= other[0] == pivot
+                    near[j] |= node == pivot
+        return [(pivot, r[0], r[1], x) for r, k, x in zip(rows, keep, near) if k]
+
+    def small_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        made = lambda found: pa.RecordBatch.from_arrays(
+            [pa.array([f[k] for f in found], kind) for k, kind in enumerate([pa.int64()] * 3 + [pa.bool_()])],
+            names=["pivot", "node", "label", "near"],
+        )
+        for batch in batches:
+            found = []
+            for pivot, *row in zip(*[batch.column(c).to_pylist() for c in columns]):
+                if pivot != key:
+                    found += of_family(key, rows)
+                    key, rows = pivot, []
+                rows.append(tuple(row))
+            yield made(found)
+        yield made(of_family(key, rows))
+
+    @F.pandas_udf("boolean")
+    def near(a: pd.Series, x: pd.Series, b: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([_may_link(t, *p) for p in zip(a, x, b, y)], dtype=bool)
+
+    small_rows = sized.where(F.col("n") <= BLOCK).select(*columns).repartition("pivot")
+    kept = small_rows.sortWithinPartitions("pivot", "node").mapInArrow(
+        small_ones, "pivot bigint, node bigint, label bigint, near boolean"
+    )
+    first = bits.toDF("pivot", "b", "y")
+    large = sized.where(F.col("n") > BLOCK).join(first, "pivot")
+    large = large.select("pivot", "node", "label", near("n_shingles", "bits", "b", "y") & (F.col("node") != F.col("pivot")))
+    return kept.union(large)
+
+
 # ---- the join -------------------------------------------------------------------------------------
 
 
 def _sets(rows: DataFrame, n: int, tops: list[int], schemes: list[tuple[int, int]], t: Threshold) -> DataFrame:
-    """(row, doc_id, h1, h2, n_shingles, k1, k2, sigs): ``row`` numbers the rows, (k1, k2) is a digest
-    of the set. Of equal sets in one task only the first has signatures."""
+    """(row, doc_id, h1, h2, n_shingles, k1, k2, bits, sigs): ``row`` numbers the rows, (k1, k2) is a digest
+    of the set, ``bits`` are its parities. Of equal sets in one task only the first has signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -231,14 +322,15 @@ def _sets(rows: DataFrame, n: int, tops: list[int], schemes: list[tuple[int, int
                     pa.array(sizes),
                     pa.array(keys[:, 0]),
                     pa.array(keys[:, 1]),
+                    parities(hashes, offsets),
                     lists,
                 ],
-                names=["row", ID, *HASHES, "n_shingles", "k1", "k2", "sigs"],
+                names=["row", ID, *HASHES, "n_shingles", "k1", "k2", "bits", "sigs"],
             )
             row += len(sizes)
 
     numbers = [*HASHES, "n_shingles", "k1", "k2"]
-    schema = f"row bigint, {ID} {id_type(rows)}, {', '.join(f'{c} bigint' for c in numbers)}, sigs array<bigint>"
+    schema = f"row bigint, {ID} {id_type(rows)}, {', '.join(f'{c} bigint' for c in numbers)}, bits binary, sigs array<bigint>"
     return rows.mapInArrow(run, schema)
 
 
@@ -272,13 +364,15 @@ def exact_sets(texts: list[str], n: int) -> list[np.ndarray]:
 _LOWER = {c: chr(c + 32) for c in range(65, 91)} | {c: " " for c in range(9, 14)}
 
 
-def _texts(need: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(group, node, text) for the (group, node) of ``need``; rows of one id are told apart by hashes."""
-    ids = nodes.join(need.select("node").distinct(), "node").select(F.col(ID).alias("id"), *HASHES, "node")
+def _texts(met: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) for the nodes of ``met``; rows of one id are told apart by hashes.
+
+    The table's texts are moved here once. What follows reads only those that some other set may link with.
+    """
+    ids = nodes.join(met.select("node").distinct(), "node").select(F.col(ID).alias("id"), *HASHES, "node")
     rows = id_text(docs).select(ID, TEXT, *text_hashes(F.col(TEXT))).alias("d")
     same = [F.col(ID).eqNullSafe(F.col("id")), *[F.col(f"d.{h}") == F.col(f"n.{h}") for h in HASHES]]
-    texts = rows.join(ids.alias("n"), same)
-    return need.join(texts.select("node", TEXT), "node")
+    return materialize(rows.join(ids.alias("n"), same).select("node", TEXT), "met-texts")
 
 
 def _numbered(rows: pd.DataFrame, n: int) -> tuple[dict[int, int], np.ndarray, np.ndarray]:
@@ -289,7 +383,7 @@ def _numbered(rows: pd.DataFrame, n: int) -> tuple[dict[int, int], np.ndarray, n
     return {v: i for i, v in enumerate(rows["node"])}, flat, running(np.array([len(x) for x in sets]))
 
 
-def _verify_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t: Threshold) -> DataFrame:
+def _verify_pairs(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, t: Threshold) -> DataFrame:
     """Those of the pairs (a, b) whose texts' sets are linked; pairs of one b come in runs."""
     size = nodes.select(F.col("node").alias("a"), "n_shingles")
     total = pairs.join(size, "a").agg(F.sum("n_shingles")).first()[0]
@@ -299,7 +393,7 @@ def _verify_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t
     key = F.pmod(F.xxhash64("b", F.pmod(F.xxhash64("a"), F.lit(groups))), F.lit(groups)).cast("int")
     dealt = materialize(pairs.select("a", "b", key.alias("g")), "pairs")
     ends = F.explode(F.array("a", "b")).alias("node")
-    texts = _texts(dealt.select(F.col("g").alias("group"), ends).distinct(), nodes, docs)
+    texts = dealt.select(F.col("g").alias("group"), ends).distinct().join(texts, "node")
 
     def check(links: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         place, flat, at = _numbered(rows, n)
@@ -313,14 +407,14 @@ def _verify_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t
     return materialize(linked, "linked")
 
 
-def _by_rare_shingles(members: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t: Threshold) -> DataFrame:
+def _by_rare_shingles(members: DataFrame, texts: DataFrame, n: int, t: Threshold) -> DataFrame:
     """Large families (pivot, node, label) taken apart: one for each rare shingle, as far as needed.
 
     Two linked sets share a shingle among the ``size - ceil(size * part / whole) + 1`` first ones of
     each, in any one order of all shingles. Ordered from rare to frequent (among these sets), a passage
     that all share comes last and brings nobody together.
     """
-    texts = _texts(members.select("node").distinct().withColumn("group", F.lit(0)), nodes, docs)
+    texts = members.select("node").distinct().join(texts, "node")
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -344,7 +438,7 @@ def _by_rare_shingles(members: DataFrame, nodes: DataFrame, docs: DataFrame, n:
 
 
 def _join_families(
-    members: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, t: Threshold
+    members: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, t: Threshold
 ) -> DataFrame:
     """Links across labels inside families (pivot, node, label), enough of them to connect what is linked.
 
@@ -369,7 +463,7 @@ def _join_families(
     groups = int(-(-total // GROUP_WORDS)) * 2
     dealt = sent.withColumn("g", F.pmod(F.xxhash64("pivot", "lo", "hi"), F.lit(groups)).cast("int"))
     need = dealt.select(F.col("g").alias("group"), (F.col("node") + 0).alias("node")).distinct()
-    texts = _texts(need, nodes, docs)
+    texts = need.join(texts, "node")
 
     def check(families: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         place, flat, at = _numbered(rows, n)
@@ -455,9 +549,9 @@ def _parts(docs: DataFrame, n: int, t: Threshold) -> tuple[DataFrame, DataFrame]
     light = sets.select("row", ID, *HASHES, "n_shingles", "k1", "k2")
     filled = light.where("n_shingles > 0")
     classes = materialize(
-        filled.groupBy("k1", "k2").agg(
+        sets.where("n_shingles > 0").groupBy("k1", "k2").agg(
             F.min("row").alias("node"),
-            *[F.min_by(c, "row").alias(c) for c in (ID, *HASHES)],
+            *[F.min_by(c, "row").alias(c) for c in (ID, *HASHES, "bits")],
             F.min(F.struct(F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), *HASHES)).alias("first"),
             F.min(ID).alias("least"),
             F.first("n_shingles").alias("n_shingles"),
@@ -475,20 +569,26 @@ def _parts(docs: DataFrame, n: int, t: Threshold) -> tuple[DataFrame, DataFrame]
     least = buckets.groupBy("sig").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot < top")
     buckets = materialize(buckets.join(least.select("sig", "pivot"), "sig"), "buckets")
 
-    first = buckets.where("node <> pivot").groupBy("node").agg(F.min("pivot").alias("b"))
-    links = _verify_pairs(first.select(F.col("node").alias("a"), "b"), classes, docs, n, t)
+    families = buckets.select("pivot", "node", F.col("node").alias("label")).distinct()
+    met = materialize(_open_members(materialize(families, "met-families"), classes, t), "met-members")
+    texts = _texts(met, classes, docs)
+
+    first = met.where("near").groupBy("node").agg(F.min("pivot").alias("b"))
+    links = _verify_pairs(first.select(F.col("node").alias("a"), "b"), classes, texts, n, t)
     found = components(links)
-    labelled = buckets.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = buckets.join(met.select("pivot", "node"), ["pivot", "node"]).join(found, "node", "left")
+    labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     mixed = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     members = labelled.join(mixed.select("sig"), "sig").select("pivot", "node", "label").distinct()
     members = materialize(members, "open-families")
     sizes = members.groupBy("pivot").agg(F.count("*").alias("n"))
-    members = members.join(sizes, "pivot")
-    large = members.where(F.col("n") > BLOCK).select("pivot", "node", "label")
-    members = members.where(F.col("n") <= BLOCK).select("pivot", "node", "label")
+    sized = members.join(sizes, "pivot")
+    large = sized.where(F.col("n") > BLOCK).select("pivot", "node", "label")
     if not large.isEmpty():
-        members = members.unionByName(_by_rare_shingles(large, classes, docs, n, t))
-    links = links.union(_join_families(members, classes, docs, n, t))
+        members = sized.where(F.col("n") <= BLOCK).select("pivot", "node", "label")
+        members = materialize(members.unionByName(_by_rare_shingles(large, texts, n, t)), "cut-families")
+    members = materialize(_open_members(members, classes, t).drop("near"), "open-members")
+    links = links.union(_join_families(members, classes, texts, n, t))
     found = components(links)
 
     labelled = classes.join(found, "node", "left").select("k1", "k2", "least", "first", F.coalesce("label", "node").alias("label"))

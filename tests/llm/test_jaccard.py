@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,43 @@ def test_exact_sets_for_any_width():
         for x, s in zip(texts, sets):
             for y, r in zip(texts, sets):
                 assert len({*s.tolist()} & {*r.tolist()}) == len(shingles(x, n) & shingles(y, n))
+
+
+def test_parities_never_tell_linked_sets_apart():
+    """Bits differ in no more places than sets in elements, whatever the sizes; strangers differ in many."""
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 2**63, 200_000, dtype=np.uint64)
+    for size in (1, 7, 63, 64, 65, 400, 3000, 70_000):
+        for gone, new in ((0, 0), (0, 1), (size // 10, size // 9), (size // 2, 2 * size), (size, size)):
+            a = np.unique(rng.choice(pool, size, replace=False))
+            fresh = rng.integers(2**63, 2**64, new, dtype=np.uint64)
+            b = np.unique(np.concatenate([rng.permutation(a)[gone:], fresh]))
+            x, y = jaccard.parities(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])).to_pylist()
+            apart = len(np.setxor1d(a, b))
+            least = jaccard.at_least_apart(x, y)
+            assert least == jaccard.at_least_apart(y, x) <= apart
+            if gone == new == size and 64 <= size <= 3000:
+                assert least > jaccard.Threshold(80, 100).distance(2 * size)
+
+
+@pytest.mark.parametrize("n, part", [(3, 90), (5, 80)])
+def test_texts_move_once_and_only_where_a_link_is_open(spark, monkeypatch, n, part):
+    """300 copies of one text, each changed at 12 places of 100, share rare shingles in twenties and are not
+    linked; neither they nor strangers are sent to blocks with their texts, and two linked ones are found."""
+    made = []
+    keep = jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name: made.append((name, keep(df, name))) or made[-1][1])
+    monkeypatch.setattr(jaccard, "BLOCK", 20)
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(100)]
+    rows = []
+    for i in range(300):
+        places = set(rng.sample(range(100), 12))
+        rows.append((i, " ".join(f"x{k}" if k in places else w for k, w in enumerate(base))))
+    rows += [(300 + i, " ".join(f"v{rng.randrange(10**9)}" for _ in range(100))) for i in range(100)]
+    rows.append((400, rows[7][1] + " end"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert found(docs, n, part) == brute(rows, n, part)
+    counts = {name: df.count() for name, df in made}
+    assert counts["families"] <= 100 and counts.get("met-texts", 401) < 350
+    assert [name for name, _ in made].count("met-texts") == 1
