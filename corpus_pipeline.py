@@ -59,10 +59,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = jaccard.first_rows(docs, n=5, part=80, whole=100)
     hashes = jaccard.text_hashes(F.col(f"doc.{TEXT}"))
     rows = docs.where(full).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    rows = rows.select("doc", F.col(f"doc.{ID}").alias("_id"), *hashes).alias("d")
-    same = [F.col("_id").eqNullSafe(F.col("id")), *[F.col(f"d.{h}") == F.col(f"f.{h}") for h in jaccard.HASHES]]
-    # rows that share id and text are copies of one another; whole texts meet only here, one a task
-    kept = rows.join(first.alias("f"), same, "left_semi").groupBy("_id", *jaccard.HASHES).agg(F.first("doc").alias("doc"))
+    id_key = lambda c: [F.col(c).isNull().alias("none"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("id")]
+    key = ["none", "id", *jaccard.HASHES]
+    # rows that share id and text are copies of one another; whole texts are moved only here, once
+    rows = rows.select("doc", *id_key(f"doc.{ID}"), *hashes).groupBy(*key).agg(F.first("doc").alias("doc"))
+    kept = rows.join(first.select(*id_key("id"), *jaccard.HASHES), key, "left_semi")
     return kept.select("doc.*").unionByName(docs.where(~full))
 
 
