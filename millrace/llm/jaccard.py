@@ -33,6 +33,7 @@ from millrace.sources.shared import materialize
 WIDTH = 1.37  # of a band: largest size over smallest, about three times 1 / 0.9
 CANDIDATE_COST = 1.0  # of a set met by chance, in signatures
 BLOCK = 200  # nodes of a family's block
+WIDE = 5  # blocks of nodes that are compared by parities at once
 GROUP_WORDS = 1_500_000  # words of the texts that one verifying group holds
 BITS = 1 << 6, 1 << 15  # least and most bits of a set's parities
 HASHES = ["h1", "h2"]  # of a text; with the id they tell rows apart
@@ -220,14 +221,82 @@ def _may_link(t: Threshold, a: int, x: bytes, b: int, y: bytes) -> bool:
     return abs(a - b) <= most and at_least_apart(x, y) <= most
 
 
-def _open_members(families: DataFrame, nodes: DataFrame, t: Threshold) -> DataFrame:
-    """(pivot, node, label, near): the members of families that may link with one of another label.
-
-    ``near`` says whether the pivot may be that one. In families above ``BLOCK`` all members stay.
+def _folded(bits: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """(bytes of each, {bytes: rows of numbers}): for each length all parities that have as much, laid over
+    one another to that length; shorter ones are zeros."""
+    lengths = np.array([len(x) for x in bits])
+    out, at, rows = {}, 0, np.zeros(0)
+    for size in sorted(set(lengths.tolist()), reverse=True):
+        while at > size:
+            at //= 2
+            rows = rows[:, : rows.shape[1] // 2] ^ rows[:, rows.shape[1] // 2 :]
+        if not at:
+            rows = np.zeros((len(bits), size // 8), np.uint64)
+        at = size
+        own = lengths == size
+        rows[own] = np.frombuffer(b"".join(x for x in bits if len(x) == size), np.uint64).reshape(-1, size // 8)
+        out[size] = rows.copy()
+    return lengths, out
+
+
+def _open_pairs(label: np.ndarray, sizes: np.ndarray, bits: list[bytes], block: np.ndarray | None, t: Threshold) -> np.ndarray:
+    """Which sets may link with one of another label (and block, if given)."""
+    lengths, folded = _folded(bits)
+    keep = np.zeros(len(label), bool)
+    most = 2 * int(sizes.max(initial=0))
+    most = np.array([t.distance(x) for x in range(most + 1)])
+    classes = [(np.flatnonzero(lengths == size), size) for size in folded]
+    main = np.unique(label, return_inverse=True)[1]
+    main = main == np.bincount(main).argmax()
+    for i in np.flatnonzero(~main):  # of two of different labels one is not of the main one
+        far = most[sizes[i] + sizes]
+        may = (label != label[i]) & (np.abs(sizes - sizes[i]) <= far)
+        if block is not None:
+            may &= block != block[i]
+        for these, size in classes:
+            these = these[may[these]]
+            rows = folded[min(size, lengths[i])]
+            apart = np.bitwise_count(rows[these] ^ rows[i]).sum(axis=1)
+            may[these] = apart <= far[these]
+        if may.any():
+            keep[i] = True
+            keep |= may
+    return keep
+
+
+def _work(members: DataFrame, *more: Column) -> DataFrame:
+    """(pivot, n, main, rest) of families (pivot, node, label): nodes, the label that most of them have, and
+    nodes of other labels."""
+    counts = members.groupBy("pivot", "label").agg(F.count("*").alias("n"), *more)
+    sums = [F.sum(c).alias(c) for c in counts.columns if c not in ("pivot", "label", "n")]
+    return counts.groupBy("pivot").agg(
+        F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"), *sums,
+        (F.sum("n") - F.max("n")).alias("rest"), F.count("*").alias("labels"),
+    )
+
+
+def _dealt(members: DataFrame, size: Column) -> DataFrame:
+    """``members`` with (x, lo, hi): families of ``n`` nodes, ``rest`` of them not of the label ``main``, in
+    blocks of ``size`` nodes at most; ``x`` is a node's block, (lo, hi) two blocks that meet.
+
+    Nodes of the main label are linked already and never meet one another. So a family of which all but
+    a few are one component is sent about twice, not once for each of its blocks.
     """
-    sizes = families.groupBy("pivot").agg(F.count("*").alias("n"))
-    bits = nodes.select("node", "n_shingles", "bits")
-    sized = families.join(sizes, "pivot").join(bits, "node")
+    whole = F.col("n") <= size
+    parts = F.greatest(F.lit(1), F.ceil(F.when(whole, F.lit(1)).otherwise(F.col("rest") / size))).cast("bigint")
+    more = F.when(whole, F.lit(0)).otherwise(F.ceil((F.col("n") - F.col("rest")) / size)).cast("bigint")
+    linked = ~whole & (F.col("label") == F.col("main"))
+    cut = members.withColumn("parts", parts).withColumn("more", more).withColumn("linked", linked)
+    hashed = F.xxhash64("node")
+    x = F.when(F.col("linked"), F.col("parts") + F.pmod(hashed, F.greatest("more", F.lit(1)))).otherwise(F.pmod(hashed, F.col("parts")))
+    meets = F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1 + F.when(F.col("linked"), 0).otherwise(F.col("more")))
+    sent = cut.withColumn("x", x).select(*members.columns, "x", F.explode(meets).alias("y"))
+    return sent.select(*members.columns, "x", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"))
+
+
+def _small_open(sized: DataFrame, t: Threshold) -> DataFrame:
+    """(pivot, node, label, near): the members of families up to ``BLOCK`` that may link with one of another
+    label. ``near`` says whether the pivot may be that one."""
     columns = ["pivot", "node", "label", "n_shingles", "bits"]
 
     def of_family(pivot: int, rows: list[tuple]) -> list[tuple]:
@@ -259,18 +328,43 @@ def _open_members(families: DataFrame, nodes: DataFrame, t: Threshold) -> DataFr
             yield made(found)
         yield made(of_family(key, rows))
 
+    return sized.select(*columns).repartition("pivot").sortWithinPartitions("pivot", "node").mapInArrow(
+        small_ones, "pivot bigint, node bigint, label bigint, near boolean"
+    )
+
+
+def _near_members(families: DataFrame, nodes: DataFrame, t: Threshold) -> DataFrame:
+    """(pivot, node, label, near): the members of families (pivot, node) that may link with another one,
+    and whether with the pivot. In families above ``BLOCK`` all members stay."""
+    sizes = families.groupBy("pivot").agg(F.count("*").alias("n"))
+    bits = nodes.select("node", "n_shingles", "bits")
+    families = families.withColumn("label", F.col("node"))
+    few = families.join(sizes.where(F.col("n") <= BLOCK), "pivot").join(bits, "node")
+
     @F.pandas_udf("boolean")
     def near(a: pd.Series, x: pd.Series, b: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([_may_link(t, *p) for p in zip(a, x, b, y)], dtype=bool)
 
-    small_rows = sized.where(F.col("n") <= BLOCK).select(*columns).repartition("pivot")
-    kept = small_rows.sortWithinPartitions("pivot", "node").mapInArrow(
-        small_ones, "pivot bigint, node bigint, label bigint, near boolean"
-    )
-    first = bits.toDF("pivot", "b", "y")
-    large = sized.where(F.col("n") > BLOCK).join(first, "pivot")
-    large = large.select("pivot", "node", "label", near("n_shingles", "bits", "b", "y") & (F.col("node") != F.col("pivot")))
-    return kept.union(large)
+    heads = sizes.where(F.col("n") > BLOCK).join(bits.toDF("pivot", "b", "y"), "pivot")
+    many = families.join(heads, "pivot").join(bits, "node")
+    many = many.select("pivot", "node", "label", near("n_shingles", "bits", "b", "y") & (F.col("node") != F.col("pivot")))
+    return _small_open(few, t).union(many)
+
+
+def _open_members(members: DataFrame, nodes: DataFrame, t: Threshold) -> DataFrame:
+    """(pivot, node, label): the members of families (pivot, node, label, n, main, rest) that may link with
+    one of another label. The pivot only names a family; it need not be a node."""
+    sized = members.join(nodes.select("node", "n_shingles", "bits"), "node")
+    few = _small_open(sized.where(F.col("n") <= BLOCK), t).drop("near")
+    many = _dealt(sized.where(F.col("n") > BLOCK), F.lit(WIDE * BLOCK))
+
+    def of_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+        block = rows["x"].to_numpy() if rows["lo"].iloc[0] != rows["hi"].iloc[0] else None
+        keep = _open_pairs(rows["label"].to_numpy(), rows["n_shingles"].to_numpy(), list(rows["bits"]), block, t)
+        return rows.loc[keep, ["pivot", "node", "label"]]
+
+    kept = many.groupBy("pivot", "lo", "hi").applyInPandas(of_blocks, "pivot bigint, node bigint, label bigint")
+    return few.union(kept.distinct())
 
 
 # ---- the join -------------------------------------------------------------------------------------
@@ -408,13 +502,13 @@ def _verify_pairs(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int,
 
 
 def _by_rare_shingles(members: DataFrame, texts: DataFrame, n: int, t: Threshold) -> DataFrame:
-    """Large families (pivot, node, label) taken apart: one for each rare shingle, as far as needed.
+    """Nodes (node, label) of large families taken apart: a family for each rare shingle, as far as needed.
 
     Two linked sets share a shingle among the ``size - ceil(size * part / whole) + 1`` first ones of
     each, in any one order of all shingles. Ordered from rare to frequent (among these sets), a passage
     that all share comes last and brings nobody together.
     """
-    texts = members.select("node").distinct().join(texts, "node")
+    texts = members.select("node").join(texts, "node")
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -431,10 +525,7 @@ def _by_rare_shingles(members: DataFrame, texts: DataFrame, n: int, t: Threshold
         "rank", F.row_number().over(W.partitionBy("node").orderBy("n", "item"))  # one set in a window
     )
     rare = ranked.where((F.col("rank") <= first) & (F.col("n") > 1)).select(F.col("item").alias("pivot"), "node")
-    labels = members.groupBy("node").agg(F.first("label").alias("label"))  # a node has one label
-    rare = materialize(rare.join(labels, "node"), "rare-shingles")
-    mixed = rare.groupBy("pivot").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    return rare.join(mixed.select("pivot"), "pivot").select("pivot", "node", "label")
+    return materialize(rare.join(members, "node").select("pivot", "node", "label"), "rare-shingles")
 
 
 def _join_families(
@@ -442,21 +533,15 @@ def _join_families(
 ) -> DataFrame:
     """Links across labels inside families (pivot, node, label), enough of them to connect what is linked.
 
-    A family is dealt to blocks, and every two blocks meet in one group: a node is sent once to each
-    pair of its block, and pairs are compared in the task, never made into rows. A group gives only
-    links that join two of its parts, so its result is no larger than its members.
+    A family is dealt to blocks that meet two by two in one group, but for blocks of its main label: pairs
+    are compared in the task, never made into rows. A group gives only links that join two of its parts,
+    so its result is no larger than its members.
     """
     sized = members.join(nodes.select("node", "n_shingles"), "node")
-    work = sized.groupBy("pivot").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") * 2 / GROUP_WORDS)).alias("blocks")
-    )
-    sized = sized.join(work, "pivot").withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("y")
-    sent = sized.select("pivot", "node", "label", "n_shingles", "x", other)
-    sent = sent.select(
-        "pivot", "node", "label", "n_shingles", "x", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")
-    )
-    sent = materialize(sent, "families")
+    work = _work(sized, F.sum("n_shingles").alias("words"))
+    size = F.least(F.lit(BLOCK), F.greatest(F.lit(1), F.floor(F.col("n") * GROUP_WORDS / (2 * F.col("words")))))
+    sent = _dealt(sized.join(work, "pivot"), size)
+    sent = materialize(sent.select("pivot", "node", "label", "n_shingles", "x", "lo", "hi"), "families")
     total = sent.agg(F.sum("n_shingles")).first()[0]
     if not total:
         return members.select(F.col("node").alias("a"), F.col("node").alias("b"))
@@ -563,17 +648,24 @@ def _parts(docs: DataFrame, n: int, t: Threshold) -> tuple[DataFrame, DataFrame]
     # buckets: (sig, node), signatures that at least two nodes have
     sigs = sets.select(F.explode("sigs").alias("sig"), "row")
     by_sig = W.partitionBy("sig")
-    shared = sigs.withColumn("n", F.count("*").over(by_sig)).where("n > 1").select("sig", "row")
+    shared = sigs.withColumn("n", F.count("*").over(by_sig)).where("n > 1").select("sig", "row", "n")
     shared = materialize(shared, "shared-signatures")
-    buckets = shared.join(node_of, "row").select("sig", "node").distinct()
-    least = buckets.groupBy("sig").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot < top")
-    buckets = materialize(buckets.join(least.select("sig", "pivot"), "sig"), "buckets")
-
-    families = buckets.select("pivot", "node", F.col("node").alias("label")).distinct()
-    met = materialize(_open_members(materialize(families, "met-families"), classes, t), "met-members")
+    # the pivot of a bucket is the member that meets most others in all of its own: of near copies the one
+    # that is like most, so that few pivots stand for many buckets (equal sets have equal weights)
+    weights = node_of.join(shared.groupBy("row").agg(F.sum("n").alias("weight")), "row")
+    buckets = shared.select("sig", "row").join(weights, "row").select("sig", "node", "weight").distinct()
+    head = F.max_by("node", F.struct("weight", -F.col("node"))).alias("pivot")
+    heads = buckets.groupBy("sig").agg(head, F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    buckets = materialize(buckets.select("sig", "node").join(heads.select("sig", "pivot"), "sig"), "buckets")
+
+    families = materialize(buckets.select("pivot", "node").distinct(), "met-families")
+    met = materialize(_near_members(families, classes, t), "met-members")
     texts = _texts(met, classes, docs)
 
-    first = met.where("near").groupBy("node").agg(F.min("pivot").alias("b"))
+    # a node is first compared with the pivot that most nodes are near to
+    near = met.where("near").select("pivot", "node")
+    hubs = near.groupBy("pivot").agg(F.struct(F.count("*"), -F.col("pivot")).alias("hub"))
+    first = near.join(hubs, "pivot").groupBy("node").agg(F.max_by("pivot", "hub").alias("b"))
     links = _verify_pairs(first.select(F.col("node").alias("a"), "b"), classes, texts, n, t)
     found = components(links)
     labelled = buckets.join(met.select("pivot", "node"), ["pivot", "node"]).join(found, "node", "left")
@@ -581,13 +673,15 @@ def _parts(docs: DataFrame, n: int, t: Threshold) -> tuple[DataFrame, DataFrame]
     mixed = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     members = labelled.join(mixed.select("sig"), "sig").select("pivot", "node", "label").distinct()
     members = materialize(members, "open-families")
-    sizes = members.groupBy("pivot").agg(F.count("*").alias("n"))
-    sized = members.join(sizes, "pivot")
-    large = sized.where(F.col("n") > BLOCK).select("pivot", "node", "label")
+    columns = ["pivot", "node", "label", "n", "main", "rest"]
+    members = materialize(members.join(_work(members), "pivot").select(*columns), "sized-families")
+    many = F.col("rest") > WIDE * BLOCK
+    large = materialize(members.where(many).select("node", "label").distinct(), "large-families")
     if not large.isEmpty():
-        members = sized.where(F.col("n") <= BLOCK).select("pivot", "node", "label")
-        members = materialize(members.unionByName(_by_rare_shingles(large, texts, n, t)), "cut-families")
-    members = materialize(_open_members(members, classes, t).drop("near"), "open-members")
+        cut = _by_rare_shingles(large, texts, n, t)
+        cut = cut.join(_work(cut).where("labels > 1"), "pivot").select(*columns)
+        members = materialize(members.where(~many).unionByName(cut), "cut-families")
+    members = materialize(_open_members(members, classes, t), "open-members")
     links = links.union(_join_families(members, classes, texts, n, t))
     found = components(links)
 

@@ -148,3 +148,103 @@ def test_texts_move_once_and_only_where_a_link_is_open(spark, monkeypatch, n, pa
     counts = {name: df.count() for name, df in made}
     assert counts["families"] <= 100 and counts.get("met-texts", 401) < 350
     assert [name for name, _ in made].count("met-texts") == 1
+
+
+def made_rows(monkeypatch):
+    """{name: rows} of the tables that are written from now on."""
+    made, keep = {}, jaccard.materialize
+
+    def counted(df, name):
+        out = keep(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    return made
+
+
+def test_large_family_is_joined_through_its_last_member(spark, monkeypatch):
+    """Copies with 3 of 150 words changed are linked with their source alone, which is the last row; the work
+    on families grows no faster than the copies."""
+    monkeypatch.setattr(jaccard, "BLOCK", 20)
+    made = made_rows(monkeypatch)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    work = []
+    for size in (150, 600):
+        rows = []
+        for i in range(size):
+            copy = list(base)
+            for k, at in enumerate(rng.sample(range(150), 3)):
+                copy[at] = f"x{i}-{k}"
+            rows.append((i, " ".join(copy)))
+        rows.append((size, " ".join(base)))
+        made.clear()
+        got = found(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2, "doc_id"), 5, 80)
+        assert {c for _, c in got.values()} == {0}
+        work.append(sum(made.get(k, 0) for k in ("met-families", "sized-families", "cut-families", "families")) / size)
+    assert work[1] <= 1.5 * work[0]
+
+
+@pytest.mark.parametrize("n, part", [(3, 90), (5, 80)])
+def test_large_families_of_many_components_equal_all_pairs(spark, monkeypatch, n, part):
+    """Copies of an absent source, with few edits out of a common pool: links are chains; families are taken
+    apart by rare shingles, their parts compared in blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    made = made_rows(monkeypatch)
+    rng = random.Random(n)
+    base = [f"w{i}" for i in range(110)]
+    rows = []
+    for i in range(160):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 6)):
+            copy[rng.randrange(110)] = f"x{rng.randrange(25)}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    want = brute(rows, n, part)
+    assert found(docs, n, part) == want and len({c for _, c in want.values()}) > 1
+    assert made["large-families"] and made["cut-families"] and made["families"]
+
+
+def test_open_pairs_are_those_that_parities_leave_open():
+    t, rng = jaccard.Threshold(80, 100), np.random.default_rng(3)
+    pool = rng.integers(0, 2**63, 3000, dtype=np.uint64)
+    sets = []
+    for size in (50, 60, 62, 66, 70, 130, 1100):
+        for edits in range(12):
+            own = np.concatenate([pool[edits:size], rng.integers(2**63, 2**64, 2 * edits, dtype=np.uint64)])
+            sets.append(np.unique(own))
+    sizes = np.array([len(x) for x in sets])
+    bits = jaccard.parities(np.concatenate(sets), np.concatenate([[0], np.cumsum(sizes)])).to_pylist()
+    label = rng.integers(0, 3, len(sets))
+    block = np.arange(len(sets)) % 2
+    for b in (None, block):
+        want = [
+            any(
+                label[i] != label[j]
+                and (b is None or b[i] != b[j])
+                and jaccard._may_link(t, int(sizes[i]), bits[i], int(sizes[j]), bits[j])
+                for j in range(len(sets))
+            )
+            for i in range(len(sets))
+        ]
+        assert jaccard._open_pairs(label, sizes, bits, b, t).tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_blocks_bring_every_two_labels_together(spark):
+    """Once in one pair of blocks; nodes of the main label are not sent to one another."""
+    rows = [(1, i, 0 if i % 10 else i) for i in range(300)] + [(2, i, i) for i in range(45)] + [(3, i, i % 2) for i in range(9)]
+    members = spark.createDataFrame(rows, "pivot bigint, node bigint, label bigint")
+    sized = members.join(jaccard._work(members), "pivot")
+    sent = jaccard._dealt(sized, F.lit(20)).select("pivot", "lo", "hi", "node", "label", "x").collect()
+    met, groups = {}, {}
+    for p, lo, hi, *row in sent:
+        groups.setdefault((p, lo, hi), []).append(row)
+    for (p, lo, hi), g in groups.items():
+        for a, la, xa in g:
+            for b, lb, xb in g:
+                if a < b and la != lb and (lo == hi or xa != xb):
+                    met[p, a, b] = met.get((p, a, b), 0) + 1
+    by = {p: [r[1:] for r in rows if r[0] == p] for p in (1, 2, 3)}
+    assert met == {(p, a, b): 1 for p, f in by.items() for a, x in f for b, y in f if a < b and x != y}
+    assert sum(r[0] == 1 for r in sent) <= 300 * 4 and sum(r[0] == 3 for r in sent) == 9
