@@ -586,11 +586,11 @@ def jaccard_components(docs: DataFrame, n: int = 3, part: int = 90, whole: int =
 
     Two documents are linked if the sets of their n-word shingles have Jaccard ``part / whole`` or
     more. ``component_id`` is the smallest doc_id that links lead to. Equal sets are one node; only
-    different ones are compared. In a bucket of equal signatures each member is first verified
-    against the least one; then, in buckets that still hold several components, members of different
-    ones, inside tasks. A bucket of more than ``BLOCK`` such members, of a passage that many share
-    for instance, is first taken apart by the rare shingles that linked sets must share. So a group of
-    many near copies costs a pair a member where they are linked, documents with one common passage do
+    different ones are compared. Each member of a bucket of equal signatures is first verified against
+    one that meets most others; then, in buckets that still hold several components, members of
+    different ones, inside tasks. A bucket with more than ``WIDE * BLOCK`` members outside its main
+    component, of a passage that many share for instance, is first taken apart by the rare shingles that
+    linked sets must share. So a group of many near copies costs a pair a member where they are linked, documents with one common passage do
     not meet, no pairs of a group are made into rows, and no link is lost. Long texts are read whole.
 
     Null and empty texts, or texts without a word, have 0 shingles and are their own component, by
