@@ -18,7 +18,7 @@ from millrace.functions.items import (
     normalize_item,
     rewrite_rules,
 )
-from millrace.functions.names import best_displays, shown_items
+from millrace.functions.names import best_displays, distinct_keys, shown_items
 from millrace.functions.regex import bind, split, strip
 from millrace.functions.text import collapse_commas
 
@@ -118,10 +118,13 @@ def expand_items(items: Column) -> Column:
     return F.filter(F.flatten(F.transform(items, _alternatives_or_self)), lambda x: x != "")
 
 
+def _keys(items: list[str | None] | None) -> list[str] | None:
+    return None if items is None else distinct_keys(items)
+
+
 def normalized_set(items: Column) -> Column:
     """Distinct non-empty keys of a list of items, in order of first appearance."""
-    keys = F.array_distinct(F.transform(expand_items(items), normalize_item))
-    return F.filter(keys, lambda x: x != "")
+    return _by_row(_keys, "array<string>", items)
 
 
 def merge_sets(first: Column, second: Column, mode: str = "union") -> Column:
@@ -134,7 +137,7 @@ def merge_sets(first: Column, second: Column, mode: str = "union") -> Column:
         merged = F.array_distinct(second)
     else:
         merged = F.array_distinct(first)
-    return F.array_sort(F.filter(merged, lambda x: x != ""))
+    return F.sort_array(F.array_except(merged, F.array(F.lit(""), F.lit(None))))
 
 
 def _heads(rows: Column) -> Column:

@@ -65,6 +65,17 @@ def test_remembered_texts_are_bounded():
     assert len(table) <= names._MEMO
 
 
+def test_pieces_hold_all_rows(spark, monkeypatch):
+    """Batches taken apart give the rows of whole ones, nulls and empty lists too."""
+    rows = [(i, None if i % 7 == 0 else [f"{j} cups salt{j % 3}" for j in range(i % 5)] + [None]) for i in range(300)]
+    df = spark.createDataFrame(rows, "i int, v array<string>").coalesce(1)
+    fn = lambda: [r["r"] for r in df.select("i", L.normalized_set(F.col("v")).alias("r")).orderBy("i").collect()]
+    whole = fn()
+    assert [None if v is None else list(dict.fromkeys(f"salt{j % 3}" for j in range(len(v) - 1))) for _, v in rows] == whole
+    monkeypatch.setattr(L, "_PIECE", 64)
+    assert fn() == whole
+
+
 def interpreted(spark, col) -> int:
     df = spark.createDataFrame([(["a"], ["b"])], "a array<string>, b array<string>")
     return df.select(col)._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction")
@@ -73,3 +84,14 @@ def interpreted(spark, col) -> int:
 def test_displays_are_not_interpreted(spark):
     """No function is interpreted for every item of a list."""
     assert interpreted(spark, L.merge_keep_display(L.split_cell(F.col("a")[0]), F.col("b"))) == 0
+
+
+def test_inputs_are_not_interpreted(spark):
+    for mode in ("union", "intersection", "ner_only", "raw"):
+        assert interpreted(spark, L.build_input(L.split_cell(F.col("a")[0]), F.col("b"), mode)) == 0
+
+
+def test_merged_sets_have_no_blanks(spark):
+    df = spark.createDataFrame([(["b", "", None, "a", "b"], ["", None, "c", "a"])], "a array<string>, b array<string>")
+    for mode, want in {"union": "abc", "intersection": "a", "ner_only": "ac", "raw": "ab"}.items():
+        assert df.select(L.merge_sets(F.col("a"), F.col("b"), mode)).first()[0] == list(want)
