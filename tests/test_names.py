@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import items, names, rules
 from millrace.functions import lists as L
 from millrace.functions import text as X
+from millrace.plans.prepare import prepare_csv
 
 REWRITTEN = [*rules.BRANDS, *[t for p in rules.STUCK_PAIRS for t in p], *[wrong for wrong, _ in rules.MISREADINGS]]
 ODD = [
@@ -95,3 +96,13 @@ def test_merged_sets_have_no_blanks(spark):
     df = spark.createDataFrame([(["b", "", None, "a", "b"], ["", None, "c", "a"])], "a array<string>, b array<string>")
     for mode, want in {"union": "abc", "intersection": "a", "ner_only": "ac", "raw": "ab"}.items():
         assert df.select(L.merge_sets(F.col("a"), F.col("b"), mode)).first()[0] == list(want)
+
+
+def test_rows_are_prepared_with_few_interpreted_functions(spark):
+    """What is left reads cells and cleans steps; both sets of names are made by one Python process."""
+    raw = spark.createDataFrame([(1, "t", "2 eggs, salt", "Mix; bake", "egg")], "row_id long, title string, ingredients string, directions string, ner string")
+    rows = prepare_csv(raw)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction") <= 10
+    assert plan.count("ArrowEvalPython") == 3  # odd cells, sets, best displays
+    assert rows.first()["ingredients"] == "eggs, salt"
